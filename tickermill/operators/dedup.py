@@ -17,18 +17,24 @@ def top_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int = 1)
     return df.withColumn("posicao", position).where(F.col("posicao") <= k)
 
 
-def latest_envelopes(envelopes: DataFrame) -> DataFrame:
-    """Newest collection per (ticker, data_coleta); a missing `coletado_em` sorts oldest.
+def newest_envelope_first() -> list[Column]:
+    """Newest collection first; a missing `coletado_em` sorts oldest.
 
     Equal times are decided by status and payload, so that reruns agree.
     """
-    order = [
+    return [
         F.coalesce(F.col("coletado_em"), F.lit("")).desc(),
         F.col("http_status").desc_nulls_last(),
         F.col("payload_json").desc_nulls_last(),
         F.col("fonte").desc_nulls_last(),
     ]
-    return top_per_key(envelopes, ["ticker", "data_coleta"], order).drop("posicao")
+
+
+def latest_envelopes(envelopes: DataFrame) -> DataFrame:
+    """Newest collection per (ticker, data_coleta)."""
+    return top_per_key(envelopes, ["ticker", "data_coleta"], newest_envelope_first()).drop(
+        "posicao"
+    )
 
 
 def not_yet_ingested(incoming: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
