@@ -35,7 +35,7 @@ def dense_positions(grouped: DataFrame, ids: list[str], hot_rows: int = HOT_ROWS
         ranked(
             unpivot(candidates.where(F.col("n_universo") <= hot_rows)),
             unpivot(candidates.where(F.col("n_universo") > hot_rows)),
-            [RUN, "fonte", "metrica"],
+            ["metrica", "fonte", RUN],
             "valor",
             ids,
             distinct=True,

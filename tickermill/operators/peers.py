@@ -144,6 +144,14 @@ def _long(grouped: DataFrame, metrics: dict[str, int], ids: list[str]) -> DataFr
     )
 
 
+def _up_to(long: DataFrame, hot_rows: int) -> DataFrame:
+    return long.where(F.col("n_membros") <= hot_rows).drop("n_membros")
+
+
+def _above(long: DataFrame, hot_rows: int) -> DataFrame:
+    return long.where(F.col("n_membros") > hot_rows).drop("n_membros")
+
+
 def midranks(
     grouped: DataFrame, metrics: dict[str, int], ids: list[str], hot_rows: int = HOT_ROWS
 ) -> DataFrame:
@@ -152,13 +160,11 @@ def midranks(
     `metrics` maps a column to +1 (larger is better) or -1. `grouped` comes from
     `choose_groups`. `ids` must name a row uniquely and include the run date and `fonte`.
     """
-    small = _long(grouped, metrics, ids).where(F.col("n_membros") <= hot_rows)
-    # The first filter is on cell sizes alone: with no hot source the branch is empty before
+    small = _up_to(_long(grouped, metrics, ids), hot_rows)
+    # The inner filter is on cell sizes alone: with no hot source the branch is empty before
     # any row is read.
-    hot = _long(grouped.where(F.col("n_universo") > hot_rows), metrics, ids).where(
-        F.col("n_membros") > hot_rows
-    )
-    groups = [RUN, "fonte", "nivel", "chave", "metrica"]
+    hot = _above(_long(grouped.where(F.col("n_universo") > hot_rows), metrics, ids), hot_rows)
+    groups = ["metrica", "nivel", "chave", "fonte", RUN]
     return (
         ranked(small, hot, groups, "valor", ids)
         .where("pergunta")

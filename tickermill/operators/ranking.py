@@ -34,21 +34,24 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str)
 
 
 def with_range_number(rows: DataFrame, groups: list[str], value: str) -> DataFrame:
-    """Number the value range of each row: even = between two cuts, odd = equal to a cut."""
+    """Number the value range of each row: even = between two cuts, odd = equal to a cut.
+
+    The cuts arrive by a join that Spark broadcasts while they are small (255 numbers per hot
+    group) and shuffles, splitting skewed keys, when they are not. The range is found by an
+    8-step binary search in generated code.
+    """
     fractions = ", ".join(f"{i / (CUTS + 1)}D" for i in range(1, CUTS + 1))
     cuts = rows.groupBy(*groups).agg(
         F.expr(f"percentile_approx({value}, array({fractions}), {CUT_ACCURACY})").alias("_cuts")
     )
-    located = join_null_safe(rows, cuts, groups, "inner").withColumn("_below", F.lit(0))
-    for step in SEARCH_STEPS:
-        ahead = F.get("_cuts", F.col("_below") + (step - 1))
-        located = located.withColumn(
-            "_below", F.when(ahead < F.col(value), F.col("_below") + step).otherwise(F.col("_below"))
-        )
-    on_cut = F.coalesce(F.get("_cuts", F.col("_below")) == F.col(value), F.lit(False))
-    return located.withColumn("_range", F.col("_below") * 2 + on_cut.cast("int")).drop(
-        "_below", "_cuts"
-    )
+    search = ["0 AS _b0"] + [
+        f"IF(get(_cuts, _b{i} + {step - 1}) < {value}, _b{i} + {step}, _b{i}) AS _b{i + 1}"
+        for i, step in enumerate(SEARCH_STEPS)
+    ]
+    found = f"_b{len(SEARCH_STEPS)}"
+    number = f"2 * {found} + IF(get(_cuts, {found}) = {value}, 1, 0) AS _range"
+    located = join_null_safe(rows, cuts, groups, "inner").selectExpr("*", *search, number)
+    return located.drop("_cuts", *[f"_b{i}" for i in range(len(SEARCH_STEPS) + 1)])
 
 
 def _range_sizes(rows: DataFrame, groups: list[str], value: str, distinct: bool) -> DataFrame:
@@ -64,8 +67,7 @@ def _range_sizes(rows: DataFrame, groups: list[str], value: str, distinct: bool)
     else:
         sizes = rows.groupBy(*ranges).agg(F.count("*").alias("_size"), F.lit(0).alias("_kinds"))
     # At most 2 * 255 + 1 rows per group here.
-    ordered = W.partitionBy(*groups).orderBy("_range")
-    lower = ordered.rowsBetween(W.unboundedPreceding, -1)
+    lower = W.partitionBy(*groups).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     return sizes.select(
         *ranges,
         "_size",
@@ -75,6 +77,52 @@ def _range_sizes(rows: DataFrame, groups: list[str], value: str, distinct: bool)
     )
 
 
+def _windowed(rows: DataFrame, keys: list[str], value: str, distinct: bool) -> DataFrame:
+    """`_before`, `_not_above`, `_all` (and `_dense`) of one sort per key."""
+    piece = W.partitionBy(*keys).orderBy(value)
+    ranks = {
+        "_before": F.rank().over(piece) - 1,
+        "_not_above": F.count("*").over(piece.rangeBetween(W.unboundedPreceding, W.currentRow)),
+        "_all": F.count("*").over(piece.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)),
+    }
+    if distinct:
+        ranks["_dense"] = F.dense_rank().over(piece)
+    return rows.withColumns(ranks)
+
+
+def _rank_small(rows: DataFrame, groups: list[str], value: str, distinct: bool) -> DataFrame:
+    windowed = _windowed(rows, groups, value, distinct)
+    return windowed.select(
+        *rows.columns,
+        F.col("_before").cast("long").alias("abaixo"),
+        (F.col("_not_above") - F.col("_before")).alias("iguais"),
+        F.col("_all").alias("n_valores"),
+        *([F.col("_dense").cast("long").alias("posicao_densa")] if distinct else []),
+    )
+
+
+def _rank_hot(
+    rows: DataFrame, groups: list[str], value: str, spread_by: list[str], distinct: bool
+) -> DataFrame:
+    located = with_range_number(rows, groups, value)
+    sizes = _range_sizes(located, groups, value, distinct)
+    tied = F.col("_range") % 2 == 1
+    spread = F.pmod(F.xxhash64(*spread_by), F.lit(TIE_SPREAD))
+    pieces = join_null_safe(located, sizes, [*groups, "_range"], "inner").withColumn(
+        "_part", F.when(tied, spread).otherwise(0)
+    )
+    windowed = _windowed(pieces, [*groups, "_range", "_part"], value, distinct)
+    return windowed.select(
+        *rows.columns,
+        (F.col("_lower") + F.col("_before")).alias("abaixo"),
+        F.when(tied, F.col("_size"))
+        .otherwise(F.col("_not_above") - F.col("_before"))
+        .alias("iguais"),
+        F.col("_total").alias("n_valores"),
+        *([(F.col("_lower_kinds") + F.col("_dense")).alias("posicao_densa")] if distinct else []),
+    )
+
+
 def ranked(
     small: DataFrame,
     hot: DataFrame,
@@ -89,45 +137,6 @@ def ranked(
     in one of them. Adds `abaixo` (rows with a smaller value), `iguais` (rows with the same
     value, itself included), `n_valores` (rows in the group) and, on request, `posicao_densa`.
     """
-    located = with_range_number(hot, groups, value)
-    sizes = _range_sizes(located, groups, value, distinct)
-    located = join_null_safe(located, sizes, [*groups, "_range"], "inner")
-    tied = F.col("_range") % 2 == 1
-    located = located.withColumn(
-        "_part", F.when(tied, F.pmod(F.xxhash64(*spread_by), F.lit(TIE_SPREAD)).cast("int"))
-        .otherwise(F.lit(0)),
-    ).withColumn("_size", F.when(tied, F.col("_size")))
-    none = F.lit(None).cast("long")
-    whole = small.withColumns(
-        {
-            "_range": F.lit(0),
-            "_part": F.lit(0),
-            "_size": none,
-            "_lower": F.lit(0).cast("long"),
-            "_lower_kinds": F.lit(0).cast("long"),
-            "_total": none,
-        }
-    )
-    rows = whole.unionByName(located)
-    piece = W.partitionBy(*groups, "_range", "_part").orderBy(value)
-    not_above = piece.rangeBetween(W.unboundedPreceding, W.currentRow)
-    everything = piece.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    ranks = {
-        "_before": F.rank().over(piece) - 1,
-        "_not_above": F.count("*").over(not_above),
-        "_all": F.count("*").over(everything),
-    }
-    if distinct:
-        ranks["_dense"] = F.dense_rank().over(piece)
-    out = rows.withColumns(ranks).withColumns(
-        {
-            "abaixo": F.col("_lower") + F.col("_before"),
-            "iguais": F.coalesce(F.col("_size"), F.col("_not_above") - F.col("_before")),
-            "n_valores": F.coalesce(F.col("_total"), F.col("_all")),
-            **({"posicao_densa": F.col("_lower_kinds") + F.col("_dense")} if distinct else {}),
-        }
-    )
-    return out.drop(
-        "_range", "_part", "_size", "_lower", "_lower_kinds", "_total",
-        "_before", "_not_above", "_all", "_dense",
+    return _rank_small(small, groups, value, distinct).unionByName(
+        _rank_hot(hot, groups, value, spread_by, distinct)
     )
