@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickermill.operators.peers import RUN, is_eligible
+from tickermill.operators.peers import RUN, is_eligible, metric_values
 from tickermill.operators.ranking import HOT_ROWS, ranked
 
 MIN_CANDIDATES = 2
@@ -15,15 +15,7 @@ RANKED = {"ev_ebit": 1, "roic": -1}
 
 def dense_positions(grouped: DataFrame, ids: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """(ids, metrica, posicao_densa) of both ranks for eligible rows that have both values."""
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(i).cast("byte").alias("metrica"),
-                F.when(F.col(name) == 0, 0.0).otherwise(F.col(name) * float(sign)).alias("valor"),
-            )
-            for i, (name, sign) in enumerate(RANKED.items())
-        ]
-    )
+    pairs = metric_values(RANKED)
     candidates = grouped.where(
         is_eligible() & F.col("ev_ebit").isNotNull() & F.col("roic").isNotNull()
     )

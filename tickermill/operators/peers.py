@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickermill.operators.ranking import HOT_ROWS, join_null_safe, ranked
+from tickermill.operators.ranking import HOT_ROWS, MAX_ASKING, counted, join_null_safe, ranked
 
 # Fixed values.
 MIN_GROUP = 5
@@ -86,39 +86,9 @@ def choose_groups(df: DataFrame) -> DataFrame:
     return joined.withColumn("n_grupo", size.cast("int")).drop("_ok")
 
 
-def _memberships(grouped: DataFrame) -> DataFrame:
-    """One row per eligible row and group whose ranks somebody asks for."""
-
-    def membership(applies: Column, level: str, key: Column, size: str) -> Column:
-        return F.when(
-            applies,
-            F.struct(F.lit(level).alias("nivel"), key.alias("chave"), F.col(size).alias("n")),
-        )
-
-    used = F.col("grupo_usado")
-    levels = F.array_compact(
-        F.array(
-            membership(used == SECTOR, SECTOR, F.col("_setor"), "n_setor"),
-            membership(
-                (F.col("_ask_macro") > 0) & (F.col("n_macro") >= MIN_GROUP),
-                MACRO,
-                F.col("_macro"),
-                "n_macro",
-            ),
-            membership(
-                (F.col("_ask_universo") > 0) & (F.col("n_universo") >= MIN_GROUP),
-                UNIVERSE,
-                F.lit(""),
-                "n_universo",
-            ),
-        )
-    )
-    return grouped.where(is_eligible()).withColumn("_g", F.explode(levels))
-
-
-def _long(grouped: DataFrame, metrics: dict[str, int], ids: list[str]) -> DataFrame:
-    """(ids, group, metric, signed value): larger is better for every metric."""
-    pairs = F.array(
+def metric_values(metrics: dict[str, int]) -> Column:
+    """Array of (metric code, signed value): larger is better for every metric."""
+    return F.array(
         *[
             F.struct(
                 F.lit(i).cast("byte").alias("metrica"),
@@ -128,15 +98,28 @@ def _long(grouped: DataFrame, metrics: dict[str, int], ids: list[str]) -> DataFr
             for i, (name, sign) in enumerate(metrics.items())
         ]
     )
+
+
+def _membership(applies: Column, level: str, key: Column, size: str) -> Column:
+    return F.when(
+        applies, F.struct(F.lit(level).alias("nivel"), key.alias("chave"), F.col(size).alias("n"))
+    )
+
+
+def _long(
+    rows: DataFrame, levels: list[Column], metrics: dict[str, int], ids: list[str]
+) -> DataFrame:
+    """(ids, group, metric, value) of each row in each of its groups, missing values left out."""
     return (
-        _memberships(grouped)
+        rows.where(is_eligible())
+        .withColumn("_g", F.explode(F.array_compact(F.array(*levels))))
         .select(
             *ids,
             (F.col("_g.nivel") == F.col("grupo_usado")).alias("pergunta"),
             F.col("_g.nivel").alias("nivel"),
             F.col("_g.chave").alias("chave"),
             F.col("_g.n").alias("n_membros"),
-            F.explode(pairs).alias("_m"),
+            F.explode(metric_values(metrics)).alias("_m"),
         )
         .select("*", "_m.metrica", "_m.valor")
         .drop("_m")
@@ -144,36 +127,58 @@ def _long(grouped: DataFrame, metrics: dict[str, int], ids: list[str]) -> DataFr
     )
 
 
-def _up_to(long: DataFrame, hot_rows: int) -> DataFrame:
-    return long.where(F.col("n_membros") <= hot_rows).drop("n_membros")
-
-
-def _above(long: DataFrame, hot_rows: int) -> DataFrame:
-    return long.where(F.col("n_membros") > hot_rows).drop("n_membros")
-
-
 def midranks(
-    grouped: DataFrame, metrics: dict[str, int], ids: list[str], hot_rows: int = HOT_ROWS
+    grouped: DataFrame,
+    metrics: dict[str, int],
+    ids: list[str],
+    hot_rows: int = HOT_ROWS,
+    max_asking: int = MAX_ASKING,
 ) -> DataFrame:
     """Midrank percentile of each asked metric: (ids, metrica, n_valores, percentil).
 
     `metrics` maps a column to +1 (larger is better) or -1. `grouped` comes from
     `choose_groups`. `ids` must name a row uniquely and include the run date and `fonte`.
+
+    Sectors, where every member asks, are sorted. A wider group is asked by the rows of its small
+    or missing sectors: when they are few, their values are counted against the members; only
+    when they are many is the whole group sorted. The universe is asked by at most four rows per
+    macro group, so it is always counted.
     """
-    small = _up_to(_long(grouped, metrics, ids), hot_rows)
+    c = F.col
+    used, asking_macro = c("grupo_usado"), c("_ask_macro")
+    macro_ok, universe_ok = c("n_macro") >= MIN_GROUP, c("n_universo") >= MIN_GROUP
+    sector = _membership(used == SECTOR, SECTOR, c("_setor"), "n_setor")
+    macro = _membership((asking_macro > max_asking) & macro_ok, MACRO, c("_macro"), "n_macro")
+    groups = ["metrica", "nivel", "chave", "fonte", RUN]
+
+    def size_at_most(long: DataFrame) -> DataFrame:
+        return long.where(c("n_membros") <= hot_rows).drop("n_membros")
+
+    def size_above(long: DataFrame) -> DataFrame:
+        return long.where(c("n_membros") > hot_rows).drop("n_membros")
+
+    small = size_at_most(_long(grouped, [sector, macro], metrics, ids))
     # The inner filter is on cell sizes alone: with no hot source the branch is empty before
     # any row is read.
-    hot = _above(_long(grouped.where(F.col("n_universo") > hot_rows), metrics, ids), hot_rows)
-    groups = ["metrica", "nivel", "chave", "fonte", RUN]
-    return (
-        ranked(small, hot, groups, "valor", ids)
-        .where("pergunta")
-        .select(
-            *ids,
-            "metrica",
-            "n_valores",
-            ((F.col("abaixo") + F.lit(0.5) * F.col("iguais")) / F.col("n_valores")).alias(
-                "percentil"
-            ),
-        )
+    hot = size_above(
+        _long(grouped.where(c("n_universo") > hot_rows), [sector, macro], metrics, ids)
+    )
+    sorted_ranks = ranked(small, hot, groups, "valor", ids).where("pergunta")
+
+    few_macro = (asking_macro > 0) & (asking_macro <= max_asking) & macro_ok
+    some_universe = (c("_ask_universo") > 0) & universe_ok
+    wide = [
+        _membership(few_macro, MACRO, c("_macro"), "n_macro"),
+        _membership(some_universe, UNIVERSE, F.lit(""), "n_universo"),
+    ]
+    askers = ((used == MACRO) & few_macro) | ((used == UNIVERSE) & some_universe)
+    members = _long(grouped.where(few_macro | some_universe), wide, metrics, ids)
+    asking = _long(grouped.where(askers), wide, metrics, ids).where("pergunta")
+    counted_ranks = counted(asking.drop("n_membros"), members, groups, "valor")
+
+    return sorted_ranks.unionByName(counted_ranks).select(
+        *ids,
+        "metrica",
+        "n_valores",
+        ((c("abaixo") + F.lit(0.5) * c("iguais")) / c("n_valores")).alias("percentil"),
     )

@@ -22,6 +22,9 @@ SEARCH_STEPS = (128, 64, 32, 16, 8, 4, 2, 1)
 CUTS = sum(SEARCH_STEPS)
 CUT_ACCURACY = 10 * CUTS
 TIE_SPREAD = 64
+# A group in which at most this many rows ask is counted instead of sorted.
+COUNT_STEPS = (2048, 1024, 512, 256, *SEARCH_STEPS)
+MAX_ASKING = sum(COUNT_STEPS)
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -33,25 +36,31 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str)
     return left.join(renamed, condition, how).drop(*[f"_r_{key}" for key in keys])
 
 
-def with_range_number(rows: DataFrame, groups: list[str], value: str) -> DataFrame:
+def locate(
+    rows: DataFrame, cuts: DataFrame, groups: list[str], value: str, steps: tuple[int, ...]
+) -> DataFrame:
     """Number the value range of each row: even = between two cuts, odd = equal to a cut.
 
-    The cuts arrive by a join that Spark broadcasts while they are small (255 numbers per hot
-    group) and shuffles, splitting skewed keys, when they are not. The range is found by an
-    8-step binary search in generated code.
+    `cuts` has one sorted array `_cuts` per group, of at most `sum(steps)` values. It arrives by
+    a join that Spark broadcasts while it is small and shuffles, splitting skewed keys, when it
+    is not. The range is found by a binary search in generated code; past the end of a shorter
+    array `get` is NULL and the search stays where it is.
     """
-    fractions = ", ".join(f"{i / (CUTS + 1)}D" for i in range(1, CUTS + 1))
-    cuts = rows.groupBy(*groups).agg(
-        F.expr(f"percentile_approx({value}, array({fractions}), {CUT_ACCURACY})").alias("_cuts")
-    )
     search = ["0 AS _b0"] + [
         f"IF(get(_cuts, _b{i} + {step - 1}) < {value}, _b{i} + {step}, _b{i}) AS _b{i + 1}"
-        for i, step in enumerate(SEARCH_STEPS)
+        for i, step in enumerate(steps)
     ]
-    found = f"_b{len(SEARCH_STEPS)}"
+    found = f"_b{len(steps)}"
     number = f"2 * {found} + IF(get(_cuts, {found}) = {value}, 1, 0) AS _range"
     located = join_null_safe(rows, cuts, groups, "inner").selectExpr("*", *search, number)
-    return located.drop("_cuts", *[f"_b{i}" for i in range(len(SEARCH_STEPS) + 1)])
+    return located.drop("_cuts", *[f"_b{i}" for i in range(len(steps) + 1)])
+
+
+def quantile_cuts(rows: DataFrame, groups: list[str], value: str) -> DataFrame:
+    fractions = ", ".join(f"{i / (CUTS + 1)}D" for i in range(1, CUTS + 1))
+    return rows.groupBy(*groups).agg(
+        F.expr(f"percentile_approx({value}, array({fractions}), {CUT_ACCURACY})").alias("_cuts")
+    )
 
 
 def _range_sizes(rows: DataFrame, groups: list[str], value: str, distinct: bool) -> DataFrame:
@@ -66,11 +75,14 @@ def _range_sizes(rows: DataFrame, groups: list[str], value: str, distinct: bool)
         )
     else:
         sizes = rows.groupBy(*ranges).agg(F.count("*").alias("_size"), F.lit(0).alias("_kinds"))
-    # At most 2 * 255 + 1 rows per group here.
+    return _with_lower(sizes, groups)
+
+
+def _with_lower(sizes: DataFrame, groups: list[str]) -> DataFrame:
+    """Totals of all lower ranges; a group has at most twice as many ranges as cuts, plus one."""
     lower = W.partitionBy(*groups).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     return sizes.select(
-        *ranges,
-        "_size",
+        "*",
         F.coalesce(F.sum("_size").over(lower), F.lit(0)).alias("_lower"),
         F.coalesce(F.sum("_kinds").over(lower), F.lit(0)).alias("_lower_kinds"),
         F.sum("_size").over(W.partitionBy(*groups)).alias("_total"),
@@ -104,7 +116,7 @@ def _rank_small(rows: DataFrame, groups: list[str], value: str, distinct: bool)
 def _rank_hot(
     rows: DataFrame, groups: list[str], value: str, spread_by: list[str], distinct: bool
 ) -> DataFrame:
-    located = with_range_number(rows, groups, value)
+    located = locate(rows, quantile_cuts(rows, groups, value), groups, value, SEARCH_STEPS)
     sizes = _range_sizes(located, groups, value, distinct)
     tied = F.col("_range") % 2 == 1
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(TIE_SPREAD))
@@ -140,3 +152,28 @@ def ranked(
     return _rank_small(small, groups, value, distinct).unionByName(
         _rank_hot(hot, groups, value, spread_by, distinct)
     )
+
+
+def counted(
+    asking: DataFrame, members: DataFrame, groups: list[str], value: str
+) -> DataFrame:
+    """Rank a few asking rows per group among many members, without shuffling the members.
+
+    The asked values are the cuts, so every member is only counted into a range: a partial
+    aggregation per task. At most `MAX_ASKING` rows may ask per group. Adds the same columns as
+    `ranked`.
+    """
+    cuts = asking.groupBy(*groups).agg(F.sort_array(F.collect_set(value)).alias("_cuts"))
+    sizes = (
+        locate(members.select(*groups, value), cuts, groups, value, COUNT_STEPS)
+        .groupBy(*groups, "_range")
+        .agg(F.count("*").alias("_size"), F.max(value).alias(value), F.lit(0).alias("_kinds"))
+    )
+    # In an odd range all members have the asked value.
+    answers = _with_lower(sizes, groups).where(F.col("_range") % 2 == 1)
+    return join_null_safe(asking, answers, [*groups, value], "inner").select(
+        *asking.columns,
+        F.col("_lower").alias("abaixo"),
+        F.col("_size").alias("iguais"),
+        F.col("_total").alias("n_valores"),
+    )
