@@ -5,33 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickermill.operators.peers import RUN, is_eligible, metric_values
-from tickermill.operators.ranking import HOT_ROWS, ranked
+from tickermill.operators.peers import RUN, Grouping, is_eligible, metric_values
+from tickermill.operators.ranking import ranked
 
 MIN_CANDIDATES = 2
 # Column to rank and sign: low EV/EBIT first, high ROIC first.
 RANKED = {"ev_ebit": 1, "roic": -1}
 
 
-def dense_positions(grouped: DataFrame, ids: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def dense_positions(grouping: Grouping, ids: list[str]) -> DataFrame:
     """(ids, metrica, posicao_densa) of both ranks for eligible rows that have both values."""
-    pairs = metric_values(RANKED)
-    candidates = grouped.where(
+    candidates = grouping.rows.where(
         is_eligible() & F.col("ev_ebit").isNotNull() & F.col("roic").isNotNull()
     )
 
     def unpivot(rows: DataFrame) -> DataFrame:
-        return rows.select(*ids, F.inline(pairs))
-
-    return (
-        ranked(
-            unpivot(candidates.where(F.col("n_universo") <= hot_rows)),
-            unpivot(candidates.where(F.col("n_universo") > hot_rows)),
-            ["metrica", "fonte", RUN],
-            "valor",
-            ids,
-            distinct=True,
-        )
-        .where(F.col("n_valores") >= MIN_CANDIDATES)
-        .select(*ids, "metrica", "posicao_densa")
+        return rows.select(*ids, F.inline(metric_values(RANKED)))
+
+    small, hot = candidates, None
+    if grouping.has_hot:
+        small = candidates.where(F.col("n_universo") <= grouping.hot_rows)
+        hot = unpivot(candidates.where(F.col("n_universo") > grouping.hot_rows))
+    positions = ranked(
+        unpivot(small), hot, ["metrica", "fonte", RUN], "valor", ids, distinct=True
+    )
+    return positions.where(F.col("n_valores") >= MIN_CANDIDATES).select(
+        *ids, "metrica", "posicao_densa"
     )

@@ -7,11 +7,22 @@ level is ranked over its full membership and only the asking rows keep the answe
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickermill.operators.ranking import HOT_ROWS, MAX_ASKING, counted, join_null_safe, ranked
+from tickermill.operators.ranking import (
+    BROADCAST_BYTES,
+    HOT_ROWS,
+    MAX_ASKING,
+    MAX_HOT_GROUPS,
+    counted,
+    join_null_safe,
+    ranked,
+)
+from tickermill.session import scratch_path
 
 # Fixed values.
 MIN_GROUP = 5
@@ -57,10 +68,8 @@ def group_cells(df: DataFrame) -> DataFrame:
     asking = lambda level, *keys: F.sum(
         F.when(F.col("grupo_usado") == level, F.col("_n")).otherwise(0)
     ).over(W.partitionBy(RUN, "fonte", *keys))
-    return (
-        cells.withColumn("_ask_universo", asking(UNIVERSE))
-        .withColumn("_ask_macro", asking(MACRO, "_macro"))
-        .drop("_n")
+    return cells.withColumn("_ask_universo", asking(UNIVERSE)).withColumn(
+        "_ask_macro", asking(MACRO, "_macro")
     )
 
 
@@ -68,12 +77,59 @@ def with_cell_keys(df: DataFrame) -> DataFrame:
     return df.withColumns({"_setor": F.coalesce("setor", F.lit("")), "_macro": macro_group()})
 
 
-def choose_groups(df: DataFrame) -> DataFrame:
-    """Add `grupo_usado`, `n_grupo` and the sizes behind them; ineligible rows get NULL and 0."""
+@dataclass(frozen=True)
+class Grouping:
+    """Rows with their groups, and the measured sizes that decide how to rank them."""
+
+    rows: DataFrame
+    hot_rows: int
+    max_asking: int
+    has_hot: bool
+    asked_by_few: int
+    asked_by_many: int
+
+
+def measure_groups(
+    df: DataFrame, hot_rows: int = HOT_ROWS, max_asking: int = MAX_ASKING
+) -> Grouping:
+    """Size all groups in one pass, then attach them to the rows (still lazy).
+
+    The cells are written to the shared folder: later steps join a table of known size, which
+    Spark broadcasts only if it is small, instead of aggregating again. One row of totals comes
+    to the driver. `hot_rows` grows with the data so that at most a few thousand groups are hot.
+    """
+    spark = df.sparkSession
     keyed = with_cell_keys(df)
+    path = scratch_path(spark, "cells")
+    cells = group_cells(keyed)
+    cells.write.parquet(path)
+    stored = spark.read.schema(cells.schema).parquet(path)
+    few = (F.col("_ask_macro") <= max_asking) & (F.col("grupo_usado") == MACRO)
+    sizes = stored.agg(
+        F.coalesce(F.max("n_universo"), F.lit(0)).alias("largest"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("total"),
+        F.coalesce(
+            F.sum(F.when(few | (F.col("grupo_usado") == UNIVERSE), F.col("_n"))), F.lit(0)
+        ).alias("few"),
+        F.coalesce(
+            F.sum(F.when(~few & (F.col("grupo_usado") == MACRO), F.col("_n"))), F.lit(0)
+        ).alias("many"),
+    ).first()
+    limit = max(hot_rows, sizes["total"] // MAX_HOT_GROUPS)
+    return Grouping(
+        _attach(keyed, stored.drop("_n")),
+        limit,
+        max_asking,
+        sizes["largest"] > limit,
+        sizes["few"],
+        sizes["many"],
+    )
+
+
+def _attach(keyed: DataFrame, cells: DataFrame) -> DataFrame:
     joined = join_null_safe(
         keyed.withColumn("_ok", is_eligible()),
-        group_cells(keyed).withColumn("_ok", F.lit(True)),
+        cells.withColumn("_ok", F.lit(True)),
         [*_CELL, "_ok"],
         "left",
     )
@@ -86,6 +142,11 @@ def choose_groups(df: DataFrame) -> DataFrame:
     return joined.withColumn("n_grupo", size.cast("int")).drop("_ok")
 
 
+def choose_groups(df: DataFrame) -> DataFrame:
+    """Add `grupo_usado` and `n_grupo`; ineligible rows get NULL and 0."""
+    return measure_groups(df).rows
+
+
 def metric_values(metrics: dict[str, int]) -> Column:
     """Array of (metric code, signed value): larger is better for every metric."""
     return F.array(
@@ -127,56 +188,55 @@ def _long(
     )
 
 
-def midranks(
-    grouped: DataFrame,
-    metrics: dict[str, int],
-    ids: list[str],
-    hot_rows: int = HOT_ROWS,
-    max_asking: int = MAX_ASKING,
-) -> DataFrame:
+def midranks(grouping: Grouping, metrics: dict[str, int], ids: list[str]) -> DataFrame:
     """Midrank percentile of each asked metric: (ids, metrica, n_valores, percentil).
 
-    `metrics` maps a column to +1 (larger is better) or -1. `grouped` comes from
-    `choose_groups`. `ids` must name a row uniquely and include the run date and `fonte`.
+    `metrics` maps a column to +1 (larger is better) or -1. `ids` must name a row uniquely and
+    include the run date and `fonte`.
 
     Sectors, where every member asks, are sorted. A wider group is asked by the rows of its small
     or missing sectors: when they are few, their values are counted against the members; only
     when they are many is the whole group sorted. The universe is asked by at most four rows per
-    macro group, so it is always counted.
+    macro group, so it is always counted. Branches that the measured sizes rule out are left out.
     """
     c = F.col
+    rows, hot_rows, max_asking = grouping.rows, grouping.hot_rows, grouping.max_asking
     used, asking_macro = c("grupo_usado"), c("_ask_macro")
     macro_ok, universe_ok = c("n_macro") >= MIN_GROUP, c("n_universo") >= MIN_GROUP
-    sector = _membership(used == SECTOR, SECTOR, c("_setor"), "n_setor")
-    macro = _membership((asking_macro > max_asking) & macro_ok, MACRO, c("_macro"), "n_macro")
     groups = ["metrica", "nivel", "chave", "fonte", RUN]
 
-    def size_at_most(long: DataFrame) -> DataFrame:
-        return long.where(c("n_membros") <= hot_rows).drop("n_membros")
-
-    def size_above(long: DataFrame) -> DataFrame:
-        return long.where(c("n_membros") > hot_rows).drop("n_membros")
-
-    small = size_at_most(_long(grouped, [sector, macro], metrics, ids))
-    # The inner filter is on cell sizes alone: with no hot source the branch is empty before
-    # any row is read.
-    hot = size_above(
-        _long(grouped.where(c("n_universo") > hot_rows), [sector, macro], metrics, ids)
-    )
-    sorted_ranks = ranked(small, hot, groups, "valor", ids).where("pergunta")
-
-    few_macro = (asking_macro > 0) & (asking_macro <= max_asking) & macro_ok
-    some_universe = (c("_ask_universo") > 0) & universe_ok
-    wide = [
-        _membership(few_macro, MACRO, c("_macro"), "n_macro"),
-        _membership(some_universe, UNIVERSE, F.lit(""), "n_universo"),
-    ]
-    askers = ((used == MACRO) & few_macro) | ((used == UNIVERSE) & some_universe)
-    members = _long(grouped.where(few_macro | some_universe), wide, metrics, ids)
-    asking = _long(grouped.where(askers), wide, metrics, ids).where("pergunta")
-    counted_ranks = counted(asking.drop("n_membros"), members, groups, "valor")
-
-    return sorted_ranks.unionByName(counted_ranks).select(
+    levels = [_membership(used == SECTOR, SECTOR, c("_setor"), "n_setor")]
+    if grouping.asked_by_many:
+        many = (asking_macro > max_asking) & macro_ok
+        levels.append(_membership(many, MACRO, c("_macro"), "n_macro"))
+    small = _long(rows, levels, metrics, ids)
+    hot = None
+    if grouping.has_hot:
+        hot = _long(rows.where(c("n_universo") > hot_rows), levels, metrics, ids)
+        hot = hot.where(c("n_membros") > hot_rows).drop("n_membros")
+        small = small.where(c("n_membros") <= hot_rows)
+    answers = ranked(small.drop("n_membros"), hot, groups, "valor", ids).where("pergunta")
+
+    if grouping.asked_by_few:
+        few_macro = (asking_macro > 0) & (asking_macro <= max_asking) & macro_ok
+        some_universe = (c("_ask_universo") > 0) & universe_ok
+        wide = [
+            _membership(few_macro, MACRO, c("_macro"), "n_macro"),
+            _membership(some_universe, UNIVERSE, F.lit(""), "n_universo"),
+        ]
+        askers = ((used == MACRO) & few_macro) | ((used == UNIVERSE) & some_universe)
+        members = _long(rows.where(few_macro | some_universe), wide, metrics, ids)
+        asking = _long(rows.where(askers), wide, metrics, ids).where("pergunta")
+        answers = answers.unionByName(
+            counted(
+                asking.drop("n_membros"),
+                members,
+                groups,
+                "valor",
+                broadcast_cuts=grouping.asked_by_few * len(metrics) * 8 <= BROADCAST_BYTES,
+            )
+        )
+    return answers.select(
         *ids,
         "metrica",
         "n_valores",

@@ -22,6 +22,10 @@ SEARCH_STEPS = (128, 64, 32, 16, 8, 4, 2, 1)
 CUTS = sum(SEARCH_STEPS)
 CUT_ACCURACY = 10 * CUTS
 TIE_SPREAD = 64
+# The size limit grows with the data, so that this many groups per level can be hot at most and
+# their cuts stay broadcastable (255 numbers per group and metric).
+MAX_HOT_GROUPS = 1_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 # A group in which at most this many rows ask is counted instead of sorted.
 COUNT_STEPS = (2048, 1024, 512, 256, *SEARCH_STEPS)
 MAX_ASKING = sum(COUNT_STEPS)
@@ -41,10 +45,9 @@ def locate(
 ) -> DataFrame:
     """Number the value range of each row: even = between two cuts, odd = equal to a cut.
 
-    `cuts` has one sorted array `_cuts` per group, of at most `sum(steps)` values. It arrives by
-    a join that Spark broadcasts while it is small and shuffles, splitting skewed keys, when it
-    is not. The range is found by a binary search in generated code; past the end of a shorter
-    array `get` is NULL and the search stays where it is.
+    `cuts` has one sorted array `_cuts` per group, of at most `sum(steps)` values. The range is
+    found by a binary search in generated code; past the end of a shorter array `get` is NULL
+    and the search stays where it is.
     """
     search = ["0 AS _b0"] + [
         f"IF(get(_cuts, _b{i} + {step - 1}) < {value}, _b{i} + {step}, _b{i}) AS _b{i + 1}"
@@ -116,7 +119,9 @@ def _rank_small(rows: DataFrame, groups: list[str], value: str, distinct: bool)
 def _rank_hot(
     rows: DataFrame, groups: list[str], value: str, spread_by: list[str], distinct: bool
 ) -> DataFrame:
-    located = locate(rows, quantile_cuts(rows, groups, value), groups, value, SEARCH_STEPS)
+    # At most MAX_HOT_GROUPS per level and metric, of 2 KB each.
+    cuts = F.broadcast(quantile_cuts(rows, groups, value))
+    located = locate(rows, cuts, groups, value, SEARCH_STEPS)
     sizes = _range_sizes(located, groups, value, distinct)
     tied = F.col("_range") % 2 == 1
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(TIE_SPREAD))
@@ -137,7 +142,7 @@ def _rank_hot(
 
 def ranked(
     small: DataFrame,
-    hot: DataFrame,
+    hot: DataFrame | None,
     groups: list[str],
     value: str,
     spread_by: list[str],
@@ -146,24 +151,31 @@ def ranked(
     """Rank non-null values ascending within each group.
 
     `small` and `hot` hold the rows of groups below and above the size limit; a group is wholly
-    in one of them. Adds `abaixo` (rows with a smaller value), `iguais` (rows with the same
+    in one of them; `hot` is None where no group is that large. Adds `abaixo` (rows with a smaller value), `iguais` (rows with the same
     value, itself included), `n_valores` (rows in the group) and, on request, `posicao_densa`.
     """
-    return _rank_small(small, groups, value, distinct).unionByName(
-        _rank_hot(hot, groups, value, spread_by, distinct)
-    )
+    answers = _rank_small(small, groups, value, distinct)
+    if hot is not None:
+        answers = answers.unionByName(_rank_hot(hot, groups, value, spread_by, distinct))
+    return answers
 
 
 def counted(
-    asking: DataFrame, members: DataFrame, groups: list[str], value: str
+    asking: DataFrame,
+    members: DataFrame,
+    groups: list[str],
+    value: str,
+    broadcast_cuts: bool = False,
 ) -> DataFrame:
     """Rank a few asking rows per group among many members, without shuffling the members.
 
     The asked values are the cuts, so every member is only counted into a range: a partial
-    aggregation per task. At most `MAX_ASKING` rows may ask per group. Adds the same columns as
-    `ranked`.
+    aggregation per task. At most `MAX_ASKING` rows may ask per group. `broadcast_cuts` says that
+    the caller has checked the total size of the asked values. Adds the same columns as `ranked`.
     """
     cuts = asking.groupBy(*groups).agg(F.sort_array(F.collect_set(value)).alias("_cuts"))
+    if broadcast_cuts:
+        cuts = F.broadcast(cuts)
     sizes = (
         locate(members.select(*groups, value), cuts, groups, value, COUNT_STEPS)
         .groupBy(*groups, "_range")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickermill.operators import magic, peers
-from tickermill.operators.ranking import HOT_ROWS, join_null_safe
+from tickermill.operators.ranking import HOT_ROWS, MAX_ASKING, join_null_safe
 
 # Fixed values: (bad -> 0, good -> 100) reference points per metric.
 BANDS = {
@@ -203,19 +203,19 @@ def technical_signal() -> Column:
     )
 
 
-def _peer_values(grouped: DataFrame, hot_rows: int) -> DataFrame:
+def _peer_values(grouping: peers.Grouping) -> DataFrame:
     """Per row id: `_p_<metric>` percentiles and the Magic Formula rank.
 
     The narrow answers are brought together by row id before they are spread to columns, so one
     shuffle of (id, metric, answer) rows does it; aggregating first would shuffle wider rows.
     """
     first_magic = len(BANDS)
-    answers = peers.midranks(grouped, DIRECTIONS, ROW_ID, hot_rows).select(
+    answers = peers.midranks(grouping, DIRECTIONS, ROW_ID).select(
         *ROW_ID,
         "metrica",
         F.when(F.col("n_valores") >= peers.MIN_GROUP, F.col("percentil")).alias("resposta"),
     )
-    positions = magic.dense_positions(grouped, ROW_ID, hot_rows).select(
+    positions = magic.dense_positions(grouping, ROW_ID).select(
         *ROW_ID,
         (F.col("metrica") + first_magic).cast("byte").alias("metrica"),
         F.col("posicao_densa").cast("double").alias("resposta"),
@@ -235,15 +235,17 @@ def _peer_values(grouped: DataFrame, hot_rows: int) -> DataFrame:
     )
 
 
-def score_universe(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def score_universe(
+    df: DataFrame, hot_rows: int = HOT_ROWS, max_asking: int = MAX_ASKING
+) -> DataFrame:
     """Add score, grade, peer group, coverage, confidence, classic formulas and Magic Formula.
 
     Takes one row per (data_coleta, ticker); each run date is scored on its own. Rows that may
     not be scored keep their formulas and flags and get the "no data" defaults.
     """
     c = F.col
-    grouped = peers.choose_groups(df)
-    with_peers = join_null_safe(grouped, _peer_values(grouped, hot_rows), ROW_ID, "left")
+    grouping = peers.measure_groups(df, hot_rows, max_asking)
+    with_peers = join_null_safe(grouping.rows, _peer_values(grouping), ROW_ID, "left")
     notes = with_peers.withColumns(
         {
             **{f"_b_{name}": metric_band(name, c(name), c("ebitda")) for name in BANDS},

@@ -10,7 +10,7 @@ from tickermill.functions import indicators
 from tickermill.functions.categories import with_categories
 from tickermill.functions.coercion import conform
 from tickermill.operators.dedup import latest_envelopes
-from tickermill.operators.ranking import HOT_ROWS
+from tickermill.operators.ranking import HOT_ROWS, MAX_ASKING
 from tickermill.operators.scoring import score_universe
 
 
@@ -27,9 +27,11 @@ def series_rows(bronze: DataFrame, run_date: str = "") -> DataFrame:
     return indicators.price_series(bronze, run_date)
 
 
-def gold_rows(silver: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def gold_rows(
+    silver: DataFrame, hot_rows: int = HOT_ROWS, max_asking: int = MAX_ASKING
+) -> DataFrame:
     """Scored and labelled rows; labels come after the score because one of them uses it."""
-    labelled = with_categories(score_universe(silver, hot_rows))
+    labelled = with_categories(score_universe(silver, hot_rows, max_asking))
     return conform(
         labelled.withColumn("data_referencia", F.col("data_coleta")), schemas.GOLD
     )

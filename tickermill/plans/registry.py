@@ -18,9 +18,9 @@ from tickermill.streaming import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Group size above which the `_split` queries cut groups into value ranges, to check that path
-# on small tables; the default limit applies everywhere else.
-SPLIT_ABOVE = 50
+# Limits of the `_split` queries, which check the path of hot groups and of many askers on small
+# tables; the defaults apply everywhere else.
+SPLIT = {"hot_rows": 50, "max_asking": 10}
 
 
 def _stored(name: str) -> Query:
@@ -154,11 +154,11 @@ def peer_groups(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _midranks(hot_rows: int) -> Query:
+def _midranks(**limits: int) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        grouped = peers.choose_groups(SILVER(spark, folder))
+        grouping = peers.measure_groups(SILVER(spark, folder), **limits)
         names = F.array(*[F.lit(name) for name in scoring.BANDS])
-        return peers.midranks(grouped, scoring.DIRECTIONS, scoring.ROW_ID, hot_rows).select(
+        return peers.midranks(grouping, scoring.DIRECTIONS, scoring.ROW_ID).select(
             *scoring.ROW_ID,
             F.get(names, F.col("metrica").cast("int")).alias("metrica"),
             "n_valores",
@@ -168,11 +168,11 @@ def _midranks(hot_rows: int) -> Query:
     return query
 
 
-def _magic_positions(hot_rows: int) -> Query:
+def _magic_positions(**limits: int) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        grouped = peers.choose_groups(SILVER(spark, folder))
+        grouping = peers.measure_groups(SILVER(spark, folder), **limits)
         names = F.array(*[F.lit(name) for name in magic.RANKED])
-        return magic.dense_positions(grouped, scoring.ROW_ID, hot_rows).select(
+        return magic.dense_positions(grouping, scoring.ROW_ID).select(
             *scoring.ROW_ID,
             F.get(names, F.col("metrica").cast("int")).alias("metrica"),
             F.col("posicao_densa").cast("long").alias("posicao_densa"),
@@ -181,10 +181,8 @@ def _magic_positions(hot_rows: int) -> Query:
     return query
 
 
-def _gold(hot_rows: int) -> Query:
-    return lambda spark, folder: _settled(
-        medallion.gold_rows(SILVER(spark, folder), hot_rows)
-    )
+def _gold(**limits: int) -> Query:
+    return lambda spark, folder: _settled(medallion.gold_rows(SILVER(spark, folder), **limits))
 
 
 # --- sources, sinks, catalog --------------------------------------------------------------
@@ -337,12 +335,12 @@ QUERIES: dict[str, Query] = {
     "silver_indicators": silver_indicators,
     "silver_prices": silver_prices,
     "peer_groups": peer_groups,
-    "peer_midranks": _midranks(peers.HOT_ROWS),
-    "peer_midranks_split": _midranks(SPLIT_ABOVE),
-    "magic_positions": _magic_positions(peers.HOT_ROWS),
-    "magic_positions_split": _magic_positions(SPLIT_ABOVE),
-    "gold_scores": _gold(peers.HOT_ROWS),
-    "gold_scores_split": _gold(SPLIT_ABOVE),
+    "peer_midranks": _midranks(),
+    "peer_midranks_split": _midranks(**SPLIT),
+    "magic_positions": _magic_positions(),
+    "magic_positions_split": _magic_positions(**SPLIT),
+    "gold_scores": _gold(),
+    "gold_scores_split": _gold(**SPLIT),
     "ingest_guard": ingest_guard,
     "landing_replay": landing_replay,
     "tick_stream": tick_stream,

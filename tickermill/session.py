@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -40,3 +41,9 @@ def shared_dir(spark: SparkSession) -> str:
     own = tempfile.mkdtemp(prefix="tickermill-")
     spark.conf.set(CHECKPOINT_CONF, own)
     return own
+
+
+def scratch_path(spark: SparkSession, purpose: str) -> str:
+    """A new path of this application under the shared folder."""
+    app = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/tickermill/{app}/{purpose}-{uuid.uuid4().hex}"
