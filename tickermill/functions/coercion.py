@@ -2,41 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tickermill import schemas
-from tickermill.functions.guards import finite, parse_number
+from tickermill.functions.guards import finite_sql, parse_number_sql
 
 
-def coerce(value: Column, source: T.DataType, kind: str) -> Column:
-    """Value of any simple type as one of the logical types; what cannot be converted is NULL."""
+def coerce_sql(name: str, source: T.DataType, kind: str) -> str:
+    """Column of any simple type as one of the logical types; what cannot be converted is NULL."""
+    target = schemas.LOGICAL_TYPES[kind].simpleString()
+    value = f"`{name}`"
     if isinstance(source, T.NullType):
-        return F.lit(None).cast(schemas.LOGICAL_TYPES[kind])
+        return f"CAST(NULL AS {target})"
     if kind == "decimal":
-        number = parse_number(value) if isinstance(source, T.StringType) else value.try_cast("double")
-        return finite(number)
+        if isinstance(source, T.DoubleType):
+            return finite_sql(value)
+        as_text = isinstance(source, T.StringType)
+        return finite_sql(parse_number_sql(value) if as_text else f"TRY_CAST({value} AS DOUBLE)")
     if kind in ("inteiro", "longo"):
-        return value.try_cast(schemas.LOGICAL_TYPES[kind])
+        return f"TRY_CAST({value} AS {target})"
+    if isinstance(source, schemas.LOGICAL_TYPES[kind].__class__):
+        return value
     if kind == "booleano":
-        if isinstance(source, T.BooleanType):
-            return value
         # Truthiness: any non-empty text and any non-zero number counts as true.
-        return value != "" if isinstance(source, T.StringType) else value != 0
+        return f"{value} <> ''" if isinstance(source, T.StringType) else f"{value} <> 0"
     if isinstance(source, T.BooleanType):
-        return F.initcap(value.cast("string"))
-    return value.cast("string")
+        return f"initcap(CAST({value} AS STRING))"
+    return f"CAST({value} AS STRING)"
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Same columns, order and types as the table: missing become NULL, extras are dropped."""
     present = {field.name: field.dataType for field in df.schema.fields}
-    return df.select(
+    return df.selectExpr(
         *[
-            coerce(F.col(name), present[name], kind).alias(name)
-            if name in present
-            else F.lit(None).cast(schemas.LOGICAL_TYPES[kind]).alias(name)
+            f"{coerce_sql(name, present.get(name, T.NullType()), kind)} AS `{name}`"
             for name, kind in schemas.logical_types(table).items()
         ]
     )

@@ -47,6 +47,16 @@ def parse_number(text: Column) -> Column:
     return F.when(~F.lower(F.right(F.rtrim(text), F.lit(1))).isin("d", "f"), text.try_cast("double"))
 
 
+def parse_number_sql(text: str) -> str:
+    """`parse_number` as SQL text, for long generated column lists."""
+    return f"IF(lower(right(rtrim({text}), 1)) IN ('d', 'f'), NULL, TRY_CAST({text} AS DOUBLE))"
+
+
+def finite_sql(value: str) -> str:
+    """`finite` as SQL text."""
+    return f"IF(abs({value}) < DOUBLE('Infinity'), {value}, NULL)"
+
+
 def number(text: Column) -> Column:
     """Finite double from JSON text; booleans, words, NaN and infinities become NULL."""
     return finite(parse_number(text))

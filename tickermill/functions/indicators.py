@@ -16,8 +16,9 @@ from tickermill.functions.guards import (
     SANITY_BOUNDS,
     blank_to_null,
     finite,
+    finite_sql,
     first_valid,
-    parse_number,
+    parse_number_sql,
     safe_divide,
     safe_multiply,
     sane,
@@ -69,6 +70,9 @@ _LEAVES = {
     **{f"f_{name}": f"_payload.financialData.`{name}`" for name in FINANCIAL_NUMBERS},
 }
 
+# The volatility is bounded where it is computed, in the series.
+_BOUNDED = [name for name in SANITY_BOUNDS if name != "volatilidade_anualizada"]
+
 
 def parse_payload(bronze: DataFrame, run_date: str = "") -> DataFrame:
     """Bronze envelopes with the payload parsed once; bad or missing JSON gives empty fields."""
@@ -107,9 +111,13 @@ def indicators(bronze: DataFrame, run_date: str = "") -> DataFrame:
         "coletado_em",
         "data_coleta",
         series.valid_points(c("_payload.historicalDataPrice")).alias("_points"),
-        *[parse_number(c(path)).alias(name) for name, path in _LEAVES.items()],
+        *[F.expr(f"{parse_number_sql(path)} AS {name}") for name, path in _LEAVES.items()],
+    )
+    # A step of its own, so that each text is parsed once.
+    guarded = raw.selectExpr(
+        *[name for name in raw.columns if name not in _LEAVES],
+        *[f"{finite_sql(name)} AS {name}" for name in _LEAVES],
     )
-    guarded = raw.withColumns({name: finite(c(name)) for name in _LEAVES})
 
     inputs = guarded.withColumns(
         {
@@ -199,7 +207,7 @@ def indicators(bronze: DataFrame, run_date: str = "") -> DataFrame:
     )
     # Bounds come last, so no formula above sees a bounded input.
     bounded = ratios.withColumns(
-        {name: sane(name, c(name)) for name in SANITY_BOUNDS if name in ratios.columns}
+        {name: sane(name, c(name)) for name in _BOUNDED}
     )
     labelled = series.with_series_metrics(bounded, "_points").withColumns(
         {
@@ -217,7 +225,7 @@ def indicators(bronze: DataFrame, run_date: str = "") -> DataFrame:
 
 def with_eligibility(df: DataFrame) -> DataFrame:
     """Coverage of the core fields and whether, and if not why not, a row may be scored."""
-    filled = sum((F.col(name).isNotNull().cast("int") for name in CORE_FIELDS), F.lit(0))
+    filled = F.expr(" + ".join(f"INT({name} IS NOT NULL)" for name in CORE_FIELDS))
     return (
         df.withColumn("cobertura_campos_pct", filled / F.lit(float(len(CORE_FIELDS))))
         .withColumn(

@@ -148,17 +148,15 @@ def choose_groups(df: DataFrame) -> DataFrame:
 
 
 def metric_values(metrics: dict[str, int]) -> Column:
-    """Array of (metric code, signed value): larger is better for every metric."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(i).cast("byte").alias("metrica"),
-                # Zero is kept unsigned, so that 0 and -0 tie.
-                F.when(F.col(name) == 0, 0.0).otherwise(F.col(name) * float(sign)).alias("valor"),
-            )
-            for i, (name, sign) in enumerate(metrics.items())
-        ]
-    )
+    """Array of (metric code, signed value): larger is better for every metric.
+
+    Zero is kept unsigned, so that 0 and -0 tie.
+    """
+    pairs = [
+        f"named_struct('metrica', {i}Y, 'valor', IF({name} = 0, 0D, {'' if sign > 0 else '-'}{name}))"
+        for i, (name, sign) in enumerate(metrics.items())
+    ]
+    return F.expr(f"array({', '.join(pairs)})")
 
 
 def _membership(applies: Column, level: str, key: Column, size: str) -> Column:
@@ -173,7 +171,8 @@ def _long(
     """(ids, group, metric, value) of each row in each of its groups, missing values left out."""
     return (
         rows.where(is_eligible())
-        .withColumn("_g", F.explode(F.array_compact(F.array(*levels))))
+        .withColumn("_g", F.explode(F.array(*levels)))
+        .where(F.col("_g").isNotNull())
         .select(
             *ids,
             (F.col("_g.nivel") == F.col("grupo_usado")).alias("pergunta"),

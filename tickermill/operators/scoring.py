@@ -77,61 +77,63 @@ ROW_ID = ["data_coleta", "fonte", "ticker"]
 DIRECTIONS = {name: (1 if good > bad else -1) for name, (bad, good) in BANDS.items()}
 
 
-def band_score(value: Column, bad: float, good: float) -> Column:
-    """Linear between the two points, held to [0, 100]; NULL stays NULL."""
+def band_sql(value: str, bad: float, good: float) -> str:
+    """Linear between the two points, held to [0, 100]; NULL stays NULL.
+
+    `least` and `greatest` skip NULLs, so the guard is needed.
+    """
     if bad == good:
         raise ValueError("band reference points must differ")
-    raw = F.lit(100.0) * (value - F.lit(bad)) / F.lit(good - bad)
-    # least/greatest skip NULLs, so the guard is needed.
-    return F.when(value.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(100.0), raw)))
+    line = f"100D * ({value} - {bad}D) / {good - bad}D"
+    return f"IF({value} IS NULL, NULL, greatest(0D, least(100D, {line})))"
 
 
-def metric_band(name: str, value: Column, ebitda: Column | None = None) -> Column:
+def metric_band_sql(name: str, value: str | None = None, ebitda: str = "ebitda") -> str:
     """Band score with the economic exceptions; unknown metrics have none."""
     if name not in BANDS:
-        return F.lit(None).cast("double")
-    score = F.when(value.isNull(), F.lit(None).cast("double"))
+        return "CAST(NULL AS DOUBLE)"
+    value = value or name
+    rules = []
     if name in WORTHLESS_IF_NOT_POSITIVE:
-        score = score.when(value <= 0, 0.0)
+        rules.append(f"WHEN {value} <= 0 THEN 0D")
+    if name == "divida_liquida_ebitda":
+        rules.append(f"WHEN {value} < 0 AND {ebitda} <= 0 THEN 0D")
     if name in BEST_IF_NEGATIVE:
-        if name == "divida_liquida_ebitda" and ebitda is not None:
-            score = score.when((value < 0) & (ebitda <= 0), 0.0)
-        score = score.when(value < 0, 100.0)
+        rules.append(f"WHEN {value} < 0 THEN 100D")
     if name == "dividend_yield":
-        score = score.when(value > SUSPECT_YIELD, 100.0)
-    return score.otherwise(band_score(value, *BANDS[name]))
+        rules.append(f"WHEN {value} > {SUSPECT_YIELD}D THEN 100D")
+    band = band_sql(value, *BANDS[name])
+    return f"CASE {' '.join(rules)} ELSE {band} END" if rules else band
 
 
-def metric_score(band: Column, percentile: Column) -> Column:
+def note_sql(band: str, percentile: str) -> str:
     """Band blended with the peer percentile where there is one."""
-    blended = F.lit(BAND_SHARE) * band + F.lit(PERCENTILE_SHARE) * (percentile * 100.0)
-    return F.when(band.isNotNull() & percentile.isNotNull(), blended).otherwise(band)
+    blend = f"{BAND_SHARE}D * {band} + {PERCENTILE_SHARE}D * ({percentile} * 100D)"
+    return f"IF({percentile} IS NULL, {band}, {blend})"
 
 
-def weighted_mean(pairs: list[tuple[Column, Column]], total: Column, minimum: float):
+def weighted_mean_sql(pairs: list[tuple[str, str]], total: str, minimum: float) -> tuple[str, str]:
     """(mean over present values, share of weight present); the mean is NULL below `minimum`.
 
     Weights are added in the order given: the cut-offs are hit exactly by real combinations.
     """
-    present = reduce(add, (F.when(value.isNotNull(), w).otherwise(0.0) for w, value in pairs))
-    weighted = reduce(add, (F.when(value.isNotNull(), w * value).otherwise(0.0) for w, value in pairs))
-    share = F.when(total > 0, present / total).otherwise(0.0)
-    return F.when((share >= minimum) & (present > 0), F.try_divide(weighted, present)), share
-
-
-def pillar_scores(note, financial: Column) -> dict[str, Column]:
-    """`score_<pillar>` columns from a function that maps a metric name to its score column."""
-    scores = {}
-    for pillar, weights in METRIC_WEIGHTS.items():
-        pairs = [
-            (F.when(financial, special).otherwise(standard), note(name))
-            for name, (standard, special) in weights.items()
-        ]
-        total = F.when(financial, reduce(add, (w[1] for w in weights.values()))).otherwise(
-            reduce(add, (w[0] for w in weights.values()))
-        )
-        scores[f"score_{pillar}"] = weighted_mean(pairs, total, MIN_PILLAR_COVERAGE)[0]
-    return scores
+    present = " + ".join(f"IF({value} IS NULL, 0D, {weight})" for weight, value in pairs)
+    weighted = " + ".join(f"IF({value} IS NULL, 0D, {weight} * {value})" for weight, value in pairs)
+    share = f"(({present}) / {total})"
+    mean = f"IF({share} >= {minimum}D AND {present} > 0, ({weighted}) / ({present}), NULL)"
+    return mean, share
+
+
+def pillar_sql(pillar: str, financial: str = "_financial", prefix: str = "_n_") -> str:
+    """Pillar score from the metric notes, with the weights of the row's profile."""
+    weights = METRIC_WEIGHTS[pillar]
+    pairs = [
+        (f"IF({financial}, {special}D, {standard}D)", f"{prefix}{name}")
+        for name, (standard, special) in weights.items()
+    ]
+    totals = [reduce(add, (w[side] for w in weights.values())) for side in (0, 1)]
+    total = f"IF({financial}, {totals[1]}D, {totals[0]}D)"
+    return weighted_mean_sql(pairs, total, MIN_PILLAR_COVERAGE)[0]
 
 
 def letter_grade(score: Column) -> Column:
@@ -221,16 +223,18 @@ def _peer_values(grouping: peers.Grouping) -> DataFrame:
         F.col("posicao_densa").cast("double").alias("resposta"),
     )
 
-    def answer(code: int) -> Column:
-        return F.max(F.when(F.col("metrica") == code, F.col("resposta")))
-
+    columns = [f"_p_{name}" for name in BANDS]
+    magic_ranks = [f"max(IF(metrica = {first_magic + i}, resposta, NULL))" for i in (0, 1)]
     return (
         answers.unionByName(positions)
         .repartition(*[F.col(name) for name in ROW_ID])
         .groupBy(*ROW_ID)
         .agg(
-            *[answer(i).alias(f"_p_{name}") for i, name in enumerate(BANDS)],
-            (answer(first_magic) + answer(first_magic + 1)).cast("int").alias("rank_magic_formula"),
+            *[
+                F.expr(f"max(IF(metrica = {i}, resposta, NULL)) AS {column}")
+                for i, column in enumerate(columns)
+            ],
+            F.expr(f"INT({' + '.join(magic_ranks)}) AS rank_magic_formula"),
         )
     )
 
@@ -243,36 +247,36 @@ def score_universe(
     Takes one row per (data_coleta, ticker); each run date is scored on its own. Rows that may
     not be scored keep their formulas and flags and get the "no data" defaults.
     """
-    c = F.col
     grouping = peers.measure_groups(df, hot_rows, max_asking)
     with_peers = join_null_safe(grouping.rows, _peer_values(grouping), ROW_ID, "left")
-    notes = with_peers.withColumns(
-        {
-            **{f"_b_{name}": metric_band(name, c(name), c("ebitda")) for name in BANDS},
-            "perfil_pesos": peers.weight_profile(),
-            "_ok": peers.is_eligible(),
-            "_financial": F.coalesce(c("setor_financeiro"), F.lit(False)),
-        }
-    ).withColumns(
-        {
-            f"_b_{name}": F.when(c("_ok"), metric_score(c(f"_b_{name}"), c(f"_p_{name}")))
+    bands = with_peers.selectExpr(
+        "*",
+        *[f"{metric_band_sql(name)} AS _b_{name}" for name in BANDS],
+        "coalesce(elegivel_score, false) AS _ok",
+        "coalesce(setor_financeiro, false) AS _financial",
+    )
+    notes = bands.selectExpr(
+        "*",
+        *[
+            f"IF(_ok, {note_sql(f'_b_{name}', f'_p_{name}')}, NULL) AS _n_{name}"
             for name in BANDS
-        }
+        ],
     )
-    pillars = notes.withColumns(pillar_scores(lambda name: c(f"_b_{name}"), c("_financial")))
-    score, coverage = weighted_mean(
-        [(F.lit(w), c(f"score_{pillar}")) for pillar, w in PILLAR_WEIGHTS.items()],
-        F.lit(reduce(add, PILLAR_WEIGHTS.values())),
+    pillars = notes.selectExpr("*", *[f"{pillar_sql(p)} AS score_{p}" for p in PILLAR_WEIGHTS])
+    score, coverage = weighted_mean_sql(
+        [(f"{weight}D", f"score_{pillar}") for pillar, weight in PILLAR_WEIGHTS.items()],
+        f"{reduce(add, PILLAR_WEIGHTS.values())}D",
         MIN_SCORE_COVERAGE,
     )
-    scored = pillars.withColumns({"score_final": score, "cobertura_indicadores_pct": coverage})
+    scored = pillars.selectExpr(
+        "*", f"{score} AS score_final", f"{coverage} AS cobertura_indicadores_pct"
+    )
     graded = scored.withColumns(
         {
-            "nota": letter_grade(c("score_final")),
-            "confianca": confidence_level(c("cobertura_indicadores_pct")),
+            "perfil_pesos": peers.weight_profile(),
+            "nota": letter_grade(F.col("score_final")),
+            "confianca": confidence_level(F.col("cobertura_indicadores_pct")),
         }
     )
     internal = [name for name in graded.columns if name.startswith("_")]
     return with_classic_formulas(graded.drop(*internal, "n_setor", "n_macro", "n_universo"))
-
-

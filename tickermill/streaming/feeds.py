@@ -50,8 +50,11 @@ def well_formed(messages: DataFrame) -> DataFrame:
 
 
 def malformed(messages: DataFrame) -> DataFrame:
-    """The rejected lines, for logging or quarantine."""
-    return messages.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("linha"))
+    """The rejected lines (`linha`) beside what could be read of them, for a quarantine sink.
+
+    Spark refuses to read the rejected text without any other column.
+    """
+    return messages.where(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "linha")
 
 
 def append_ticks(
