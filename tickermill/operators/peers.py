@@ -193,38 +193,47 @@ def midranks(grouping: Grouping, metrics: dict[str, int], ids: list[str]) -> Dat
     `metrics` maps a column to +1 (larger is better) or -1. `ids` must name a row uniquely and
     include the run date and `fonte`.
 
-    Sectors, where every member asks, are sorted. A wider group is asked by the rows of its small
-    or missing sectors: when they are few, their values are counted against the members; only
-    when they are many is the whole group sorted. The universe is asked by at most four rows per
-    macro group, so it is always counted. Branches that the measured sizes rule out are left out.
+    Groups of ordinary size are sorted, each level over its full membership. Once a source is
+    hot, a wider group is sorted only if many rows ask: the rows of its small or missing sectors.
+    When they are few, their values are counted against the members instead, which are then not
+    shuffled at all. The universe is asked by at most four rows per macro group, so it is never
+    sorted then. Branches that the measured sizes rule out are left out of the plan.
     """
     c = F.col
     rows, hot_rows, max_asking = grouping.rows, grouping.hot_rows, grouping.max_asking
-    used, asking_macro = c("grupo_usado"), c("_ask_macro")
+    used, asked_macro, asked_universe = c("grupo_usado"), c("_ask_macro"), c("_ask_universo")
     macro_ok, universe_ok = c("n_macro") >= MIN_GROUP, c("n_universo") >= MIN_GROUP
     groups = ["metrica", "nivel", "chave", "fonte", RUN]
 
-    levels = [_membership(used == SECTOR, SECTOR, c("_setor"), "n_setor")]
+    def macro(applies: Column) -> Column:
+        return _membership(applies & macro_ok, MACRO, c("_macro"), "n_macro")
+
+    sector = _membership(used == SECTOR, SECTOR, c("_setor"), "n_setor")
+    universe = _membership((asked_universe > 0) & universe_ok, UNIVERSE, F.lit(""), "n_universo")
+
+    if not grouping.has_hot:
+        levels = [sector]
+        if grouping.asked_by_few or grouping.asked_by_many:
+            levels += [macro(asked_macro > 0), universe]
+        everyone = _long(rows, levels, metrics, ids).drop("n_membros")
+        answers = ranked(everyone, None, groups, "valor", ids).where("pergunta")
+        return _percentiles(answers, ids)
+
+    levels = [sector]
     if grouping.asked_by_many:
-        many = (asking_macro > max_asking) & macro_ok
-        levels.append(_membership(many, MACRO, c("_macro"), "n_macro"))
-    small = _long(rows, levels, metrics, ids)
-    hot = None
-    if grouping.has_hot:
-        hot = _long(rows.where(c("n_universo") > hot_rows), levels, metrics, ids)
-        hot = hot.where(c("n_membros") > hot_rows).drop("n_membros")
-        small = small.where(c("n_membros") <= hot_rows)
-    answers = ranked(small.drop("n_membros"), hot, groups, "valor", ids).where("pergunta")
+        levels.append(macro(asked_macro > max_asking))
+    small = _long(rows, levels, metrics, ids).where(c("n_membros") <= hot_rows)
+    hot = _long(rows.where(c("n_universo") > hot_rows), levels, metrics, ids)
+    hot = hot.where(c("n_membros") > hot_rows)
+    answers = ranked(
+        small.drop("n_membros"), hot.drop("n_membros"), groups, "valor", ids
+    ).where("pergunta")
 
     if grouping.asked_by_few:
-        few_macro = (asking_macro > 0) & (asking_macro <= max_asking) & macro_ok
-        some_universe = (c("_ask_universo") > 0) & universe_ok
-        wide = [
-            _membership(few_macro, MACRO, c("_macro"), "n_macro"),
-            _membership(some_universe, UNIVERSE, F.lit(""), "n_universo"),
-        ]
-        askers = ((used == MACRO) & few_macro) | ((used == UNIVERSE) & some_universe)
-        members = _long(rows.where(few_macro | some_universe), wide, metrics, ids)
+        few_macro = (asked_macro > 0) & (asked_macro <= max_asking)
+        wide = [macro(few_macro), universe]
+        askers = ((used == MACRO) & few_macro) | (used == UNIVERSE)
+        members = _long(rows.where(few_macro | (asked_universe > 0)), wide, metrics, ids)
         asking = _long(rows.where(askers), wide, metrics, ids).where("pergunta")
         answers = answers.unionByName(
             counted(
@@ -235,6 +244,11 @@ def midranks(grouping: Grouping, metrics: dict[str, int], ids: list[str]) -> Dat
                 broadcast_cuts=grouping.asked_by_few * len(metrics) * 8 <= BROADCAST_BYTES,
             )
         )
+    return _percentiles(answers, ids)
+
+
+def _percentiles(answers: DataFrame, ids: list[str]) -> DataFrame:
+    c = F.col
     return answers.select(
         *ids,
         "metrica",
