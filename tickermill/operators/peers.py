@@ -22,7 +22,7 @@ from tickermill.operators.ranking import (
     join_null_safe,
     ranked,
 )
-from tickermill.session import scratch_path
+from tickermill.session import stored
 
 # Fixed values.
 MIN_GROUP = 5
@@ -96,16 +96,12 @@ def measure_groups(
 
     The cells are written to the shared folder: later steps join a table of known size, which
     Spark broadcasts only if it is small, instead of aggregating again. One row of totals comes
-    to the driver. `hot_rows` grows with the data so that at most a few thousand groups are hot.
+    to the driver. `hot_rows` grows with the data so that only a bounded number of groups is hot.
     """
-    spark = df.sparkSession
     keyed = with_cell_keys(df)
-    path = scratch_path(spark, "cells")
-    cells = group_cells(keyed)
-    cells.write.parquet(path)
-    stored = spark.read.schema(cells.schema).parquet(path)
+    cells = stored(group_cells(keyed), "cells")
     few = (F.col("_ask_macro") <= max_asking) & (F.col("grupo_usado") == MACRO)
-    sizes = stored.agg(
+    sizes = cells.agg(
         F.coalesce(F.max("n_universo"), F.lit(0)).alias("largest"),
         F.coalesce(F.sum("_n"), F.lit(0)).alias("total"),
         F.coalesce(
@@ -117,7 +113,7 @@ def measure_groups(
     ).first()
     limit = max(hot_rows, sizes["total"] // MAX_HOT_GROUPS)
     return Grouping(
-        _attach(keyed, stored.drop("_n")),
+        _attach(keyed, cells.drop("_n")),
         limit,
         max_asking,
         sizes["largest"] > limit,

@@ -17,14 +17,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tickermill.session import stored
+
 HOT_ROWS = 1_000_000
 SEARCH_STEPS = (128, 64, 32, 16, 8, 4, 2, 1)
 CUTS = sum(SEARCH_STEPS)
 CUT_ACCURACY = 10 * CUTS
 TIE_SPREAD = 64
 # The size limit grows with the data, so that this many groups per level can be hot at most and
-# their cuts stay broadcastable (255 numbers per group and metric).
-MAX_HOT_GROUPS = 1_000
+# their cuts and range totals stay broadcastable (27 KB per group and metric).
+MAX_HOT_GROUPS = 100
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A group in which at most this many rows ask is counted instead of sorted.
 COUNT_STEPS = (2048, 1024, 512, 256, *SEARCH_STEPS)
@@ -67,18 +69,35 @@ def quantile_cuts(rows: DataFrame, groups: list[str], value: str) -> DataFrame:
 
 
 def _range_sizes(rows: DataFrame, groups: list[str], value: str, distinct: bool) -> DataFrame:
-    """Rows (and distinct values) per range, with the totals of all lower ranges."""
+    """Rows (and distinct values) per range; partial sums per task, few rows shuffled."""
     ranges = [*groups, "_range"]
-    if distinct:
-        sizes = (
-            rows.groupBy(*ranges, value)
-            .agg(F.count("*").alias("_same"))
-            .groupBy(*ranges)
-            .agg(F.sum("_same").alias("_size"), F.count("*").alias("_kinds"))
-        )
-    else:
-        sizes = rows.groupBy(*ranges).agg(F.count("*").alias("_size"), F.lit(0).alias("_kinds"))
-    return _with_lower(sizes, groups)
+    if not distinct:
+        return rows.groupBy(*ranges).agg(F.count("*").alias("_size"), F.lit(0).alias("_kinds"))
+    return (
+        rows.groupBy(*ranges, value)
+        .agg(F.count("*").alias("_same"))
+        .groupBy(*ranges)
+        .agg(F.sum("_same").alias("_size"), F.count("*").alias("_kinds"))
+    )
+
+
+def _range_table(cuts: DataFrame, sizes: DataFrame, groups: list[str]) -> DataFrame:
+    """Per group its cuts and an array, indexed by range number, of the ranges' totals."""
+    every_range = cuts.select(*groups, F.explode(F.sequence(F.lit(0), F.lit(2 * CUTS))).alias("_range"))
+    empty = every_range.withColumns({"_size": F.lit(0).cast("long"), "_kinds": F.lit(0).cast("long")})
+    filled = (
+        sizes.withColumn("_kinds", F.col("_kinds").cast("long"))
+        .unionByName(empty)
+        .groupBy(*groups, "_range")
+        .agg(F.sum("_size").alias("_size"), F.sum("_kinds").alias("_kinds"))
+    )
+    totals = _with_lower(filled, groups).groupBy(*groups).agg(
+        F.sort_array(
+            F.collect_list(F.struct("_range", "_lower", "_lower_kinds", "_size"))
+        ).alias("_ranges"),
+        F.max("_total").alias("_total"),
+    )
+    return join_null_safe(cuts, totals, groups, "inner")
 
 
 def _with_lower(sizes: DataFrame, groups: list[str]) -> DataFrame:
@@ -119,14 +138,31 @@ def _rank_small(rows: DataFrame, groups: list[str], value: str, distinct: bool)
 def _rank_hot(
     rows: DataFrame, groups: list[str], value: str, spread_by: list[str], distinct: bool
 ) -> DataFrame:
-    # At most MAX_HOT_GROUPS per level and metric, of 2 KB each.
-    cuts = F.broadcast(quantile_cuts(rows, groups, value))
-    located = locate(rows, cuts, groups, value, SEARCH_STEPS)
-    sizes = _range_sizes(located, groups, value, distinct)
+    # The cuts are written down: a quantile sketch may merge in another order when a task is run
+    # again, and all steps must see the same cuts. There are at most MAX_HOT_GROUPS groups per
+    # level and metric, of 2 KB each, and 25 KB with the totals.
+    cuts = stored(quantile_cuts(rows, groups, value), "cuts")
+    sizes = _range_sizes(
+        locate(rows, F.broadcast(cuts), groups, value, SEARCH_STEPS), groups, value, distinct
+    )
+    table = F.broadcast(_range_table(cuts, sizes, groups))
+    located = locate(rows, table, groups, value, SEARCH_STEPS)
     tied = F.col("_range") % 2 == 1
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(TIE_SPREAD))
-    pieces = join_null_safe(located, sizes, [*groups, "_range"], "inner").withColumn(
-        "_part", F.when(tied, spread).otherwise(0)
+    # The rows are shuffled only here, by ranges of even size.
+    pieces = located.withColumns(
+        {
+            "_part": F.when(tied, spread).otherwise(0),
+            "_totals": F.get("_ranges", F.col("_range")),
+        }
+    ).select(
+        *rows.columns,
+        "_range",
+        "_part",
+        "_total",
+        "_totals._lower",
+        "_totals._lower_kinds",
+        "_totals._size",
     )
     windowed = _windowed(pieces, [*groups, "_range", "_part"], value, distinct)
     return windowed.select(

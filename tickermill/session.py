@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -47,3 +47,10 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new path of this application under the shared folder."""
     app = spark.sparkContext.applicationId
     return f"{shared_dir(spark)}/tickermill/{app}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The same rows as a written table: computed once, of known size, safe from recomputation."""
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
