@@ -13,6 +13,7 @@ from tickermill.functions.coercion import conform
 from tickermill.operators import magic, peers, scoring
 from tickermill.operators.dedup import not_yet_ingested
 from tickermill.plans import derive, lake, medallion, price_reports, reports
+from tickermill.session import scratch_path
 from tickermill.sources import catalog, landing, tables
 from tickermill.streaming import feeds
 
@@ -196,8 +197,7 @@ def ingest_guard(spark: SparkSession, folder: str) -> DataFrame:
 
 def landing_replay(spark: SparkSession, folder: str) -> DataFrame:
     """Envelopes written as raw JSON, replayed into a bronze of their own, counted per run."""
-    zone = lake.scratch(spark, folder, "landing")
-    root = lake.scratch(spark, folder, "replayed")
+    zone, root = scratch_path(spark, "landing"), scratch_path(spark, "replayed")
     landing.write_landing(derive.envelopes(spark, folder), zone)
     feeds.load_bronze(spark, landing.REPLAY, zone, root)
     return _bronze_summary(tables.read_table(spark, schemas.BRONZE, root))
@@ -215,14 +215,12 @@ def _bronze_summary(bronze: DataFrame) -> DataFrame:
 
 def tick_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Ticks as JSON files, streamed into the partitioned price table, twice; then read back."""
-    inbox = lake.scratch(spark, folder, "tick_inbox")
-    path = lake.scratch(spark, folder, "tick_table")
+    inbox, path = scratch_path(spark, "tick_inbox"), scratch_path(spark, "tick_table")
+    offsets = scratch_path(spark, "tick_offsets")
     message = derive.ticks(spark, folder).drop("event_id")
     message.write.mode("overwrite").json(inbox)
     for _ in range(2):
-        feeds.append_ticks(
-            spark, inbox, path, lake.scratch(spark, folder, "tick_offsets")
-        ).awaitTermination()
+        feeds.append_ticks(spark, inbox, path, offsets).awaitTermination()
     stored = tables.read_table(spark, schemas.PRICES, "", path)
     return stored.groupBy("data_pregao").agg(
         F.count("*").alias("qtd_eventos"),
@@ -234,19 +232,18 @@ def tick_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 def envelope_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Envelopes as JSON files, merged into bronze in several micro-batches."""
-    inbox = lake.scratch(spark, folder, "envelope_inbox")
-    root = lake.scratch(spark, folder, "streamed")
+    inbox, root = scratch_path(spark, "envelope_inbox"), scratch_path(spark, "streamed")
     batch = derive.envelopes(spark, folder)
     batch.repartition(3, "coletado_em", "ticker").write.mode("overwrite").json(inbox)
     feeds.ingest_envelopes(
-        spark, inbox, root, lake.scratch(spark, folder, "envelope_offsets"), files_per_batch=2
+        spark, inbox, root, scratch_path(spark, "envelope_offsets"), files_per_batch=2
     ).awaitTermination()
     return _bronze_summary(tables.read_table(spark, schemas.BRONZE, root))
 
 
 def partition_rewrite(spark: SparkSession, folder: str) -> DataFrame:
     """Gold written again for its two newest runs: same rows, older runs untouched."""
-    root = lake.scratch(spark, folder, "rewritten")
+    root = scratch_path(spark, "rewritten")
     gold = GOLD(spark, folder)
     tables.write_table(gold, schemas.GOLD, root)
     tables.write_table(gold.where(F.col("data_referencia") >= "2000"), schemas.GOLD, root)
@@ -255,7 +252,7 @@ def partition_rewrite(spark: SparkSession, folder: str) -> DataFrame:
 
 def series_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Two runs that cover different tickers of the same sessions: neither erases the other."""
-    root = lake.scratch(spark, folder, "upserted")
+    root = scratch_path(spark, "upserted")
     rows = medallion.series_rows(_newest(schemas.BRONZE)(spark, folder))
     part = F.pmod(F.length("ticker"), F.lit(2))
     tables.upsert_table(rows.where(part == 0), schemas.SERIES, root)
@@ -267,7 +264,9 @@ def series_upsert(spark: SparkSession, folder: str) -> DataFrame:
 def _registered(spark: SparkSession, folder: str) -> str:
     """Database with the stored layers registered as external tables."""
     root = lake.warehouse(spark, folder)
-    database = "lake_" + lake.scratch(spark, folder, "").split("/")[-2]
+    # One database per application and folder: a shared catalog may know older locations.
+    *_, app, digest = lake.scratch(spark, folder, "").rstrip("/").split("/")
+    database = f"lake_{digest}_{app}".replace("-", "_")
     spark.sql(
         f"CREATE DATABASE IF NOT EXISTS {database} "
         f"LOCATION '{lake.scratch(spark, folder, 'database')}'"
