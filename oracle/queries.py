@@ -245,6 +245,15 @@ ORACLE: dict[str, str] = {
         "FROM silver GROUP BY data_coleta",
         "silver",
     ),
+    "silver_summary": over(
+        """SELECT s.data_coleta, s.linhas, s.elegiveis, COALESCE(p.n, 0) AS pregoes FROM (
+          SELECT data_coleta, COUNT(*) AS linhas, COUNT(*) FILTER (WHERE elegivel_score) AS elegiveis
+          FROM silver GROUP BY data_coleta) s
+        LEFT JOIN (SELECT data_coleta, COUNT(*) AS n FROM price_row GROUP BY data_coleta) p
+        USING (data_coleta)""",
+        "silver",
+        "price_row",
+    ),
     "series_coverage": over(
         """SELECT 'brapi (real)' AS origem, s.ticker, COUNT(*) AS pregoes, MIN(b.data_pregao) AS de,
           MAX(b.data_pregao) AS ate

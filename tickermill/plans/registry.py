@@ -361,6 +361,7 @@ QUERIES: dict[str, Query] = {
     "flag_screen": _on(reports.flag_screen, GOLD_RUN),
     "score_evolution": _on(reports.score_evolution, GOLD),
     "idempotency_check": _on(reports.idempotency_check, SILVER),
+    "silver_summary": _on(reports.silver_summary, SILVER, silver_prices),
     "series_coverage": series_coverage,
     "dashboard_extract": dashboard_extract,
     "dashboard_kpis": _on(reports.dashboard_kpis, dashboard_extract),

@@ -210,6 +210,19 @@ def idempotency_check(silver: DataFrame) -> DataFrame:
     )
 
 
+def silver_summary(silver: DataFrame, series: DataFrame) -> DataFrame:
+    """Rows, rows that may be scored and daily prices per run."""
+    rows = silver.groupBy("data_coleta").agg(
+        F.count("*").alias("linhas"), F.count_if("elegivel_score").alias("elegiveis")
+    )
+    prices = series.groupBy("data_coleta").agg(F.count("*").alias("_n"))
+    return (
+        rows.join(prices, "data_coleta", "left")
+        .select("data_coleta", "linhas", "elegiveis", F.coalesce("_n", F.lit(0)).alias("pregoes"))
+        .orderBy(_c("data_coleta").desc_nulls_last())
+    )
+
+
 def series_coverage(real_series: DataFrame, ticks: DataFrame) -> DataFrame:
     """Sessions per ticker of the real series beside those of the tick feed."""
     days = ticks.groupBy("ticker", "data_pregao").agg(F.lit(1).alias("_one"))
