@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,10 +35,18 @@ def create_session(app_name: str, **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can see: `spark.checkpoint.dir`, or our own if it is unset."""
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
+    """Folder that the driver and every executor can see.
+
+    `spark.checkpoint.dir`, else the context's checkpoint folder. Only a local master, where all
+    tasks share one disk, falls back to a temporary folder; a cluster without a shared folder is
+    refused, since executors would write to disks of their own.
+    """
+    context = spark.sparkContext
+    configured = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
     own = tempfile.mkdtemp(prefix="tickermill-")
     spark.conf.set(CHECKPOINT_CONF, own)
     return own
