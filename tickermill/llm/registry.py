@@ -2,20 +2,38 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickermill.llm import minhash
+from tickermill.llm import bpe, decontamination, minhash, substrings
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op5_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(table(spark, sf_dir, "documents"))
+
+
+def op7_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_hyperminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_prefix_bpe": op2_prefix_bpe,
+    "op5_window_dedup": op5_window_dedup,
+    "op7_string_tiling": op7_string_tiling,
     "op10_hyperminhash_dedup": op10_hyperminhash_dedup,
 }
 
