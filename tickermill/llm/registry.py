@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickermill.llm import bpe, decontamination, minhash, substrings
+from tickermill.llm import bpe, decontamination, language, minhash, quality, substrings, toxicity
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -14,6 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -22,18 +26,29 @@ def op5_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(table(spark, sf_dir, "documents"))
 
 
+def op6_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predictions(table(spark, sf_dir, "documents"))
+
+
 def op7_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_hyperminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_subword_quality": op1_subword_quality,
     "op2_prefix_bpe": op2_prefix_bpe,
     "op5_window_dedup": op5_window_dedup,
+    "op6_centroid_language": op6_centroid_language,
     "op7_string_tiling": op7_string_tiling,
+    "op8_boosted_toxicity": op8_boosted_toxicity,
     "op10_hyperminhash_dedup": op10_hyperminhash_dedup,
 }
 
