@@ -38,7 +38,9 @@ BUCKETS = 1 << BUCKET_BITS
 VALUE_BITS = 64 - BUCKET_BITS - PASS_BITS
 MANTISSA_BITS = 10
 BAND = 6
-TILE, CHUNK = 256, 4096
+TILE, CHUNK = 1024, 4096
+STAR_REGISTERS = 128
+BROADCAST_IDS = 1 << 20
 WORDS, THRESHOLD = 5, 75
 
 _SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, registers binary"
@@ -119,16 +121,28 @@ def _bands(classes: DataFrame) -> DataFrame:
     return classes.select("rep", F.explode(keys).alias("key"))
 
 
+def _slack(threshold: int, count: int) -> float:
+    """6.5 standard deviations of the estimate from `count` registers at the threshold."""
+    return 6.5 * sqrt(threshold / 100 * (1 - threshold / 100) / count)
+
+
+def _having(table: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of `table` whose rep is among `ids`; these go to the rows if they are few (8 MB at most)."""
+    ids = stored(ids.distinct(), "ids")
+    few = ids.count() <= BROADCAST_IDS
+    return table.join(F.broadcast(ids) if few else ids, "rep", "left_semi")
+
+
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) of representatives that link: estimated first, then counted on both texts."""
-    slack = 6.5 * sqrt(threshold / 100 * (1 - threshold / 100) / BUCKETS)
+    least = threshold / 100 - _slack(threshold, STAR_REGISTERS)
 
     @F.pandas_udf("boolean")
     def likely(a: pd.Series, b: pd.Series) -> pd.Series:
         if not len(a):
             return pd.Series([], dtype=bool)
-        x, y = (np.frombuffer(b"".join(s), np.uint16).reshape(-1, BUCKETS) for s in (a, b))
-        return pd.Series(estimate(x, y) >= threshold / 100 - slack)
+        x, y = (np.frombuffer(b"".join(s), np.uint16).reshape(-1, STAR_REGISTERS) for s in (a, b))
+        return pd.Series(estimate(x, y) >= least)
 
     @F.pandas_udf("boolean")
     def linked(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -139,19 +153,21 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, threshold:
             out.append(100 * both >= threshold * (len(x) + len(y) - both))
         return pd.Series(out, dtype=bool)
 
-    def attach(frame, other, value):
+    def attach(frame, other):
         for side in ("a", "b"):
-            own = other.select(F.col("rep").alias(side), F.col(value).alias(f"{value}_{side}"))
+            own = other.select(F.col("rep").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in other.columns if c != "rep"])
             frame = frame.join(own, side)
         return frame
 
-    sized = attach(attach(pairs, classes, "n_shingles"), classes, "registers")
+    # The first registers are enough to drop nearly all pairs that bands brought together by chance.
+    head = classes.select("rep", "n_shingles", F.expr(f"substring(registers, 1, {2 * STAR_REGISTERS})").alias("head"))
+    pairs = stored(pairs, "pairs")
+    sized = attach(pairs, head)
     # The smaller set has to hold at least the threshold's share of the larger one.
     fits = F.least("n_shingles_a", "n_shingles_b") * 100 >= F.greatest("n_shingles_a", "n_shingles_b") * threshold
-    kept = stored(sized.where(fits).where(likely("registers_a", "registers_b")).select("a", "b"), "pairs")
-    named = kept.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    own = texts.join(named, "rep", "left_semi")
-    return stored(attach(kept, own, "text").where(linked("text_a", "text_b")).select("a", "b").distinct(), "linked")
+    kept = stored(sized.where(fits).where(likely("head_a", "head_b")).select("a", "b"), "kept")
+    own = _having(texts, kept.select(F.explode(F.array("a", "b")).alias("rep")))
+    return stored(attach(kept, own).where(linked("text_a", "text_b")).select("a", "b").distinct(), "linked")
 
 
 def _tiles(members: DataFrame, values: DataFrame, compare) -> DataFrame:
@@ -171,7 +187,7 @@ def _tiles(members: DataFrame, values: DataFrame, compare) -> DataFrame:
         .withColumn("i", F.least("own", "other"))
         .withColumn("j", F.greatest("own", "other"))
         .drop("other", "blocks")
-        .join(values, "rep")
+        .join(_having(values, members.join(sizes, "grp").select("rep")), "rep")
     )
     order = ["grp", "i", "j"]
     return dealt.repartition(*order).sortWithinPartitions(*order).mapInPandas(_by_run(order, compare), "a long, b long")
@@ -224,7 +240,7 @@ def _crossing(rows: pd.DataFrame) -> np.ndarray:
 
 
 def _likely_links(threshold: int):
-    slack = 6.5 * sqrt(threshold / 100 * (1 - threshold / 100) / BUCKETS)
+    least = threshold / 100 - _slack(threshold, BUCKETS)
 
     def compare(rows: pd.DataFrame) -> np.ndarray:
         size, part = rows.n_shingles.to_numpy(), rows.component.to_numpy()
@@ -232,7 +248,7 @@ def _likely_links(threshold: int):
         maybe &= np.minimum.outer(size, size) * 100 >= np.maximum.outer(size, size) * threshold
         regs = np.frombuffer(b"".join(rows.registers), np.uint16).reshape(-1, BUCKETS)
         for k in np.flatnonzero(maybe.any(axis=1)):
-            maybe[k] &= estimate(regs[k], regs) >= threshold / 100 - slack
+            maybe[k] &= estimate(regs[k], regs) >= least
         return _pairs(rows, maybe)
 
     return compare
