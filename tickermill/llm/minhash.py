@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tickermill.llm import words
 from tickermill.llm.components import components
+from tickermill.llm.runs import by_run, trees
 from tickermill.session import stored
 
 BUCKET_BITS, PASS_BITS = 9, 13
@@ -190,47 +191,16 @@ def _tiles(members: DataFrame, values: DataFrame, compare) -> DataFrame:
         .join(_having(values, members.join(sizes, "grp").select("rep")), "rep")
     )
     order = ["grp", "i", "j"]
-    return dealt.repartition(*order).sortWithinPartitions(*order).mapInPandas(_by_run(order, compare), "a long, b long")
+    return dealt.repartition(*order).sortWithinPartitions(*order).mapInPandas(by_run(order, compare, _merged), "a long, b long")
 
 
-def _by_run(order, compare):
-    """Calls `compare` with the rows of one tile at a time, as they arrive sorted."""
-
-    def run(batches):
-        rest = None
-        for batch in batches:
-            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            keys = rows[order].to_numpy()
-            cut = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, [len(rows)]])
-            found = [compare(rows.iloc[start:end]) for start, end in zip(cut[:-2], cut[1:-1])]
-            if found:
-                yield _trees(np.concatenate(found))
-            rest = rows.iloc[cut[-2] :] if len(rows) else None
-        if rest is not None and len(rest):
-            yield _trees(compare(rest))
-
-    return run
-
-
-def _trees(links: np.ndarray) -> pd.DataFrame:
-    """Links (n x 2 ids) as trees: every id with the smallest one that the links reach."""
-    ids, end = np.unique(links, return_inverse=True)
-    x, y = end.reshape(-1, 2).T
-    label = np.arange(len(ids))
-    while len(x):
-        before = label.copy()
-        np.minimum.at(label, x, label[y])
-        np.minimum.at(label, y, label[x])
-        label = label[label]
-        if (before == label).all():
-            break
-    moved = label != np.arange(len(ids))
-    return pd.DataFrame({"a": ids[label[moved]], "b": ids[moved]})
+def _merged(found: list[np.ndarray]) -> pd.DataFrame:
+    return pd.DataFrame(trees(np.concatenate(found)), columns=["a", "b"])
 
 
 def _pairs(rows: pd.DataFrame, linked: np.ndarray) -> np.ndarray:
     ids = rows.rep.to_numpy()
-    return _trees(ids[np.argwhere(linked)]).to_numpy()
+    return trees(ids[np.argwhere(linked)])
 
 
 def _crossing(rows: pd.DataFrame) -> np.ndarray:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickermill.llm import bpe, decontamination, language, minhash, quality, substrings, toxicity
+from tickermill.llm import bpe, decontamination, embeddings, language, minhash, quality, substrings, toxicity
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -38,6 +38,10 @@ def op8_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_int8_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_hyperminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ QUERIES = {
     "op6_centroid_language": op6_centroid_language,
     "op7_string_tiling": op7_string_tiling,
     "op8_boosted_toxicity": op8_boosted_toxicity,
+    "op9_int8_tiles": op9_int8_tiles,
     "op10_hyperminhash_dedup": op10_hyperminhash_dedup,
 }
 
