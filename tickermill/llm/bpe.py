@@ -286,6 +286,26 @@ def decode(ids: Column, tokenizer: str) -> Column:
     return texts(ids)
 
 
+def tokenise(docs: DataFrame, tokenizer: str, text_column: str = "text") -> DataFrame:
+    """`docs` with the text replaced by ids (array<int>), n_tokens, ids_sha256 and decoded_sha256."""
+
+    @F.pandas_udf("ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def encoded(texts: pd.Series) -> pd.DataFrame:
+        rows = [_digest(text, tokenizer) for text in texts]
+        out = pd.DataFrame([r[1:] for r in rows], columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        out.insert(0, "ids", pd.Series([np.frombuffer(r[0], "<u4").astype(np.int32) for r in rows], dtype=object))
+        return out
+
+    added = ["ids", "n_tokens", "ids_sha256", "decoded_sha256"]
+    out = docs.drop(*added).withColumn("__encoded", encoded(F.col(text_column).cast("string")))
+    return out.withColumns({c: F.col("__encoded")[c] for c in added}).drop("__encoded", text_column)
+
+
+def _digest(text: str | None, path: str) -> tuple[bytes, int, str, str]:
+    ids, decoded = _encoded(text, path)
+    return ids, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+
+
 def digests(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row of `docs`: doc_id, n_tokens, ids_sha256 and decoded_sha256.
 
@@ -296,10 +316,7 @@ def digests(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_col
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digest(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text in texts:
-            ids, decoded = _encoded(text, tokenizer)
-            rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
+        rows = [_digest(text, tokenizer)[1:] for text in texts]
         return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     out = docs.select(F.col(id_column).alias("doc_id"), digest(F.col(text_column).cast("string")).alias("d"))

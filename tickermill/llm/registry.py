@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickermill.llm import bpe, decontamination, embeddings, language, minhash, quality, substrings, toxicity
+from tickermill.llm import bpe, decontamination, embeddings, language, minhash, pii, quality, secrets, substrings, toxicity
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -22,6 +22,14 @@ def op2_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op3_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(table(spark, sf_dir, "documents"))
+
+
+def op4_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(table(spark, sf_dir, "documents"))
+
+
 def op5_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(table(spark, sf_dir, "documents"))
 
@@ -49,6 +57,8 @@ def op10_hyperminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_subword_quality": op1_subword_quality,
     "op2_prefix_bpe": op2_prefix_bpe,
+    "op3_weak_supervision_pii": op3_weak_supervision_pii,
+    "op4_linked_secrets": op4_linked_secrets,
     "op5_window_dedup": op5_window_dedup,
     "op6_centroid_language": op6_centroid_language,
     "op7_string_tiling": op7_string_tiling,
