@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickermill.operators.peers import RUN, Grouping, is_eligible, metric_values
+from tickermill.operators.peers import RUN, is_eligible, metric_values
 from tickermill.operators.ranking import ranked
 
 MIN_CANDIDATES = 2
@@ -13,22 +13,12 @@ MIN_CANDIDATES = 2
 RANKED = {"ev_ebit": 1, "roic": -1}
 
 
-def dense_positions(grouping: Grouping, ids: list[str]) -> DataFrame:
+def dense_positions(rows: DataFrame, ids: list[str], ranges: int | None = None) -> DataFrame:
     """(ids, metrica, posicao_densa) of both ranks for eligible rows that have both values."""
-    candidates = grouping.rows.where(
+    candidates = rows.where(
         is_eligible() & F.col("ev_ebit").isNotNull() & F.col("roic").isNotNull()
-    )
-
-    def unpivot(rows: DataFrame) -> DataFrame:
-        return rows.select(*ids, F.inline(metric_values(RANKED)))
-
-    small, hot = candidates, None
-    if grouping.has_hot:
-        small = candidates.where(F.col("n_universo") <= grouping.hot_rows)
-        hot = unpivot(candidates.where(F.col("n_universo") > grouping.hot_rows))
-    positions = ranked(
-        unpivot(small), hot, ["metrica", "fonte", RUN], "valor", ids, distinct=True
-    )
+    ).select(*ids, F.inline(metric_values(RANKED)))
+    positions = ranked(candidates, ["metrica", "fonte", RUN], "valor", ranges=ranges)
     return positions.where(F.col("n_valores") >= MIN_CANDIDATES).select(
         *ids, "metrica", "posicao_densa"
     )

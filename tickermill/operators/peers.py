@@ -7,21 +7,11 @@ level is ranked over its full membership and only the asking rows keep the answe
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickermill.operators.ranking import (
-    BROADCAST_BYTES,
-    HOT_ROWS,
-    MAX_ASKING,
-    MAX_HOT_GROUPS,
-    counted,
-    join_null_safe,
-    ranked,
-)
+from tickermill.operators.ranking import join_null_safe, ranked
 from tickermill.session import stored
 
 # Fixed values.
@@ -31,6 +21,7 @@ FINANCIAL, NON_FINANCIAL, STANDARD = "financeiro", "nao_financeiro", "padrao"
 
 RUN = "data_coleta"
 _CELL = [RUN, "fonte", "_setor", "_macro"]
+_ASKED = ["_ask_universo", "_ask_macro"]
 
 
 def is_eligible() -> Column:
@@ -77,49 +68,19 @@ def with_cell_keys(df: DataFrame) -> DataFrame:
     return df.withColumns({"_setor": F.coalesce("setor", F.lit("")), "_macro": macro_group()})
 
 
-@dataclass(frozen=True)
-class Grouping:
-    """Rows with their groups, and the measured sizes that decide how to rank them."""
-
-    rows: DataFrame
-    hot_rows: int
-    max_asking: int
-    has_hot: bool
-    asked_by_few: int
-    asked_by_many: int
+def choose_groups(df: DataFrame) -> DataFrame:
+    """Add `grupo_usado` and `n_grupo`; ineligible rows get NULL and 0.
 
+    The group cells are written to the shared folder when this is called: later steps join a table
+    of known size, which Spark broadcasts only if it is small, instead of aggregating again.
+    """
+    return with_groups(df).drop("_setor", "_macro", "n_universo", "n_macro", "n_setor", *_ASKED)
 
-def measure_groups(
-    df: DataFrame, hot_rows: int = HOT_ROWS, max_asking: int = MAX_ASKING
-) -> Grouping:
-    """Size all groups in one pass, then attach them to the rows (still lazy).
 
-    The cells are written to the shared folder: later steps join a table of known size, which
-    Spark broadcasts only if it is small, instead of aggregating again. One row of totals comes
-    to the driver. `hot_rows` grows with the data so that only a bounded number of groups is hot.
-    """
+def with_groups(df: DataFrame) -> DataFrame:
+    """`choose_groups` with the keys and sizes of all levels kept, as `midranks` needs them."""
     keyed = with_cell_keys(df)
-    cells = stored(group_cells(keyed), "cells")
-    few = (F.col("_ask_macro") <= max_asking) & (F.col("grupo_usado") == MACRO)
-    sizes = cells.agg(
-        F.coalesce(F.max("n_universo"), F.lit(0)).alias("largest"),
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("total"),
-        F.coalesce(
-            F.sum(F.when(few | (F.col("grupo_usado") == UNIVERSE), F.col("_n"))), F.lit(0)
-        ).alias("few"),
-        F.coalesce(
-            F.sum(F.when(~few & (F.col("grupo_usado") == MACRO), F.col("_n"))), F.lit(0)
-        ).alias("many"),
-    ).first()
-    limit = max(hot_rows, sizes["total"] // MAX_HOT_GROUPS)
-    return Grouping(
-        _attach(keyed, cells.drop("_n")),
-        limit,
-        max_asking,
-        sizes["largest"] > limit,
-        sizes["few"],
-        sizes["many"],
-    )
+    return _attach(keyed, stored(group_cells(keyed), "cells").drop("_n"))
 
 
 def _attach(keyed: DataFrame, cells: DataFrame) -> DataFrame:
@@ -138,11 +99,6 @@ def _attach(keyed: DataFrame, cells: DataFrame) -> DataFrame:
     return joined.withColumn("n_grupo", size.cast("int")).drop("_ok")
 
 
-def choose_groups(df: DataFrame) -> DataFrame:
-    """Add `grupo_usado` and `n_grupo`; ineligible rows get NULL and 0."""
-    return measure_groups(df).rows
-
-
 def metric_values(metrics: dict[str, int]) -> Column:
     """Array of (metric code, signed value): larger is better for every metric.
 
@@ -155,12 +111,6 @@ def metric_values(metrics: dict[str, int]) -> Column:
     return F.expr(f"array({', '.join(pairs)})")
 
 
-def _membership(applies: Column, level: str, key: Column, size: str) -> Column:
-    return F.when(
-        applies, F.struct(F.lit(level).alias("nivel"), key.alias("chave"), F.col(size).alias("n"))
-    )
-
-
 def _long(
     rows: DataFrame, levels: list[Column], metrics: dict[str, int], ids: list[str]
 ) -> DataFrame:
@@ -174,7 +124,6 @@ def _long(
             (F.col("_g.nivel") == F.col("grupo_usado")).alias("pergunta"),
             F.col("_g.nivel").alias("nivel"),
             F.col("_g.chave").alias("chave"),
-            F.col("_g.n").alias("n_membros"),
             F.explode(metric_values(metrics)).alias("_m"),
         )
         .select("*", "_m.metrica", "_m.valor")
@@ -183,64 +132,29 @@ def _long(
     )
 
 
-def midranks(grouping: Grouping, metrics: dict[str, int], ids: list[str]) -> DataFrame:
+def midranks(
+    rows: DataFrame, metrics: dict[str, int], ids: list[str], ranges: int | None = None
+) -> DataFrame:
     """Midrank percentile of each asked metric: (ids, metrica, n_valores, percentil).
 
-    `metrics` maps a column to +1 (larger is better) or -1. `ids` must name a row uniquely and
-    include the run date and `fonte`.
-
-    Groups of ordinary size are sorted, each level over its full membership. Once a source is
-    hot, a wider group is sorted only if many rows ask: the rows of its small or missing sectors.
-    When they are few, their values are counted against the members instead, which are then not
-    shuffled at all. The universe is asked by at most four rows per macro group, so it is never
-    sorted then. Branches that the measured sizes rule out are left out of the plan.
+    `rows` come from `with_groups`. `metrics` maps a column to +1 (larger is better) or -1. `ids`
+    must name a row uniquely and include the run date and `fonte`. A row belongs to its sector, and to
+    its macro group and universe where some row asks at that level; all of them count there, and
+    only the asking ones join their answer. See `ranking` for `ranges` and how large groups are cut.
     """
     c = F.col
-    rows, hot_rows, max_asking = grouping.rows, grouping.hot_rows, grouping.max_asking
-    used, asked_macro, asked_universe = c("grupo_usado"), c("_ask_macro"), c("_ask_universo")
-    macro_ok, universe_ok = c("n_macro") >= MIN_GROUP, c("n_universo") >= MIN_GROUP
-    groups = ["metrica", "nivel", "chave", "fonte", RUN]
 
-    def macro(applies: Column) -> Column:
-        return _membership(applies & macro_ok, MACRO, c("_macro"), "n_macro")
-
-    sector = _membership(used == SECTOR, SECTOR, c("_setor"), "n_setor")
-    universe = _membership((asked_universe > 0) & universe_ok, UNIVERSE, F.lit(""), "n_universo")
-
-    if not grouping.has_hot:
-        levels = [sector]
-        if grouping.asked_by_few or grouping.asked_by_many:
-            levels += [macro(asked_macro > 0), universe]
-        everyone = _long(rows, levels, metrics, ids).drop("n_membros")
-        answers = ranked(everyone, None, groups, "valor", ids).where("pergunta")
-        return _percentiles(answers, ids)
-
-    levels = [sector]
-    if grouping.asked_by_many:
-        levels.append(macro(asked_macro > max_asking))
-    small = _long(rows, levels, metrics, ids).where(c("n_membros") <= hot_rows)
-    hot = _long(rows.where(c("n_universo") > hot_rows), levels, metrics, ids)
-    hot = hot.where(c("n_membros") > hot_rows)
-    answers = ranked(
-        small.drop("n_membros"), hot.drop("n_membros"), groups, "valor", ids
-    ).where("pergunta")
-
-    if grouping.asked_by_few:
-        few_macro = (asked_macro > 0) & (asked_macro <= max_asking)
-        wide = [macro(few_macro), universe]
-        askers = ((used == MACRO) & few_macro) | (used == UNIVERSE)
-        members = _long(rows.where(few_macro | (asked_universe > 0)), wide, metrics, ids)
-        asking = _long(rows.where(askers), wide, metrics, ids).where("pergunta")
-        answers = answers.unionByName(
-            counted(
-                asking.drop("n_membros"),
-                members,
-                groups,
-                "valor",
-                broadcast_cuts=grouping.asked_by_few * len(metrics) * 8 <= BROADCAST_BYTES,
-            )
-        )
-    return _percentiles(answers, ids)
+    def level(applies: Column, name: str, key: Column) -> Column:
+        return F.when(applies, F.struct(F.lit(name).alias("nivel"), key.alias("chave")))
+
+    levels = [
+        level(c("grupo_usado") == SECTOR, SECTOR, c("_setor")),
+        level((c("_ask_macro") > 0) & (c("n_macro") >= MIN_GROUP), MACRO, c("_macro")),
+        level((c("_ask_universo") > 0) & (c("n_universo") >= MIN_GROUP), UNIVERSE, F.lit("")),
+    ]
+    groups = ["metrica", "nivel", "chave", "fonte", RUN]
+    everyone = _long(rows, levels, metrics, ids)
+    return _percentiles(ranked(everyone, groups, "valor", c("pergunta"), ranges), ids)
 
 
 def _percentiles(answers: DataFrame, ids: list[str]) -> DataFrame:

@@ -1,11 +1,9 @@
-"""Exact ranks inside groups of any size, without sorting a large group in one task.
+"""Exact ranks inside groups of any size, with one plan for all of them.
 
-Small groups are ranked by one window. A group above `hot_rows` is first cut into value ranges
-at 255 approximate quantiles: each range is ranked on its own and shifted by the exact number
-of rows in the ranges below it. The quantiles only choose the cuts, so an approximate cut never
-changes a rank. A value that equals a cut gets a range of its own, where every row has the same
-rank; those rows need no sort and are spread over many tasks, so heavily tied values (a third
-of the rows being zero, say) stay balanced as well.
+Rows are reduced to distinct values with counts, so ties cost one row. The values are dealt into ranges
+of even size by (group, value), whatever the groups are: a small group lies in one range, a huge
+one in many. Values are ranked inside their range, and a small table of range totals per group shifts
+them by the exact number of rows in the ranges below. Asking rows then join their value's answer.
 """
 
 from __future__ import annotations
@@ -13,25 +11,12 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickermill.session import stored
 
-HOT_ROWS = 1_000_000
-SEARCH_STEPS = (128, 64, 32, 16, 8, 4, 2, 1)
-CUTS = sum(SEARCH_STEPS)
-CUT_ACCURACY = 10 * CUTS
-TIE_SPREAD = 64
-# The size limit grows with the data, so that this many groups per level can be hot at most and
-# their cuts and range totals stay broadcastable (27 KB per group and metric).
-MAX_HOT_GROUPS = 100
-BROADCAST_BYTES = 64 * 1024 * 1024
-# A group in which at most this many rows ask is counted instead of sorted.
-COUNT_STEPS = (2048, 1024, 512, 256, *SEARCH_STEPS)
-MAX_ASKING = sum(COUNT_STEPS)
-
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Equi-join in which NULL keys match; the right key columns are dropped."""
@@ -42,186 +27,63 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str)
     return left.join(renamed, condition, how).drop(*[f"_r_{key}" for key in keys])
 
 
-def locate(
-    rows: DataFrame, cuts: DataFrame, groups: list[str], value: str, steps: tuple[int, ...]
-) -> DataFrame:
-    """Number the value range of each row: even = between two cuts, odd = equal to a cut.
+def value_ranges(rows: DataFrame, groups: list[str], value: str, ranges: int | None) -> DataFrame:
+    """Distinct values per group with `_same` rows each, and the range `_piece` they lie in.
 
-    `cuts` has one sorted array `_cuts` per group, of at most `sum(steps)` values. The range is
-    found by a binary search in generated code; past the end of a shorter array `get` is NULL
-    and the search stays where it is.
+    The table is written, so that the borders of the ranges are the same for all its readers.
     """
-    search = ["0 AS _b0"] + [
-        f"IF(get(_cuts, _b{i} + {step - 1}) < {value}, _b{i} + {step}, _b{i}) AS _b{i + 1}"
-        for i, step in enumerate(steps)
-    ]
-    found = f"_b{len(steps)}"
-    number = f"2 * {found} + IF(get(_cuts, {found}) = {value}, 1, 0) AS _range"
-    located = join_null_safe(rows, cuts, groups, "inner").selectExpr("*", *search, number)
-    return located.drop("_cuts", *[f"_b{i}" for i in range(len(steps) + 1)])
-
-
-def quantile_cuts(rows: DataFrame, groups: list[str], value: str) -> DataFrame:
-    fractions = ", ".join(f"{i / (CUTS + 1)}D" for i in range(1, CUTS + 1))
-    return rows.groupBy(*groups).agg(
-        F.expr(f"percentile_approx({value}, array({fractions}), {CUT_ACCURACY})").alias("_cuts")
-    )
+    keys = [*groups, value]
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_same"))
+    dealt = counts.repartitionByRange(*([ranges] if ranges else []), *keys)
+    return stored(dealt.withColumn("_piece", F.spark_partition_id()), "ranges")
 
 
-def _range_sizes(rows: DataFrame, groups: list[str], value: str, distinct: bool) -> DataFrame:
-    """Rows (and distinct values) per range; partial sums per task, few rows shuffled."""
-    ranges = [*groups, "_range"]
-    if not distinct:
-        return rows.groupBy(*ranges).agg(F.count("*").alias("_size"), F.lit(0).alias("_kinds"))
-    return (
-        rows.groupBy(*ranges, value)
-        .agg(F.count("*").alias("_same"))
-        .groupBy(*ranges)
-        .agg(F.sum("_same").alias("_size"), F.count("*").alias("_kinds"))
-    )
-
-
-def _range_table(cuts: DataFrame, sizes: DataFrame, groups: list[str]) -> DataFrame:
-    """Per group its cuts and an array, indexed by range number, of the ranges' totals."""
-    every_range = cuts.select(*groups, F.explode(F.sequence(F.lit(0), F.lit(2 * CUTS))).alias("_range"))
-    empty = every_range.withColumns({"_size": F.lit(0).cast("long"), "_kinds": F.lit(0).cast("long")})
-    filled = (
-        sizes.withColumn("_kinds", F.col("_kinds").cast("long"))
-        .unionByName(empty)
-        .groupBy(*groups, "_range")
-        .agg(F.sum("_size").alias("_size"), F.sum("_kinds").alias("_kinds"))
-    )
-    totals = _with_lower(filled, groups).groupBy(*groups).agg(
-        F.sort_array(
-            F.collect_list(F.struct("_range", "_lower", "_lower_kinds", "_size"))
-        ).alias("_ranges"),
-        F.max("_total").alias("_total"),
+def _offsets(pieces: DataFrame, groups: list[str]) -> DataFrame:
+    """Rows and distinct values of each group below each of its ranges; a row per group and range."""
+    lower = W.partitionBy(*groups).orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
+    totals = pieces.groupBy(*groups, "_piece").agg(
+        F.sum("_same").alias("_size"), F.count("*").alias("_kinds")
     )
-    return join_null_safe(cuts, totals, groups, "inner")
-
-
-def _with_lower(sizes: DataFrame, groups: list[str]) -> DataFrame:
-    """Totals of all lower ranges; a group has at most twice as many ranges as cuts, plus one."""
-    lower = W.partitionBy(*groups).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    return sizes.select(
-        "*",
+    return totals.select(
+        *groups,
+        "_piece",
         F.coalesce(F.sum("_size").over(lower), F.lit(0)).alias("_lower"),
         F.coalesce(F.sum("_kinds").over(lower), F.lit(0)).alias("_lower_kinds"),
         F.sum("_size").over(W.partitionBy(*groups)).alias("_total"),
     )
 
 
-def _windowed(rows: DataFrame, keys: list[str], value: str, distinct: bool) -> DataFrame:
-    """`_before`, `_not_above`, `_all` (and `_dense`) of one sort per key."""
-    piece = W.partitionBy(*keys).orderBy(value)
-    ranks = {
-        "_before": F.rank().over(piece) - 1,
-        "_not_above": F.count("*").over(piece.rangeBetween(W.unboundedPreceding, W.currentRow)),
-        "_all": F.count("*").over(piece.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)),
-    }
-    if distinct:
-        ranks["_dense"] = F.dense_rank().over(piece)
-    return rows.withColumns(ranks)
-
-
-def _rank_small(rows: DataFrame, groups: list[str], value: str, distinct: bool) -> DataFrame:
-    windowed = _windowed(rows, groups, value, distinct)
-    return windowed.select(
-        *rows.columns,
-        F.col("_before").cast("long").alias("abaixo"),
-        (F.col("_not_above") - F.col("_before")).alias("iguais"),
-        F.col("_all").alias("n_valores"),
-        *([F.col("_dense").cast("long").alias("posicao_densa")] if distinct else []),
-    )
-
-
-def _rank_hot(
-    rows: DataFrame, groups: list[str], value: str, spread_by: list[str], distinct: bool
-) -> DataFrame:
-    # The cuts are written down: a quantile sketch may merge in another order when a task is run
-    # again, and all steps must see the same cuts. There are at most MAX_HOT_GROUPS groups per
-    # level and metric, of 2 KB each, and 25 KB with the totals.
-    cuts = stored(quantile_cuts(rows, groups, value), "cuts")
-    sizes = _range_sizes(
-        locate(rows, F.broadcast(cuts), groups, value, SEARCH_STEPS), groups, value, distinct
-    )
-    table = F.broadcast(_range_table(cuts, sizes, groups))
-    located = locate(rows, table, groups, value, SEARCH_STEPS)
-    tied = F.col("_range") % 2 == 1
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(TIE_SPREAD))
-    # The rows are shuffled only here, by ranges of even size.
-    pieces = located.withColumns(
-        {
-            "_part": F.when(tied, spread).otherwise(0),
-            "_totals": F.get("_ranges", F.col("_range")),
-        }
-    ).select(
-        *rows.columns,
-        "_range",
-        "_part",
-        "_total",
-        "_totals._lower",
-        "_totals._lower_kinds",
-        "_totals._size",
-    )
-    windowed = _windowed(pieces, [*groups, "_range", "_part"], value, distinct)
-    return windowed.select(
-        *rows.columns,
-        (F.col("_lower") + F.col("_before")).alias("abaixo"),
-        F.when(tied, F.col("_size"))
-        .otherwise(F.col("_not_above") - F.col("_before"))
-        .alias("iguais"),
-        F.col("_total").alias("n_valores"),
-        *([(F.col("_lower_kinds") + F.col("_dense")).alias("posicao_densa")] if distinct else []),
-    )
-
-
 def ranked(
-    small: DataFrame,
-    hot: DataFrame | None,
+    rows: DataFrame,
     groups: list[str],
     value: str,
-    spread_by: list[str],
-    distinct: bool = False,
+    asking: Column | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Rank non-null values ascending within each group.
 
-    `small` and `hot` hold the rows of groups below and above the size limit; a group is wholly
-    in one of them; `hot` is None where no group is that large. Adds `abaixo` (rows with a smaller value), `iguais` (rows with the same
-    value, itself included), `n_valores` (rows in the group) and, on request, `posicao_densa`.
-    """
-    answers = _rank_small(small, groups, value, distinct)
-    if hot is not None:
-        answers = answers.unionByName(_rank_hot(hot, groups, value, spread_by, distinct))
-    return answers
-
-
-def counted(
-    asking: DataFrame,
-    members: DataFrame,
-    groups: list[str],
-    value: str,
-    broadcast_cuts: bool = False,
-) -> DataFrame:
-    """Rank a few asking rows per group among many members, without shuffling the members.
-
-    The asked values are the cuts, so every member is only counted into a range: a partial
-    aggregation per task. At most `MAX_ASKING` rows may ask per group. `broadcast_cuts` says that
-    the caller has checked the total size of the asked values. Adds the same columns as `ranked`.
+    Only rows that meet `asking` (all by default) are returned, but every row counts. Adds `abaixo`
+    (rows with a smaller value), `iguais` (rows with the same value, itself included), `n_valores`
+    (rows in the group) and `posicao_densa`. `ranges` sets the number of value ranges; by default it
+    is the number of shuffle partitions.
     """
-    cuts = asking.groupBy(*groups).agg(F.sort_array(F.collect_set(value)).alias("_cuts"))
-    if broadcast_cuts:
-        cuts = F.broadcast(cuts)
-    sizes = (
-        locate(members.select(*groups, value), cuts, groups, value, COUNT_STEPS)
-        .groupBy(*groups, "_range")
-        .agg(F.count("*").alias("_size"), F.max(value).alias(value), F.lit(0).alias("_kinds"))
+    pieces = value_ranges(rows, groups, value, ranges)
+    piece = W.partitionBy(*groups, "_piece").orderBy(value)
+    placed = pieces.withColumns(
+        {
+            "_before": F.coalesce(
+                F.sum("_same").over(piece.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
+            ),
+            "_place": F.row_number().over(piece),
+        }
     )
-    # In an odd range all members have the asked value.
-    answers = _with_lower(sizes, groups).where(F.col("_range") % 2 == 1)
-    return join_null_safe(asking, answers, [*groups, value], "inner").select(
-        *asking.columns,
-        F.col("_lower").alias("abaixo"),
-        F.col("_size").alias("iguais"),
+    answers = join_null_safe(placed, _offsets(pieces, groups), [*groups, "_piece"], "inner").select(
+        *groups,
+        value,
+        (F.col("_lower") + F.col("_before")).alias("abaixo"),
+        F.col("_same").alias("iguais"),
         F.col("_total").alias("n_valores"),
+        (F.col("_lower_kinds") + F.col("_place")).cast("long").alias("posicao_densa"),
     )
+    asked = rows if asking is None else rows.where(asking)
+    return join_null_safe(asked, answers, [*groups, value], "inner")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickermill.operators import magic, peers
-from tickermill.operators.ranking import HOT_ROWS, MAX_ASKING, join_null_safe
+from tickermill.operators.ranking import join_null_safe
 
 # Fixed values: (bad -> 0, good -> 100) reference points per metric.
 BANDS = {
@@ -205,19 +205,19 @@ def technical_signal() -> Column:
     )
 
 
-def _peer_values(grouping: peers.Grouping) -> DataFrame:
+def _peer_values(rows: DataFrame, ranges: int | None) -> DataFrame:
     """Per row id: `_p_<metric>` percentiles and the Magic Formula rank.
 
     The narrow answers are brought together by row id before they are spread to columns, so one
     shuffle of (id, metric, answer) rows does it; aggregating first would shuffle wider rows.
     """
     first_magic = len(BANDS)
-    answers = peers.midranks(grouping, DIRECTIONS, ROW_ID).select(
+    answers = peers.midranks(rows, DIRECTIONS, ROW_ID, ranges).select(
         *ROW_ID,
         "metrica",
         F.when(F.col("n_valores") >= peers.MIN_GROUP, F.col("percentil")).alias("resposta"),
     )
-    positions = magic.dense_positions(grouping, ROW_ID).select(
+    positions = magic.dense_positions(rows, ROW_ID, ranges).select(
         *ROW_ID,
         (F.col("metrica") + first_magic).cast("byte").alias("metrica"),
         F.col("posicao_densa").cast("double").alias("resposta"),
@@ -239,16 +239,16 @@ def _peer_values(grouping: peers.Grouping) -> DataFrame:
     )
 
 
-def score_universe(
-    df: DataFrame, hot_rows: int = HOT_ROWS, max_asking: int = MAX_ASKING
-) -> DataFrame:
+def score_universe(df: DataFrame, ranges: int | None = None) -> DataFrame:
     """Add score, grade, peer group, coverage, confidence, classic formulas and Magic Formula.
 
     Takes one row per (data_coleta, ticker); each run date is scored on its own. Rows that may
-    not be scored keep their formulas and flags and get the "no data" defaults.
+    not be scored keep their formulas and flags and get the "no data" defaults. Group cells and
+    value ranges are written to the shared folder while the plan is built, which reads `df` more
+    than once: pass a stored table.
     """
-    grouping = peers.measure_groups(df, hot_rows, max_asking)
-    with_peers = join_null_safe(grouping.rows, _peer_values(grouping), ROW_ID, "left")
+    rows = peers.with_groups(df)
+    with_peers = join_null_safe(rows, _peer_values(rows, ranges), ROW_ID, "left")
     bands = with_peers.selectExpr(
         "*",
         *[f"{metric_band_sql(name)} AS _b_{name}" for name in BANDS],

@@ -1,4 +1,4 @@
-"""Bronze to silver to gold as lazy DataFrame chains."""
+"""Bronze to silver to gold as DataFrame chains."""
 
 from __future__ import annotations
 
@@ -10,7 +10,6 @@ from tickermill.functions import indicators
 from tickermill.functions.categories import with_categories
 from tickermill.functions.coercion import conform
 from tickermill.operators.dedup import latest_envelopes
-from tickermill.operators.ranking import HOT_ROWS, MAX_ASKING
 from tickermill.operators.scoring import score_universe
 
 
@@ -27,11 +26,13 @@ def series_rows(bronze: DataFrame, run_date: str = "") -> DataFrame:
     return indicators.price_series(bronze, run_date)
 
 
-def gold_rows(
-    silver: DataFrame, hot_rows: int = HOT_ROWS, max_asking: int = MAX_ASKING
-) -> DataFrame:
-    """Scored and labelled rows; labels come after the score because one of them uses it."""
-    labelled = with_categories(score_universe(silver, hot_rows, max_asking))
+def gold_rows(silver: DataFrame, ranges: int | None = None) -> DataFrame:
+    """Scored and labelled rows; labels come after the score because one of them uses it.
+
+    Ranking writes small tables while the plan is built and reads `silver` several times, so
+    pass the stored table.
+    """
+    labelled = with_categories(score_universe(silver, ranges))
     return conform(
         labelled.withColumn("data_referencia", F.col("data_coleta")), schemas.GOLD
     )

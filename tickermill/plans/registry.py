@@ -19,9 +19,9 @@ from tickermill.streaming import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Limits of the `_split` queries, which check the path of hot groups and of many askers on small
-# tables; the defaults apply everywhere else.
-SPLIT = {"hot_rows": 50, "max_asking": 10}
+# The `_split` queries deal small tables into so many value ranges that most groups are cut, as large
+# groups are in large tables.
+SPLIT = {"ranges": 64}
 
 
 def _stored(name: str) -> Query:
@@ -157,9 +157,9 @@ def peer_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 def _midranks(**limits: int) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        grouping = peers.measure_groups(SILVER(spark, folder), **limits)
+        rows = peers.with_groups(SILVER(spark, folder))
         names = F.array(*[F.lit(name) for name in scoring.BANDS])
-        return peers.midranks(grouping, scoring.DIRECTIONS, scoring.ROW_ID).select(
+        return peers.midranks(rows, scoring.DIRECTIONS, scoring.ROW_ID, **limits).select(
             *scoring.ROW_ID,
             F.get(names, F.col("metrica").cast("int")).alias("metrica"),
             "n_valores",
@@ -171,9 +171,9 @@ def _midranks(**limits: int) -> Query:
 
 def _magic_positions(**limits: int) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        grouping = peers.measure_groups(SILVER(spark, folder), **limits)
+        rows = peers.with_groups(SILVER(spark, folder))
         names = F.array(*[F.lit(name) for name in magic.RANKED])
-        return magic.dense_positions(grouping, scoring.ROW_ID).select(
+        return magic.dense_positions(rows, scoring.ROW_ID, **limits).select(
             *scoring.ROW_ID,
             F.get(names, F.col("metrica").cast("int")).alias("metrica"),
             F.col("posicao_densa").cast("long").alias("posicao_densa"),
