@@ -21,6 +21,12 @@ def _columns(name: str, alias: str = "") -> str:
 _BY_TICKER = "SELECT *, ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY {order}) AS rn FROM tick"
 _TIES = "evento_ts DESC, event_id DESC, data_pregao DESC"
 
+# Every session with the values of the newest run that has it.
+_NEWEST_SESSION = (
+    "SELECT *, ROW_NUMBER() OVER (PARTITION BY ticker, data_pregao ORDER BY data_coleta DESC) AS rn "
+    "FROM price_row"
+)
+
 CENSUS = """
 SELECT data_referencia, COUNT(*) AS ativos, COUNT(score_final) AS com_score,
        COUNT(*) FILTER (WHERE fonte = 'brapi') AS dados_reais,
@@ -116,7 +122,7 @@ ORACLE: dict[str, str] = {
           CASE WHEN l_quantity > 25 THEN 1e0 ELSE 0e0 END AS maxima, NULLIF(l_tax, 0) AS minima,
           CAST(NULL AS DOUBLE) AS fechamento,
           CAST(trunc(l_quantity * CAST(-1.9 AS DOUBLE)) AS BIGINT) AS volume,
-          CAST(l_linenumber AS VARCHAR) AS evento_ts, strftime(l_shipdate, '%Y-%m-%d') AS data_pregao
+          CAST(CAST(l_extendedprice AS DOUBLE) * 1000 AS VARCHAR) AS evento_ts, strftime(l_shipdate, '%Y-%m-%d') AS data_pregao
         FROM lineitem""",
     "asset_categories": over(
         f"""SELECT symbol, data_coleta, {_CLASS.replace('ticker', 'symbol')} AS classe_ativo,
@@ -158,7 +164,10 @@ ORACLE: dict[str, str] = {
     "gold_scores": over(f"SELECT {_columns(schemas.GOLD)} FROM gold", "gold"),
     "gold_scores_split": over(f"SELECT {_columns(schemas.GOLD)} FROM gold", "gold"),
     "ingest_guard": over(
-        "SELECT ticker, data_coleta FROM asset WHERE data_coleta >= '1998-01-01'", "asset"
+        "SELECT ticker, data_coleta FROM asset WHERE data_coleta >= (SELECT d FROM ("
+        "SELECT data_coleta AS d, ROW_NUMBER() OVER (ORDER BY data_coleta) - 1 AS i, COUNT(*) OVER () AS n "
+        "FROM (SELECT DISTINCT data_coleta FROM asset)) WHERE i = n // 2)",
+        "asset",
     ),
     "landing_replay": over(BRONZE_SUMMARY, "asset"),
     "tick_stream": over(
@@ -170,9 +179,7 @@ ORACLE: dict[str, str] = {
     "envelope_stream": over(BRONZE_SUMMARY, "asset"),
     "partition_rewrite": over(CENSUS, "gold"),
     "series_upsert": over(
-        f"SELECT {_columns(schemas.SERIES)} FROM price_row "
-        "WHERE data_coleta = (SELECT MAX(data_coleta) FROM leaf)",
-        "price_row",
+        f"SELECT {_columns(schemas.SERIES)} FROM ({_NEWEST_SESSION}) WHERE rn = 1", "price_row"
     ),
     "catalog_census": over(CENSUS, "gold"),
     "screener_view": over(SCREENER, "silver_run", "gold_run"),
@@ -257,14 +264,26 @@ ORACLE: dict[str, str] = {
     "series_coverage": over(
         """SELECT 'brapi (real)' AS origem, s.ticker, COUNT(*) AS pregoes, MIN(b.data_pregao) AS de,
           MAX(b.data_pregao) AS ate
-        FROM silver_run s JOIN bar b ON b.k = s.k WHERE s.fonte = 'brapi' AND s.ok GROUP BY s.ticker
+        FROM (""" + _NEWEST_SESSION + """) b JOIN silver s ON s.ticker = upper(trim(b.ticker, E' \\t\\n'))
+          AND s.data_coleta = b.data_coleta
+        WHERE b.rn = 1 AND s.fonte = 'brapi' GROUP BY s.ticker
         UNION ALL
         SELECT 'producer (sintetico)' AS origem, ticker, COUNT(DISTINCT data_pregao) AS pregoes,
           MIN(data_pregao) AS de, MAX(data_pregao) AS ate FROM tick GROUP BY ticker""",
-        "silver_run",
-        "bar",
+        "silver",
+        "price_row",
+        "tick",
+    ),
+    "rejected_lines": over(
+        "SELECT CASE WHEN event_id % 10 = 0 THEN 'rejeitada' ELSE 'aceita' END AS linha, COUNT(*) AS n "
+        "FROM tick GROUP BY 1",
         "tick",
     ),
+    "latest_with_dateless": over(
+        "SELECT data_coleta, fonte, COUNT(*) AS linhas FROM silver "
+        "WHERE data_coleta = (SELECT MAX(data_coleta) FROM silver) GROUP BY data_coleta, fonte",
+        "silver",
+    ),
     "dashboard_extract": over("SELECT " + ", ".join(_EXTRACT.split()) + " FROM extract", "extract"),
     "dashboard_kpis": over(
         "SELECT COUNT(*) AS ativos, COUNT(score_final) AS com_score, "

@@ -74,7 +74,7 @@ if __name__ == "__main__":
 
     folder, names = sys.argv[1], sys.argv[2:]
     spark = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master(f"local[{os.environ.get("CHECK_CPUS", "8")}]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -79,6 +79,35 @@ def test_partition_overwrite_is_idempotent(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(data_coleta" in plan and rows_of(one, "ticker") == [("A3",)]
 
 
+def test_latest_partition_ignores_rows_without_a_date(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [("A3", "{}", "t", "2026-10-01"), ("B3", "{}", "t", None), ("C3", "{}", "t", "2026-10-02T08:00")]
+    tables.write_table(envelopes(spark, rows), schemas.BRONZE, root)
+    assert tables.partition_values(spark, schemas.BRONZE, root) == ["2026-10-01", "2026-10-02T08:00"]
+    assert rows_of(tables.latest_partition(spark, schemas.BRONZE, root), "ticker") == [("C3",)]
+
+
+def test_merging_reads_touched_partitions_only(spark, tmp_path):
+    root = str(tmp_path)
+    days = [("A3", "{}", "t", f"2026-10-0{k}") for k in range(1, 6)]
+    tables.write_table(envelopes(spark, days), schemas.BRONZE, root)
+    kept = tables.touched_rows(envelopes(spark, [("B3", "{}", "t", "2026-10-03")]), schemas.BRONZE, root)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "data_coleta" in plan.split("PartitionFilters: [")[1] and "2026-10-03" in plan
+    assert rows_of(kept, "data_coleta") == [("2026-10-03",)]
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from tickermill.session import shared_dir
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    cluster = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(ValueError, match="share"):
+        shared_dir(cluster)
+
+
 def test_writing_nothing_changes_nothing(spark, tmp_path):
     root = str(tmp_path)
     tables.write_table(envelopes(spark, [("A3", "{}", "t", "2026-10-01")]), schemas.BRONZE, root)
@@ -194,6 +223,25 @@ def test_malformed_lines_are_kept_apart(spark, tmp_path):
     assert [r.linha for r in spark.table("bad").collect()] == ["{broken"]
 
 
+def test_malformed_landing_lines_never_reach_bronze(spark, tmp_path):
+    day = tmp_path / "landing" / "data_coleta=2026-10-01"
+    day.mkdir(parents=True)
+    write_lines(day, "1.json", [{"ticker": "A3", "payload_json": "{}", "fonte": "brapi"}, "{broken"])
+    zone = str(tmp_path / "landing")
+    assert rows_of(landing.read_landing(spark, zone), "ticker", "data_coleta") == [("A3", "2026-10-01")]
+    assert rows_of(landing.rejected_lines(spark, zone), "linha", "data_coleta") == [("{broken", "2026-10-01")]
+
+
+def test_rejects_of_the_envelope_stream_are_stored(spark, tmp_path):
+    inbox = tmp_path / "in"
+    write_lines(inbox, "1.json", [message("A3", "p", "t1"), "{broken"])
+    rejects = str(tmp_path / "rejects")
+    feeds.ingest_envelopes(
+        spark, str(inbox), str(tmp_path / "lake"), str(tmp_path / "c"), rejects=rejects
+    ).awaitTermination()
+    assert [r.linha for r in spark.read.json(rejects).collect()] == ["{broken"]
+
+
 # --- catalog ------------------------------------------------------------------------------
 
 def test_catalog_and_view(spark, tmp_path, universe):
@@ -211,7 +259,7 @@ def test_catalog_and_view(spark, tmp_path, universe):
     view = spark.table(f"market.{schemas.SCREENER_VIEW}")
     assert len(view.columns) == 30 and view.columns[2] == "P/L" and view.columns[-1] == "Fonte"
     assert rows_of(view, "Papel", "`P/L`", "Nota") == sorted(
-        [("A3", 10.0, view.where("Papel = 'A3'").first()["Nota"]), ("B3", 10.0, None)]
+        [("A3", 9.0, view.where("Papel = 'A3'").first()["Nota"]), ("B3", 9.0, None)]
     )
     # A partition written later appears after the next registration.
     tables.write_table(silver.withColumn("data_coleta", F.lit("2026-10-15")), schemas.SILVER, root)

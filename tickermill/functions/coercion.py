@@ -29,9 +29,18 @@ def coerce_sql(name: str, source: T.DataType, kind: str) -> str:
         return f"{value} <> ''" if isinstance(source, T.StringType) else f"{value} <> 0"
     if isinstance(source, T.BooleanType):
         return f"initcap(CAST({value} AS STRING))"
+    if isinstance(source, T.FloatType | T.DoubleType):
+        return _plain_number_sql(f"CAST({value} AS DOUBLE)")
     return f"CAST({value} AS STRING)"
 
 
+def _plain_number_sql(value: str) -> str:
+    """Text of a double without exponent where that is usual: from 1e-4 up to 1e16."""
+    digits = f"CAST(TRY_CAST(CAST({value} AS STRING) AS DECIMAL(38,18)) AS STRING)"
+    plain = f"regexp_replace(regexp_replace({digits}, '0+$', ''), '[.]$', '.0')"
+    return f"IF(abs({value}) >= 1e-4 AND abs({value}) < 1e16, {plain}, CAST({value} AS STRING))"
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Same columns, order and types as the table: missing become NULL, extras are dropped."""
     present = {field.name: field.dataType for field in df.schema.fields}

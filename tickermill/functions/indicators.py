@@ -6,6 +6,8 @@ several times is computed once; everything is row-local and needs no shuffle.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,7 +77,11 @@ _BOUNDED = [name for name in SANITY_BOUNDS if name != "volatilidade_anualizada"]
 
 
 def parse_payload(bronze: DataFrame, run_date: str = "") -> DataFrame:
-    """Bronze envelopes with the payload parsed once; bad or missing JSON gives empty fields."""
+    """Bronze envelopes with the payload parsed once; bad or missing JSON gives empty fields.
+
+    Rows without a run date take `run_date`, or today's date in UTC.
+    """
+    run_date = run_date or datetime.now(timezone.utc).date().isoformat()
     return bronze.select(
         "ticker",
         F.coalesce(blank_to_null(F.col("fonte")), F.lit(DEFAULT_SOURCE)).alias("fonte"),

@@ -41,6 +41,6 @@ def warehouse(spark: SparkSession, folder: str) -> str:
 
 
 def write_series(spark: SparkSession, root: str) -> int:
-    """Series of the newest run, merged by (ticker, data_pregao): each run repeats most sessions."""
-    newest = tables.latest_partition(spark, schemas.BRONZE, root)
-    return tables.upsert_table(medallion.series_rows(newest), schemas.SERIES, root)
+    """Series of all runs, merged by (ticker, data_pregao); the newest run of a session counts."""
+    rows = medallion.series_rows(tables.read_table(spark, schemas.BRONZE, root))
+    return tables.upsert_table(rows, schemas.SERIES, root, newest=medallion.newest_run_first())

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickermill import schemas
 from tickermill.functions import indicators
 from tickermill.functions.categories import with_categories
 from tickermill.functions.coercion import conform
-from tickermill.operators.dedup import latest_envelopes
+from tickermill.operators.dedup import latest_envelopes, top_per_key
 from tickermill.operators.scoring import score_universe
 
 
@@ -19,13 +19,22 @@ def bronze_rows(envelopes: DataFrame) -> DataFrame:
 
 
 def silver_rows(bronze: DataFrame, run_date: str = "") -> DataFrame:
-    return indicators.indicators(bronze, run_date)
+    """Typed indicators, one row per run and normalised ticker: the newest collection wins."""
+    order = ["coletado_em", *[c for c in schemas.columns(schemas.SILVER) if c != "coletado_em"]]
+    rows = indicators.indicators(bronze, run_date)
+    newest = [F.col(c).desc_nulls_last() for c in order]
+    return top_per_key(rows, ["ticker", "data_coleta"], newest).select(*rows.columns)
 
 
 def series_rows(bronze: DataFrame, run_date: str = "") -> DataFrame:
     return indicators.price_series(bronze, run_date)
 
 
+def newest_run_first() -> list[Column]:
+    """Order for merging series: a session keeps the values of the newest run that has it."""
+    return [F.col("data_coleta").desc_nulls_last()]
+
+
 def gold_rows(silver: DataFrame, ranges: int | None = None) -> DataFrame:
     """Scored and labelled rows; labels come after the score because one of them uses it.
 

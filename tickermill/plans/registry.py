@@ -13,7 +13,7 @@ from tickermill.functions.coercion import conform
 from tickermill.operators import magic, peers, scoring
 from tickermill.operators.dedup import not_yet_ingested
 from tickermill.plans import derive, lake, medallion, price_reports, reports
-from tickermill.session import scratch_path
+from tickermill.session import scratch_path, stored
 from tickermill.sources import catalog, landing, tables
 from tickermill.streaming import feeds
 
@@ -100,7 +100,7 @@ def coerced_rows(spark: SparkSession, folder: str) -> DataFrame:
             (F.col("l_quantity") > 25).alias("maxima"),
             F.when(F.col("l_tax") == 0, F.lit(float("nan"))).otherwise(F.col("l_tax")).alias("minima"),
             (F.col("l_quantity") * -1.9).alias("volume"),
-            F.col("l_linenumber").alias("evento_ts"),
+            (F.col("l_extendedprice") * 1000).alias("evento_ts"),
             F.date_format("l_shipdate", "yyyy-MM-dd").alias("data_pregao"),
             F.lit("dropped").alias("not_in_layout"),
         ),
@@ -191,8 +191,9 @@ def _gold(**limits: int) -> Query:
 def ingest_guard(spark: SparkSession, folder: str) -> DataFrame:
     """Envelopes of tickers and dates that bronze lacks when only earlier runs are stored."""
     bronze = _stored(schemas.BRONZE)(spark, folder).select("ticker", "data_coleta")
-    stored = bronze.where(F.col("data_coleta") < "1998-01-01")
-    return not_yet_ingested(bronze, stored, schemas.key_columns(schemas.BRONZE))
+    dates = tables.partition_values(spark, schemas.BRONZE, lake.warehouse(spark, folder))
+    earlier = bronze.where(F.col("data_coleta") < dates[len(dates) // 2])
+    return not_yet_ingested(bronze, earlier, schemas.key_columns(schemas.BRONZE))
 
 
 def landing_replay(spark: SparkSession, folder: str) -> DataFrame:
@@ -230,6 +231,34 @@ def tick_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def rejected_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed in which every tenth line is cut short: accepted ticks and rejected lines counted."""
+    inbox, path = scratch_path(spark, "mixed_inbox"), scratch_path(spark, "mixed_table")
+    rejects = scratch_path(spark, "rejects")
+    ticks = derive.ticks(spark, folder)
+    line = F.to_json(F.struct(*[c for c in ticks.columns if c != "event_id"]))
+    short = F.substring(line, 1, 20)
+    mixed = ticks.select(F.when(F.col("event_id") % 10 == 0, short).otherwise(line).alias("value"))
+    mixed.write.text(inbox)
+    feeds.append_ticks(spark, inbox, path, scratch_path(spark, "offsets")).awaitTermination()
+    feeds.quarantine(
+        spark, inbox, schemas.PRICES, rejects, scratch_path(spark, "offsets")
+    ).awaitTermination()
+    accepted = tables.read_table(spark, schemas.PRICES, "", path).select(F.lit("aceita").alias("linha"))
+    refused = spark.read.schema("linha string").json(rejects).select(F.lit("rejeitada").alias("linha"))
+    return accepted.unionByName(refused).groupBy("linha").agg(F.count("*").alias("n"))
+
+
+def latest_with_dateless(spark: SparkSession, folder: str) -> DataFrame:
+    """Newest run of a table that also has rows without a run date."""
+    root = scratch_path(spark, "dateless")
+    silver = SILVER(spark, folder)
+    dateless = silver.where(F.col("fonte") == "sintetico").withColumn("data_coleta", F.lit(None))
+    tables.write_table(silver.unionByName(dateless), schemas.SILVER, root)
+    newest = tables.latest_partition(spark, schemas.SILVER, root)
+    return newest.groupBy("data_coleta", "fonte").agg(F.count("*").alias("linhas"))
+
+
 def envelope_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Envelopes as JSON files, merged into bronze in several micro-batches."""
     inbox, root = scratch_path(spark, "envelope_inbox"), scratch_path(spark, "streamed")
@@ -246,18 +275,23 @@ def partition_rewrite(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch_path(spark, "rewritten")
     gold = GOLD(spark, folder)
     tables.write_table(gold, schemas.GOLD, root)
-    tables.write_table(gold.where(F.col("data_referencia") >= "2000"), schemas.GOLD, root)
+    dates = tables.partition_values(spark, schemas.GOLD, root)
+    tables.write_table(gold.where(F.col("data_referencia").isin(dates[-2:])), schemas.GOLD, root)
     return reports.run_census(tables.read_table(spark, schemas.GOLD, root))
 
 
 def series_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    """Two runs that cover different tickers of the same sessions: neither erases the other."""
+    """Runs that cover different tickers of the same sessions, older ones merged under a newer one."""
     root = scratch_path(spark, "upserted")
-    rows = medallion.series_rows(_newest(schemas.BRONZE)(spark, folder))
+    bronze = _stored(schemas.BRONZE)(spark, folder)
+    rows = stored(medallion.series_rows(bronze), "series")
     part = F.pmod(F.length("ticker"), F.lit(2))
-    tables.upsert_table(rows.where(part == 0), schemas.SERIES, root)
-    tables.upsert_table(rows.where(part == 1), schemas.SERIES, root)
-    tables.upsert_table(rows.where(part == 1), schemas.SERIES, root)
+    newest = rows.agg(F.max("data_coleta")).first()[0]
+    late = F.col("data_coleta") == newest
+    for piece in (late & (part == 0), late & (part == 1), ~late, late & (part == 1)):
+        tables.upsert_table(
+            rows.where(piece), schemas.SERIES, root, newest=medallion.newest_run_first()
+        )
     return tables.read_table(spark, schemas.SERIES, root)
 
 
@@ -310,13 +344,13 @@ def dashboard_extract(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def series_coverage(spark: SparkSession, folder: str) -> DataFrame:
-    """Only real sources count as real: each stored session takes the source of its ticker."""
-    source = SILVER_RUN(spark, folder).where(F.col("fonte") == "brapi").select("ticker")
+    """Only real sources count as real: a stored session has the source of the run it came from."""
+    source = SILVER(spark, folder).where(F.col("fonte") == "brapi").select("ticker", "data_coleta")
     real = _stored(schemas.SERIES)(spark, folder).withColumn(
         "ticker", F.upper(guards.strip(F.col("ticker")))
     )
     return reports.series_coverage(
-        real.join(source, "ticker", "left_semi"), derive.ticks(spark, folder)
+        real.join(source, ["ticker", "data_coleta"], "left_semi"), derive.ticks(spark, folder)
     )
 
 
@@ -344,6 +378,8 @@ QUERIES: dict[str, Query] = {
     "landing_replay": landing_replay,
     "tick_stream": tick_stream,
     "envelope_stream": envelope_stream,
+    "rejected_lines": rejected_lines,
+    "latest_with_dateless": latest_with_dateless,
     "partition_rewrite": partition_rewrite,
     "series_upsert": series_upsert,
     "catalog_census": catalog_census,

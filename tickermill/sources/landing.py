@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickermill import schemas
 from tickermill.functions.indicators import REQUESTED_MODULES
 from tickermill.operators.dedup import not_yet_ingested
 
 STREAM, REPLAY = "stream", "replay"
+CORRUPT = "_corrupt_record"
 
 
 def envelope(
@@ -40,7 +42,21 @@ def write_landing(envelopes: DataFrame, landing: str) -> None:
 
 def read_landing(spark: SparkSession, landing: str, run_date: str | None = None) -> DataFrame:
     """Envelopes of one date (or all): one JSON document per line, any number of files."""
-    df = spark.read.schema(schemas.struct(schemas.BRONZE)).json(landing)
+    df = _lines(spark, landing, run_date)
+    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def rejected_lines(spark: SparkSession, landing: str, run_date: str | None = None) -> DataFrame:
+    """Lines that are no JSON document (`linha`) beside what could be read of them, for quarantine."""
+    df = _lines(spark, landing, run_date).where(F.col(CORRUPT).isNotNull())
+    return df.withColumnRenamed(CORRUPT, "linha")
+
+
+def _lines(spark: SparkSession, landing: str, run_date: str | None) -> DataFrame:
+    fields = [f for f in schemas.struct(schemas.BRONZE).fields if f.name != "data_coleta"]
+    layout = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(layout.add("data_coleta", T.StringType()))
+    df = reader.option("columnNameOfCorruptRecord", CORRUPT).json(landing)
     return df if run_date is None else df.where(F.col("data_coleta") == run_date)
 
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickermill import schemas
 from tickermill.functions.coercion import conform
 from tickermill.operators.dedup import top_per_key
+from tickermill.session import stored
+
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_table(spark: SparkSession, name: str, warehouse: str, path: str | None = None) -> DataFrame:
@@ -23,7 +28,10 @@ def read_partition(spark: SparkSession, name: str, column: str, value: str, ware
 
 
 def partition_values(spark: SparkSession, name: str, warehouse: str) -> list[str]:
-    """Partition values from the folder listing; no data file is opened."""
+    """Partition values from the folder listing, in order; no data file is opened.
+
+    The folder of rows without a value is left out, and escaped characters are restored.
+    """
     (column,) = schemas.partition_columns(name)
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(schemas.location(name, warehouse))
@@ -32,7 +40,8 @@ def partition_values(spark: SparkSession, name: str, warehouse: str) -> list[str
         return []
     names = [status.getPath().getName() for status in files.listStatus(path)]
     prefix = f"{column}="
-    return sorted(entry[len(prefix):] for entry in names if entry.startswith(prefix))
+    values = [unquote(entry[len(prefix) :]) for entry in names if entry.startswith(prefix)]
+    return sorted(value for value in values if value != NO_VALUE)
 
 
 def latest_partition(spark: SparkSession, name: str, warehouse: str) -> DataFrame:
@@ -69,21 +78,32 @@ def upsert_table(
 
     Rows of other keys in the same partitions stay. With `newest`, the first row per key in
     that order wins among stored and new rows; otherwise the new row wins. Writing the same
-    input again changes nothing. Only touched partitions are read (a join on the partition
-    column prunes the rest) and replaced.
+    input again changes nothing. The input is evaluated once, into the shared folder; its
+    partition values (one per touched partition) become literals, so only those folders are read.
+    The merged rows are staged as well: a write that fails half-way can be repeated from there.
     """
     spark = df.sparkSession
     keys = schemas.key_columns(name)
     (partition,) = schemas.partition_columns(name)
-    incoming = conform(df, name)
     if not partition_values(spark, name, warehouse):
+        incoming, kept = conform(df, name), None
         merged = incoming.withColumn("_rank", F.lit(0))
     else:
-        stored = read_table(spark, name, warehouse)
-        touched = incoming.select(partition).distinct()
-        kept = stored.join(touched, partition, "left_semi").withColumn("_rank", F.lit(1))
+        incoming = stored(conform(df, name), "incoming")
+        kept = touched_rows(incoming, name, warehouse).withColumn("_rank", F.lit(1))
         merged = incoming.withColumn("_rank", F.lit(0)).unionByName(kept)
     order = [*(newest or []), F.col("_rank")]
     # All columns close the order, so that equal keys resolve the same way on every run.
     order += [F.col(c).desc_nulls_last() for c in schemas.columns(name) if c not in keys]
-    return write_table(top_per_key(merged, keys, order), name, warehouse)
+    winners = top_per_key(merged, keys, order).select(*schemas.columns(name))
+    return write_table(winners if kept is None else stored(winners, "staged"), name, warehouse)
+
+
+def touched_rows(incoming: DataFrame, name: str, warehouse: str) -> DataFrame:
+    """Stored rows of the partitions that occur in `incoming`; the others are pruned."""
+    (partition,) = schemas.partition_columns(name)
+    values = [row[0] for row in incoming.select(partition).distinct().collect()]
+    present = F.col(partition).isin([value for value in values if value is not None])
+    if None in values:
+        present = present | F.col(partition).isNull()
+    return read_table(incoming.sparkSession, name, warehouse).where(present)

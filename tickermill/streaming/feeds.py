@@ -15,12 +15,10 @@ from tickermill import schemas
 from tickermill.functions.coercion import conform
 from tickermill.operators.dedup import newest_envelope_first
 from tickermill.plans.medallion import bronze_rows
-from tickermill.sources.landing import REPLAY, STREAM, read_landing
+from tickermill.session import stored
+from tickermill.sources.landing import CORRUPT, REPLAY, STREAM, read_landing
 from tickermill.sources.tables import upsert_table, write_table
 
-CORRUPT = "_corrupt_record"
-
-
 def _json_stream(spark: SparkSession, folder: str, table: str, files_per_batch: int) -> DataFrame:
     """Messages with text leaves (coerced later); malformed lines are kept apart, not fatal."""
     text = T.StructType([T.StructField(c, T.StringType()) for c in schemas.columns(table)])
@@ -74,20 +72,47 @@ def append_ticks(
     )
 
 
+def quarantine(
+    spark: SparkSession, folder: str, table: str, path: str, checkpoint: str, files_per_batch: int = 1000
+) -> StreamingQuery:
+    """Append all pending malformed lines of a feed to a reject folder and stop.
+
+    It reads the same files as the feed with a checkpoint of its own, so both see every line once.
+    """
+    rejects = malformed(_json_stream(spark, folder, table, files_per_batch))
+    return (
+        rejects.writeStream.format("json")
+        .option("checkpointLocation", checkpoint)
+        .option("path", path)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def ingest_envelopes(
-    spark: SparkSession, folder: str, warehouse: str, checkpoint: str, files_per_batch: int = 1000
+    spark: SparkSession,
+    folder: str,
+    warehouse: str,
+    checkpoint: str,
+    files_per_batch: int = 1000,
+    rejects: str | None = None,
 ) -> StreamingQuery:
     """Merge pending envelopes into bronze and stop; a batch is acknowledged after its write.
 
+    With `rejects`, the malformed lines of each batch are written there, in a folder per batch
+    that a repeated batch replaces.
+
     A batch that is run again after a failure merges to the same rows. The merge keeps the
     newest collection per key over all batches of a date.
     """
-    messages = _whole_numbers(
-        well_formed(_json_stream(spark, folder, schemas.BRONZE, files_per_batch)), schemas.BRONZE
-    )
-
-    def merge(batch: DataFrame, _batch_id: int) -> None:
-        upsert_table(batch, schemas.BRONZE, warehouse, newest=newest_envelope_first())
+    messages = _json_stream(spark, folder, schemas.BRONZE, files_per_batch)
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        if rejects:
+            batch = stored(batch, "batch")
+            malformed(batch).select("linha").write.mode("overwrite").json(f"{rejects}/batch={batch_id}")
+        rows = _whole_numbers(well_formed(batch), schemas.BRONZE)
+        upsert_table(rows, schemas.BRONZE, warehouse, newest=newest_envelope_first())
 
     return (
         messages.writeStream.foreachBatch(merge)
