@@ -14,7 +14,7 @@ scoring: half a megabyte that every task gets, whatever the data's size.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import log
+from math import ceil, log
 
 import numpy as np
 import pandas as pd
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tickermill.llm import training, words
 
 BUCKET_BITS, DIMENSIONS, GRAMS = 17, 16, (3, 4, 5)
-SAMPLE, EPOCHS, RATE = 1500, 6, 0.5
+SAMPLE, STEPS, MAX_EPOCHS, RATE = 1500, 18_000, 60, 0.5
 ACCEPT = 0.3
 REPEAT, REPEAT_WEIGHT = np.uint64(0x5851F42D4C957F2D), 4
 
@@ -71,12 +71,13 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], prior: float, seed: in
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (1 << BUCKET_BITS, DIMENSIONS)).astype(np.float32)
     output, bias = np.zeros((DIMENSIONS, 2), np.float32), np.zeros(2, np.float32)
-    share = np.mean([label for *_, label in rows]) if rows else 0.5
+    share = np.mean([label for *_, label in rows]) if rows else 0.0
     shift = log(prior / (1 - prior)) if 0 < prior < 1 else (6.0 if prior >= 1 else -6.0)
     if not 0 < share < 1:  # nothing to tell apart
         return Model(np.zeros(1 << BUCKET_BITS, np.float32), shift, vectors, output)
-    steps, done = EPOCHS * len(rows), 0
-    for _ in range(EPOCHS):
+    epochs = min(MAX_EPOCHS, ceil(STEPS / len(rows)))  # small samples are passed more often
+    steps, done = epochs * len(rows), 0
+    for _ in range(epochs):
         for k in rng.permutation(len(rows)):
             at, count, label = rows[k]
             rate = RATE * (1 - done / steps)
