@@ -6,7 +6,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
-from llm_brute import smallest_reachable
+from .llm_brute import smallest_reachable
 
 from tickermill.llm import decontamination, embeddings, minhash
 from tickermill.llm.components import components

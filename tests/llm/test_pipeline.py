@@ -5,8 +5,8 @@ import pytest
 from oracle_check import compare, connect
 from tickermill.llm import registry
 from tickermill.session import stored
-from test_pair_operators import brute_groups
-from test_text_operators import SECRET, base_spans
+from .test_pair_operators import brute_groups
+from .test_text_operators import SECRET, base_spans
 
 SF = "/root/testdata/sf0.001"
 

@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 import pytest
-from llm_brute import card_digits, luhn
+from .llm_brute import card_digits, luhn
 
 from tickermill.llm import bpe, pii, secrets, substrings
 from tickermill.llm.registry import TOKENIZER
