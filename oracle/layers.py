@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from tickermill.functions.categories import FINANCIAL_KEYWORDS
-from tickermill.functions.guards import SANITY_BOUNDS
-from tickermill.functions.indicators import CORE_FIELDS
-from tickermill.operators.scoring import BANDS, METRIC_WEIGHTS, PILLAR_WEIGHTS
+from oracle.constants import (
+    BANDS,
+    CORE_FIELDS,
+    FINANCIAL_KEYWORDS,
+    METRIC_WEIGHTS,
+    PILLAR_WEIGHTS,
+    SANITY_BOUNDS,
+)
 from tickermill.plans.derive import ASSETS_SQL
 from tickermill.schemas import EXTRA_INDICATORS, SCREENER_INDICATORS
 

@@ -39,8 +39,8 @@ def test_registry_invariants(name):
     assert columns[-1:] == schemas.partition_columns(name)
     assert columns[:-1] == schemas.data_columns(name)
     assert [part.split()[0] for part in schemas.ddl(name).split(", ")] == columns
-    assert schemas.location(name).endswith(f"/warehouse/{name}/")
-    assert f"LOCATION '{schemas.location(name)}'" in schemas.create_table_sql(name)
+    assert schemas.location(name, "/lake/warehouse").endswith(f"/warehouse/{name}/")
+    assert f"LOCATION '{schemas.location(name, "/lake/warehouse")}'" in schemas.create_table_sql(name, "/lake/warehouse")
 
 
 def test_registry_sizes_and_errors():
@@ -57,7 +57,7 @@ def test_price_table_ddl():
         "ticker STRING, abertura DOUBLE, maxima DOUBLE, minima DOUBLE, fechamento DOUBLE, "
         "volume BIGINT, evento_ts STRING, data_pregao STRING"
     )
-    assert "PARTITIONED BY (data_pregao)" in schemas.create_table_sql(schemas.PRICES)
+    assert "PARTITIONED BY (data_pregao)" in schemas.create_table_sql(schemas.PRICES, "/lake")
 
 
 # --- tables -------------------------------------------------------------------------------

@@ -13,17 +13,30 @@ from pyspark.sql import functions as F
 from tickermill.functions.formatting import heat_level
 from tickermill.operators.dedup import top_per_key
 from tickermill.operators.scoring import SIGNALS, technical_signal
-from tickermill.schemas import SCREENER_INDICATORS
 
 # Output names of the coverage report and of the two feeds.
-COVERAGE_LABELS = dict(
-    zip(
-        [name for name in SCREENER_INDICATORS if name != "cotacao"],
-        "preco_lucro p_vp psr div_yield p_ativo p_cap_giro p_ebit p_acl ev_ebit ev_ebitda "
-        "mrg_bruta mrg_ebit mrg_liq liq_corr roic roe liq_2m patrim_liq div_liq_patrim "
-        "cresc_5a".split(),
-    )
-)
+COVERAGE_LABELS = {
+    "preco_lucro": "preco_lucro",
+    "preco_valor_patrimonial": "p_vp",
+    "psr": "psr",
+    "dividend_yield": "div_yield",
+    "preco_ativo": "p_ativo",
+    "preco_capital_giro": "p_cap_giro",
+    "preco_ebit": "p_ebit",
+    "preco_ativo_circ_liquido": "p_acl",
+    "ev_ebit": "ev_ebit",
+    "ev_ebitda": "ev_ebitda",
+    "margem_bruta": "mrg_bruta",
+    "margem_ebit": "mrg_ebit",
+    "margem_liquida": "mrg_liq",
+    "liq_corrente": "liq_corr",
+    "roic": "roic",
+    "roe": "roe",
+    "liquidez_2meses": "liq_2m",
+    "patrimonio_liquido": "patrim_liq",
+    "divida_liquida_patrimonio": "div_liq_patrim",
+    "cresc_receita_5a": "cresc_5a",
+}
 REAL_FEED, SYNTHETIC_FEED = "brapi (real)", "producer (sintetico)"
 PILLARS = (
     ("score_valuation", "Valuation"),
@@ -255,12 +268,31 @@ def dashboard_extract(gold_run: DataFrame, silver_run: DataFrame) -> DataFrame:
     ).alias("i")
     g = gold_run.alias("g")
     on = (_c("i.ticker") == _c("g.ticker")) & (_c("i.data_coleta") == _c("g.data_referencia"))
-    gold_columns = (
-        "ticker nota score_final score_valuation score_rentabilidade score_solidez "
-        "score_dividendos setor porte perfil_risco perfil_investidor confianca "
-        "cobertura_indicadores_pct grupo_usado n_grupo margem_seguranca valor_graham "
-        "preco_teto_bazin cotacao elegivel_score fonte rank_magic_formula data_referencia"
-    ).split()
+    gold_columns = [
+        "ticker",
+        "nota",
+        "score_final",
+        "score_valuation",
+        "score_rentabilidade",
+        "score_solidez",
+        "score_dividendos",
+        "setor",
+        "porte",
+        "perfil_risco",
+        "perfil_investidor",
+        "confianca",
+        "cobertura_indicadores_pct",
+        "grupo_usado",
+        "n_grupo",
+        "margem_seguranca",
+        "valor_graham",
+        "preco_teto_bazin",
+        "cotacao",
+        "elegivel_score",
+        "fonte",
+        "rank_magic_formula",
+        "data_referencia",
+    ]
     return (
         g.join(extra, on, "left")
         .select(

@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-DEFAULT_WAREHOUSE = "s3a://datalake/warehouse"
 DEFAULT_DATABASE = "default"
 
 LOGICAL_TYPES = {
@@ -25,23 +24,51 @@ SERIES = "silver_precos_brapi"
 GOLD = "gold_classificacao_ativos"
 SCREENER_VIEW = "gold_screener_fundamentus"
 
-SCREENER_INDICATORS = (
-    "cotacao preco_lucro preco_valor_patrimonial psr dividend_yield preco_ativo "
-    "preco_capital_giro preco_ebit preco_ativo_circ_liquido ev_ebit ev_ebitda margem_bruta "
-    "margem_ebit margem_liquida liq_corrente roic roe liquidez_2meses patrimonio_liquido "
-    "divida_liquida_patrimonio cresc_receita_5a"
-).split()
-
-EXTRA_INDICATORS = (
-    "lpa vpa valor_mercado margem_ebitda divida_bruta_patrimonio divida_liquida_ebitda "
-    "cresc_receita_12m retorno_sobre_ativos volatilidade_anualizada beta enterprise_value "
-    "ebit_estimado ebitda receita_total divida_total caixa_total lucro_liquido acoes_emitidas "
-    "ativo_total_estimado"
-).split()
-
-
-def _typed(kind: str, names: str) -> list[tuple[str, str]]:
-    return [(name, kind) for name in names.split()]
+SCREENER_INDICATORS = [
+    "cotacao",
+    "preco_lucro",
+    "preco_valor_patrimonial",
+    "psr",
+    "dividend_yield",
+    "preco_ativo",
+    "preco_capital_giro",
+    "preco_ebit",
+    "preco_ativo_circ_liquido",
+    "ev_ebit",
+    "ev_ebitda",
+    "margem_bruta",
+    "margem_ebit",
+    "margem_liquida",
+    "liq_corrente",
+    "roic",
+    "roe",
+    "liquidez_2meses",
+    "patrimonio_liquido",
+    "divida_liquida_patrimonio",
+    "cresc_receita_5a",
+]
+
+EXTRA_INDICATORS = [
+    "lpa",
+    "vpa",
+    "valor_mercado",
+    "margem_ebitda",
+    "divida_bruta_patrimonio",
+    "divida_liquida_ebitda",
+    "cresc_receita_12m",
+    "retorno_sobre_ativos",
+    "volatilidade_anualizada",
+    "beta",
+    "enterprise_value",
+    "ebit_estimado",
+    "ebitda",
+    "receita_total",
+    "divida_total",
+    "caixa_total",
+    "lucro_liquido",
+    "acoes_emitidas",
+    "ativo_total_estimado",
+]
 
 
 @dataclass(frozen=True)
@@ -55,71 +82,112 @@ class Table:
 _DECLARED = (
     (
         PRICES,
-        _typed("texto", "ticker")
-        + _typed("decimal", "abertura maxima minima fechamento")
-        + _typed("longo", "volume")
-        + _typed("texto", "evento_ts"),
+        [
+            ("ticker", "texto"),
+            ("abertura", "decimal"),
+            ("maxima", "decimal"),
+            ("minima", "decimal"),
+            ("fechamento", "decimal"),
+            ("volume", "longo"),
+            ("evento_ts", "texto"),
+        ],
         "data_pregao",
         (),
     ),
     (
         BRONZE,
-        _typed("texto", "ticker payload_json")
-        + _typed("inteiro", "http_status")
-        + _typed("texto", "modulos_solicitados fonte coletado_em"),
+        [
+            ("ticker", "texto"),
+            ("payload_json", "texto"),
+            ("http_status", "inteiro"),
+            ("modulos_solicitados", "texto"),
+            ("fonte", "texto"),
+            ("coletado_em", "texto"),
+        ],
         "data_coleta",
         ("ticker", "data_coleta"),
     ),
     (
         SILVER,
-        _typed("texto", "ticker nome_longo setor industria")
-        + [(name, "decimal") for name in SCREENER_INDICATORS + EXTRA_INDICATORS]
-        + _typed("texto", "fonte classe_ativo")
-        + _typed("booleano", "setor_financeiro elegivel_score")
-        + _typed("texto", "motivo_inelegibilidade")
-        + _typed("booleano", "lucro_negativo")
-        + _typed("decimal", "cobertura_campos_pct")
-        + _typed("inteiro", "pontos_serie")
-        + _typed(
-            "texto",
-            "preco_ativo_origem roic_origem dividend_yield_origem liquidez_2meses_origem "
-            "cresc_receita_origem coletado_em",
-        ),
+        [
+            ("ticker", "texto"),
+            ("nome_longo", "texto"),
+            ("setor", "texto"),
+            ("industria", "texto"),
+            *[(name, "decimal") for name in SCREENER_INDICATORS + EXTRA_INDICATORS],
+            ("fonte", "texto"),
+            ("classe_ativo", "texto"),
+            ("setor_financeiro", "booleano"),
+            ("elegivel_score", "booleano"),
+            ("motivo_inelegibilidade", "texto"),
+            ("lucro_negativo", "booleano"),
+            ("cobertura_campos_pct", "decimal"),
+            ("pontos_serie", "inteiro"),
+            ("preco_ativo_origem", "texto"),
+            ("roic_origem", "texto"),
+            ("dividend_yield_origem", "texto"),
+            ("liquidez_2meses_origem", "texto"),
+            ("cresc_receita_origem", "texto"),
+            ("coletado_em", "texto"),
+        ],
         "data_coleta",
         ("ticker", "data_coleta"),
     ),
     (
         SERIES,
-        _typed("texto", "ticker")
-        + _typed("decimal", "abertura maxima minima fechamento fechamento_ajustado")
-        + _typed("longo", "volume")
-        + _typed("texto", "data_coleta"),
+        [
+            ("ticker", "texto"),
+            ("abertura", "decimal"),
+            ("maxima", "decimal"),
+            ("minima", "decimal"),
+            ("fechamento", "decimal"),
+            ("fechamento_ajustado", "decimal"),
+            ("volume", "longo"),
+            ("data_coleta", "texto"),
+        ],
         "data_pregao",
         ("ticker", "data_pregao"),
     ),
     (
         GOLD,
-        _typed("texto", "ticker")
-        + _typed("decimal", "cotacao score_final")
-        + _typed("texto", "nota")
-        + _typed("decimal", "score_valuation score_rentabilidade score_solidez score_dividendos")
-        + _typed("texto", "grupo_usado")
-        + _typed("inteiro", "n_grupo")
-        + _typed("texto", "perfil_pesos")
-        + _typed("decimal", "cobertura_indicadores_pct")
-        + _typed("texto", "confianca setor industria classe_ativo porte perfil_risco perfil_investidor")
-        + _typed("decimal", "valor_mercado volatilidade_anualizada liquidez_2meses valor_graham")
-        + _typed("decimal", "margem_seguranca")
-        + _typed("booleano", "flag_graham")
-        + _typed("decimal", "preco_teto_bazin")
-        + _typed("booleano", "flag_bazin")
-        + _typed("inteiro", "rank_magic_formula")
-        + _typed(
-            "booleano",
-            "flag_pl_barato flag_pvp_barato flag_roe_bom flag_endiv_ok flag_liquidez_ok "
-            "flag_dy_suspeito elegivel_score",
-        )
-        + _typed("texto", "fonte"),
+        [
+            ("ticker", "texto"),
+            ("cotacao", "decimal"),
+            ("score_final", "decimal"),
+            ("nota", "texto"),
+            ("score_valuation", "decimal"),
+            ("score_rentabilidade", "decimal"),
+            ("score_solidez", "decimal"),
+            ("score_dividendos", "decimal"),
+            ("grupo_usado", "texto"),
+            ("n_grupo", "inteiro"),
+            ("perfil_pesos", "texto"),
+            ("cobertura_indicadores_pct", "decimal"),
+            ("confianca", "texto"),
+            ("setor", "texto"),
+            ("industria", "texto"),
+            ("classe_ativo", "texto"),
+            ("porte", "texto"),
+            ("perfil_risco", "texto"),
+            ("perfil_investidor", "texto"),
+            ("valor_mercado", "decimal"),
+            ("volatilidade_anualizada", "decimal"),
+            ("liquidez_2meses", "decimal"),
+            ("valor_graham", "decimal"),
+            ("margem_seguranca", "decimal"),
+            ("flag_graham", "booleano"),
+            ("preco_teto_bazin", "decimal"),
+            ("flag_bazin", "booleano"),
+            ("rank_magic_formula", "inteiro"),
+            ("flag_pl_barato", "booleano"),
+            ("flag_pvp_barato", "booleano"),
+            ("flag_roe_bom", "booleano"),
+            ("flag_endiv_ok", "booleano"),
+            ("flag_liquidez_ok", "booleano"),
+            ("flag_dy_suspeito", "booleano"),
+            ("elegivel_score", "booleano"),
+            ("fonte", "texto"),
+        ],
         "data_referencia",
         ("ticker", "data_referencia"),
     ),
@@ -177,7 +245,7 @@ def ddl(name: str) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in struct(name).fields)
 
 
-def location(name: str, warehouse: str = DEFAULT_WAREHOUSE) -> str:
+def location(name: str, warehouse: str) -> str:
     return f"{warehouse.rstrip('/')}/{table(name).name}/"
 
 
@@ -186,7 +254,7 @@ def qualified(name: str, database: str = DEFAULT_DATABASE) -> str:
 
 
 def create_table_sql(
-    name: str, warehouse: str = DEFAULT_WAREHOUSE, database: str = DEFAULT_DATABASE
+    name: str, warehouse: str, database: str = DEFAULT_DATABASE
 ) -> str:
     """External Parquet table over the stored files."""
     partition = partition_columns(name)

@@ -17,16 +17,18 @@ RESULT_SETTINGS = {
 }
 
 
-def create_session(app_name: str, **conf: str) -> SparkSession:
+def create_session(app_name: str, shared: str | None = None, **conf: str) -> SparkSession:
     """A session with UTC dates, dynamic partition overwrite and adaptive execution.
 
-    Shuffle width is left to adaptive coalescing instead of a constant.
+    `shared` is a folder that the driver and all executors see, for tables between steps; a cluster
+    needs it here or in `spark.checkpoint.dir`. Shuffle width is left to adaptive coalescing.
     """
     builder = SparkSession.builder.appName(app_name)
     settings = {
         **RESULT_SETTINGS,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        **({CHECKPOINT_CONF: shared} if shared else {}),
         **conf,
     }
     for key, value in settings.items():
