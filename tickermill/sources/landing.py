@@ -53,11 +53,15 @@ def rejected_lines(spark: SparkSession, landing: str, run_date: str | None = Non
 
 
 def _lines(spark: SparkSession, landing: str, run_date: str | None) -> DataFrame:
+    """Every line that is not blank as an envelope, or as a rejected text beside empty columns."""
     fields = [f for f in schemas.struct(schemas.BRONZE).fields if f.name != "data_coleta"]
     layout = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
-    reader = spark.read.schema(layout.add("data_coleta", T.StringType()))
-    df = reader.option("columnNameOfCorruptRecord", CORRUPT).json(landing)
-    return df if run_date is None else df.where(F.col("data_coleta") == run_date)
+    lines = spark.read.schema("value STRING, data_coleta STRING").text(landing)
+    if run_date is not None:
+        lines = lines.where(F.col("data_coleta") == run_date)
+    parsed = F.from_json("value", layout, {"columnNameOfCorruptRecord": CORRUPT})
+    rows = lines.where(F.trim("value") != "").select(parsed.alias("line"), "data_coleta")
+    return rows.select(*[f"line.{name}" for name in layout.names], "data_coleta")
 
 
 def only_new(incoming: DataFrame, stored: DataFrame) -> DataFrame:
