@@ -234,7 +234,8 @@ def test_malformed_landing_lines_never_reach_bronze(spark, tmp_path):
 
 def test_rejects_of_the_envelope_stream_are_stored(spark, tmp_path):
     inbox = tmp_path / "in"
-    write_lines(inbox, "1.json", [message("A3", "p", "t1"), "{broken"])
+    good = {"ticker": "A3", "payload_json": "p", "coletado_em": "t1", "data_coleta": "2026-10-01"}
+    write_lines(inbox, "1.json", [good, "{broken"])
     rejects = str(tmp_path / "rejects")
     feeds.ingest_envelopes(
         spark, str(inbox), str(tmp_path / "lake"), str(tmp_path / "c"), rejects=rejects
