@@ -63,7 +63,7 @@ PAYLOAD_DDL = (
     + ", summaryProfile STRUCT<sector: STRING, industry: STRING>"
     + f", defaultKeyStatistics STRUCT<{_strings(STATISTICS_NUMBERS)}>"
     + f", financialData STRUCT<{_strings(FINANCIAL_NUMBERS)}>"
-    + ", historicalDataPrice ARRAY<STRING>"
+    + f", historicalDataPrice ARRAY<STRUCT<{series.POINT_DDL}>>"
 )
 
 _LEAVES = {
@@ -88,7 +88,17 @@ def parse_payload(bronze: DataFrame, run_date: str = "") -> DataFrame:
         "coletado_em",
         F.coalesce(blank_to_null(F.col("data_coleta")), F.lit(run_date)).alias("data_coleta"),
         F.from_json("payload_json", PAYLOAD_DDL).alias("_payload"),
-    )
+        "payload_json",
+    ).withColumn("_points", _points())
+
+
+def _points():
+    """Valid points of the series. One element that is no object nulls the whole typed array; only
+    such payloads are read once more, element by element."""
+    typed = F.col("_payload.historicalDataPrice")
+    odd = typed.isNull() & F.col("payload_json").contains('"historicalDataPrice"')
+    texts = F.from_json("payload_json", "historicalDataPrice ARRAY<STRING>")["historicalDataPrice"]
+    return series.valid_points(F.coalesce(typed, F.when(odd, series.parsed_one_by_one(texts))))
 
 
 def _origin(present, label: str):
@@ -116,7 +126,7 @@ def indicators(bronze: DataFrame, run_date: str = "") -> DataFrame:
         "fonte",
         "coletado_em",
         "data_coleta",
-        series.valid_points(c("_payload.historicalDataPrice")).alias("_points"),
+        "_points",
         *[F.expr(f"{parse_number_sql(path)} AS {name}") for name, path in _LEAVES.items()],
     )
     # A step of its own, so that each text is parsed once.
@@ -253,7 +263,7 @@ def price_series(bronze: DataFrame, run_date: str = "") -> DataFrame:
         parsed.select(
             "ticker",
             "data_coleta",
-            series.valid_points(F.col("_payload.historicalDataPrice")).alias("_points"),
+            "_points",
         ),
         "_points",
     )

@@ -21,21 +21,22 @@ LIQUIDITY_MEASURED = "serie_brapi_3mo"
 LIQUIDITY_SAMPLE_TOO_SMALL = "amostra_insuficiente"
 
 POINT_FIELDS = ("date", "open", "high", "low", "close", "volume", "adjustedClose")
-POINT_DDL = ", ".join(f"{name} STRING" for name in POINT_FIELDS)
+POINT_DDL = ", ".join(f"{name}: STRING" for name in POINT_FIELDS)
 
 
 def valid_points(history: Column) -> Column:
-    """Array of JSON texts to array of numeric points; points without a valid close are dropped.
-
-    Elements are parsed one by one because a single non-object would null an array of structs.
-    """
-    parsed = F.transform(history, lambda text: F.from_json(text, POINT_DDL))
+    """Array of points as text to numeric points; points without a valid close are dropped."""
     numeric = F.transform(
-        parsed, lambda point: F.struct(*[number(point[name]).alias(name) for name in POINT_FIELDS])
+        history, lambda point: F.struct(*[number(point[name]).alias(name) for name in POINT_FIELDS])
     )
     return F.filter(numeric, lambda point: point["close"].isNotNull())
 
 
+def parsed_one_by_one(texts: Column) -> Column:
+    """Points of an array of JSON texts; what is no object becomes an empty point."""
+    return F.transform(texts, lambda text: F.from_json(text, f"STRUCT<{POINT_DDL}>"))
+
+
 def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda total, value: total + value)
 
