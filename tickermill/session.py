@@ -54,10 +54,19 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tickermill/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new path of this application under the shared folder."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/tickermill/{app}/{purpose}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete what this application has stored between steps; call it when all results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
