@@ -108,21 +108,15 @@ def test_a_cluster_without_a_shared_folder_is_refused():
         shared_dir(cluster)
 
 
-def test_stored_tables_are_cleared_with_the_application_only(spark, tmp_path):
-    from pathlib import Path
-
-    from tickermill.session import CHECKPOINT_CONF, clear_scratch, stored
-
-    before = spark.conf.get(CHECKPOINT_CONF)
-    spark.conf.set(CHECKPOINT_CONF, str(tmp_path))
-    try:
-        (tmp_path / "other").mkdir()
-        assert stored(spark.range(3), "numbers").count() == 3
-        assert list(tmp_path.glob("tickermill/*/numbers-*"))
-        assert clear_scratch(spark)
-        assert not list(Path(tmp_path).glob("tickermill/*/numbers-*")) and (tmp_path / "other").exists()
-    finally:
-        spark.conf.set(CHECKPOINT_CONF, before)
+def test_stored_tables_are_cleared_with_the_application_only(spark, tmp_path, monkeypatch):
+    from tickermill import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    (tmp_path / "other").mkdir()
+    assert session.stored(spark.range(3), "numbers").count() == 3
+    assert list(tmp_path.glob("tickermill/*/numbers-*"))
+    assert session.clear_scratch(spark)
+    assert not list(tmp_path.glob("tickermill/*/*")) and (tmp_path / "other").exists()
 
 
 def test_writing_nothing_changes_nothing(spark, tmp_path):

@@ -49,9 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
-    own = tempfile.mkdtemp(prefix="tickermill-")
-    spark.conf.set(CHECKPOINT_CONF, own)
-    return own
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tickermill-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def _own_folder(spark: SparkSession) -> str:
