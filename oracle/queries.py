@@ -124,6 +124,26 @@ ORACLE: dict[str, str] = {
           CAST(trunc(l_quantity * CAST(-1.9 AS DOUBLE)) AS BIGINT) AS volume,
           CAST(CAST(l_extendedprice AS DOUBLE) * 1000 AS VARCHAR) AS evento_ts, strftime(l_shipdate, '%Y-%m-%d') AS data_pregao
         FROM lineitem""",
+    "display_labels": """
+        SELECT l_orderkey, l_linenumber,
+          replace(format('{:,.1f}', CAST(l_quantity AS DOUBLE) * 1234e0), ',', ' ') || ' un' AS fixo,
+          CASE WHEN l_tax > 0 THEN format('{:.0f}', CAST(l_discount AS DOUBLE) * 100e0) || '%' ELSE '–' END AS parcela,
+          CASE l_linenumber WHEN 1 THEN '–' WHEN 2 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || ' mi'
+            WHEN 3 THEN '-' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '.2 bi'
+            ELSE replace(format('{:,}', CAST(l_quantity * 1234 AS BIGINT)), ',', ' ') END AS valor
+        FROM lineitem""",
+    "raw_envelopes": """
+        SELECT 'S' || s_suppkey AS ticker, CAST(CASE WHEN s_suppkey % 5 = 0 THEN 401 ELSE 200 END AS INTEGER) AS http_status,
+          'defaultKeyStatistics,financialData,summaryProfile' AS modulos_solicitados, 'brapi' AS fonte,
+          '2026-10-01T08:00:00' AS coletado_em, '2026-10-01' AS data_coleta,
+          CASE WHEN s_suppkey % 5 <> 0 THEN s_name END AS simbolo
+        FROM supplier""",
+    "bronze_partition": over(
+        f"SELECT * FROM ({BRONZE_SUMMARY}) WHERE data_coleta = (SELECT d FROM ("
+        "SELECT data_coleta AS d, ROW_NUMBER() OVER (ORDER BY data_coleta) - 1 AS i, COUNT(*) OVER () AS n "
+        "FROM (SELECT DISTINCT data_coleta FROM asset)) WHERE i = n // 2)",
+        "asset",
+    ),
     "asset_categories": over(
         f"""SELECT symbol, data_coleta, {_CLASS.replace('ticker', 'symbol')} AS classe_ativo,
           COALESCE(regexp_matches(lower(concat_ws(' ', sector, industry)), 'banco|seguro|segurad'), FALSE)

@@ -124,6 +124,25 @@ def asset_categories(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def display_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Amounts and shares as the dashboard writes them, from thousands to billions."""
+    line = derive.load(spark, folder, "lineitem")
+    quantity = F.col("l_quantity").cast("double")
+    amount = (
+        F.when(F.col("l_linenumber") == 1, F.lit(None).cast("double"))
+        .when(F.col("l_linenumber") == 2, quantity * 1e6 + 1e5)
+        .when(F.col("l_linenumber") == 3, -(quantity * 1e9 + 2e8))
+        .otherwise(quantity * 1234)
+    )
+    return line.select(
+        "l_orderkey",
+        "l_linenumber",
+        formatting.fixed_label(quantity * 1234, 1, " un").alias("fixo"),
+        formatting.percent_label(F.when(F.col("l_tax") > 0, F.col("l_discount"))).alias("parcela"),
+        formatting.compact_label(amount).alias("valor"),
+    )
+
+
 # --- bronze and silver --------------------------------------------------------------------
 
 def bronze_latest(spark: SparkSession, folder: str) -> DataFrame:
@@ -139,6 +158,33 @@ def bronze_latest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def raw_envelopes(spark: SparkSession, folder: str) -> DataFrame:
+    """Envelopes around payloads, every fifth fetch failed."""
+    supplier = derive.load(spark, folder, "supplier")
+    fetched = F.col("s_suppkey") % 5 != 0
+    payload = F.struct(F.col("s_name").alias("symbol"), F.col("s_nationkey").alias("sector"))
+    rows = supplier.select(
+        *landing.envelope(
+            F.concat(F.lit("S"), F.col("s_suppkey")),
+            F.when(fetched, payload),
+            F.lit("brapi"),
+            F.when(fetched, 200).otherwise(401),
+            F.lit("2026-10-01"),
+            F.lit("2026-10-01T08:00:00"),
+        )
+    )
+    symbol = F.get_json_object("payload_json", "$.symbol")
+    return rows.withColumn("simbolo", symbol).drop("payload_json")
+
+
+def bronze_partition(spark: SparkSession, folder: str) -> DataFrame:
+    """One run of bronze, read by its partition."""
+    root = lake.warehouse(spark, folder)
+    dates = tables.partition_values(spark, schemas.BRONZE, root)
+    run = tables.read_partition(spark, schemas.BRONZE, "data_coleta", dates[len(dates) // 2], root)
+    return _bronze_summary(run)
+
+
 def silver_indicators(spark: SparkSession, folder: str) -> DataFrame:
     return _settled(medallion.silver_rows(_stored(schemas.BRONZE)(spark, folder)))
 
@@ -364,6 +410,9 @@ QUERIES: dict[str, Query] = {
     "numeric_guards": numeric_guards,
     "coerced_rows": coerced_rows,
     "asset_categories": asset_categories,
+    "display_labels": display_labels,
+    "raw_envelopes": raw_envelopes,
+    "bronze_partition": bronze_partition,
     "bronze_latest": bronze_latest,
     "silver_indicators": silver_indicators,
     "silver_prices": silver_prices,
