@@ -19,11 +19,14 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-WORDS_KEPT, PAIRS_KEPT = 1 << 19, 1 << 20  # remembered by each worker; bounds of its memory
+SLICE = 256
+WORDS_KEPT, PAIRS_KEPT = 1 << 18, 1 << 19  # remembered by each worker; bounds of its memory
 
 # Fixed values of the file format: the printable character that stands for each byte, the mark of a
 # word's end, and the pattern that cuts lower-cased text into words.
@@ -287,18 +290,28 @@ def decode(ids: Column, tokenizer: str) -> Column:
 
 
 def tokenise(docs: DataFrame, tokenizer: str, text_column: str = "text") -> DataFrame:
-    """`docs` with the text replaced by ids (array<int>), n_tokens, ids_sha256 and decoded_sha256."""
-
-    @F.pandas_udf("ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def encoded(texts: pd.Series) -> pd.DataFrame:
-        rows = [_digest(text, tokenizer) for text in texts]
-        out = pd.DataFrame([r[1:] for r in rows], columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-        out.insert(0, "ids", pd.Series([np.frombuffer(r[0], "<u4").astype(np.int32) for r in rows], dtype=object))
-        return out
+    """`docs` with the text replaced by ids (array<int>), n_tokens, ids_sha256 and decoded_sha256.
 
+    Ids leave the task in slices of SLICE documents as flat arrays, so that a task holds few of them.
+    """
     added = ["ids", "n_tokens", "ids_sha256", "decoded_sha256"]
-    out = docs.drop(*added).withColumn("__encoded", encoded(F.col(text_column).cast("string")))
-    return out.withColumns({c: F.col("__encoded")[c] for c in added}).drop("__encoded", text_column)
+    rest = [c for c in docs.columns if c not in (text_column, *added)]
+
+    def encoded(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
+                rows = [_digest(text, tokenizer) for text in part.column(len(rest)).to_pylist()]
+                ends = np.cumsum([0, *(row[1] for row in rows)]).astype(np.int32)
+                flat = np.frombuffer(b"".join([row[0] for row in rows]), "<u4").astype(np.int32)
+                columns = [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+                columns += [pa.array(list(column)) for column in zip(*(row[1:] for row in rows))]
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], *columns], [*rest, *added])
+
+    own = docs.select(*rest, F.col(text_column).cast("string").alias(text_column))
+    schema = T.StructType([*own.schema.fields[:-1]])
+    schema = schema.add("ids", "array<int>").add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
+    return own.mapInArrow(encoded, schema)
 
 
 def _digest(text: str | None, path: str) -> tuple[bytes, int, str, str]:
