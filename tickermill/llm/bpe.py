@@ -309,8 +309,8 @@ def tokenise(docs: DataFrame, tokenizer: str, text_column: str = "text") -> Data
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], *columns], [*rest, *added])
 
     own = docs.select(*rest, F.col(text_column).cast("string").alias(text_column))
-    schema = T.StructType([*own.schema.fields[:-1]])
-    schema = schema.add("ids", "array<int>").add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
+    types = [T.ArrayType(T.IntegerType()), T.LongType(), T.StringType(), T.StringType()]
+    schema = T.StructType([*own.schema.fields[:-1], *map(T.StructField, added, types)])
     return own.mapInArrow(encoded, schema)
 
 
