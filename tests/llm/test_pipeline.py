@@ -52,4 +52,4 @@ def test_query_matches_sql(spark, name):
 
 
 def test_registered_names():
-    assert [int(n[2:].split("_")[0]) for n in registry.QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in registry.QUERIES] == list(range(1, 14))

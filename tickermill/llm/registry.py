@@ -5,9 +5,25 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickermill.llm import bpe, decontamination, embeddings, equivalent_sql, language, minhash, pii, quality, secrets, substrings, toxicity
+from tickermill.llm import (
+    bpe,
+    decontamination,
+    divergence,
+    embeddings,
+    equivalent_sql,
+    language,
+    minhash,
+    packing,
+    pii,
+    quality,
+    secrets,
+    substrings,
+    toxicity,
+    trie,
+)
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +70,18 @@ def op10_hyperminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
+
+
+def op12_run_length_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_subword_quality": op1_subword_quality,
     "op2_prefix_bpe": op2_prefix_bpe,
@@ -65,6 +93,9 @@ QUERIES = {
     "op8_boosted_toxicity": op8_boosted_toxicity,
     "op9_int8_tiles": op9_int8_tiles,
     "op10_hyperminhash_dedup": op10_hyperminhash_dedup,
+    "op11_bin_slack_packing": op11_bin_slack_packing,
+    "op12_run_length_divergence": op12_run_length_divergence,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 # The others have no SQL form (learned models, tokenizer merges, tilings, spans with learned additions);
@@ -73,4 +104,6 @@ ORACLE: dict[str, str] = {
     "op5_window_dedup": equivalent_sql.WINDOW_DEDUP,
     "op9_int8_tiles": equivalent_sql.EMBEDDING_DEDUP,
     "op10_hyperminhash_dedup": equivalent_sql.NEAR_DEDUP,
+    "op12_run_length_divergence": equivalent_sql.DIVERGENCE,
+    "op13_prefix_trie": equivalent_sql.PREFIX_TRIE,
 }
