@@ -22,6 +22,7 @@ FINANCIAL, NON_FINANCIAL, STANDARD = "financeiro", "nao_financeiro", "padrao"
 RUN = "data_coleta"
 _CELL = [RUN, "fonte", "_setor", "_macro"]
 _ASKED = ["_ask_universo", "_ask_macro"]
+_GROUPS = ["_in_universo", "_in_macro", "_in_setor"]
 
 
 def is_eligible() -> Column:
@@ -39,13 +40,16 @@ def macro_group() -> Column:
 def group_cells(df: DataFrame) -> DataFrame:
     """Eligible rows per (run, source, sector, macro), with group sizes and the level used.
 
-    One aggregation of the rows; all the rest works on the cells, of which there are at most
-    two per sector, source and run.
+    One aggregation of the rows, which is written; all the rest works on the cells, of which there
+    are at most two per sector, source and run. The number of a group's smallest cell stands for
+    the group, so that rows are ranked by two numbers instead of four texts.
     """
+    counted = stored(df.where(is_eligible()).groupBy(*_CELL).agg(F.count("*").alias("_n")), "cells")
     cells = (
-        df.where(is_eligible())
-        .groupBy(*_CELL)
-        .agg(F.count("*").alias("_n"))
+        counted.withColumn("_cell", F.monotonically_increasing_id())
+        .withColumn("_in_universo", F.min("_cell").over(W.partitionBy(RUN, "fonte")))
+        .withColumn("_in_macro", F.min("_cell").over(W.partitionBy(RUN, "fonte", "_macro")))
+        .withColumn("_in_setor", F.min("_cell").over(W.partitionBy(RUN, "fonte", "_setor")))
         .withColumn("n_universo", F.sum("_n").over(W.partitionBy(RUN, "fonte")))
         .withColumn("n_macro", F.sum("_n").over(W.partitionBy(RUN, "fonte", "_macro")))
         .withColumn("n_setor", F.sum("_n").over(W.partitionBy(RUN, "fonte", "_setor")))
@@ -61,7 +65,7 @@ def group_cells(df: DataFrame) -> DataFrame:
     ).over(W.partitionBy(RUN, "fonte", *keys))
     return cells.withColumn("_ask_universo", asking(UNIVERSE)).withColumn(
         "_ask_macro", asking(MACRO, "_macro")
-    )
+    ).drop("_cell")
 
 
 def with_cell_keys(df: DataFrame) -> DataFrame:
@@ -74,7 +78,7 @@ def choose_groups(df: DataFrame) -> DataFrame:
     The group cells are written to the shared folder when this is called: later steps join a table
     of known size, which Spark broadcasts only if it is small, instead of aggregating again.
     """
-    return with_groups(df).drop("_setor", "_macro", "n_universo", "n_macro", "n_setor", *_ASKED)
+    return with_groups(df).drop("_setor", "_macro", "n_universo", "n_macro", "n_setor", *_ASKED, *_GROUPS)
 
 
 def with_groups(df: DataFrame) -> DataFrame:
@@ -111,57 +115,51 @@ def metric_values(metrics: dict[str, int]) -> Column:
     return F.expr(f"array({', '.join(pairs)})")
 
 
-def _long(
-    rows: DataFrame, levels: list[Column], metrics: dict[str, int], ids: list[str]
-) -> DataFrame:
-    """(ids, group, metric, value) of each row in each of its groups, missing values left out."""
+def peer_values(rows: DataFrame, metrics: dict[str, int], ids: list[str]) -> DataFrame:
+    """(ids, nivel, grupo, pergunta, metrica, valor) of each row in each of its groups, missing values left out.
+
+    `rows` come from `with_groups`. A row belongs to its sector, and to its macro group and universe
+    where some row asks at that level; all of them count there, and only the asking ones need the answer.
+    """
+    c = F.col
+
+    def level(applies: Column, code: int, name: str, group: str) -> Column:
+        asked = c("grupo_usado") == name
+        return F.when(
+            applies, F.struct(F.lit(code).cast("byte").alias("nivel"), c(group).alias("grupo"), asked.alias("pergunta"))
+        )
+
+    levels = F.array(
+        level(c("grupo_usado") == SECTOR, 0, SECTOR, "_in_setor"),
+        level((c("_ask_macro") > 0) & (c("n_macro") >= MIN_GROUP), 1, MACRO, "_in_macro"),
+        level((c("_ask_universo") > 0) & (c("n_universo") >= MIN_GROUP), 2, UNIVERSE, "_in_universo"),
+    )
+    present = F.filter(metric_values(metrics), lambda m: m["valor"].isNotNull())
     return (
         rows.where(is_eligible())
-        .withColumn("_g", F.explode(F.array(*levels)))
-        .where(F.col("_g").isNotNull())
-        .select(
-            *ids,
-            (F.col("_g.nivel") == F.col("grupo_usado")).alias("pergunta"),
-            F.col("_g.nivel").alias("nivel"),
-            F.col("_g.chave").alias("chave"),
-            F.explode(metric_values(metrics)).alias("_m"),
-        )
-        .select("*", "_m.metrica", "_m.valor")
-        .drop("_m")
-        .where(F.col("valor").isNotNull())
+        .select(*ids, present.alias("_m"), F.explode(levels).alias("_g"))
+        .where(c("_g").isNotNull())
+        .select(*ids, "_g.*", F.inline("_m"))
     )
 
 
+# What `peer_values` are ranked by.
+RANK_KEYS = ["grupo", "nivel", "metrica"]
+
+
+def percentile() -> Column:
+    """Midrank of a ranked value: rows below it and half of its ties, as a share of the group."""
+    return (F.col("abaixo") + F.lit(0.5) * F.col("iguais")) / F.col("n_valores")
+
+
 def midranks(
     rows: DataFrame, metrics: dict[str, int], ids: list[str], ranges: int | None = None
 ) -> DataFrame:
     """Midrank percentile of each asked metric: (ids, metrica, n_valores, percentil).
 
     `rows` come from `with_groups`. `metrics` maps a column to +1 (larger is better) or -1. `ids`
-    must name a row uniquely and include the run date and `fonte`. A row belongs to its sector, and to
-    its macro group and universe where some row asks at that level; all of them count there, and
-    only the asking ones join their answer. See `ranking` for `ranges` and how large groups are cut.
+    must name a row uniquely, among the rows of its run and `fonte` at least. See `ranking` for
+    `ranges` and how large groups are cut.
     """
-    c = F.col
-
-    def level(applies: Column, name: str, key: Column) -> Column:
-        return F.when(applies, F.struct(F.lit(name).alias("nivel"), key.alias("chave")))
-
-    levels = [
-        level(c("grupo_usado") == SECTOR, SECTOR, c("_setor")),
-        level((c("_ask_macro") > 0) & (c("n_macro") >= MIN_GROUP), MACRO, c("_macro")),
-        level((c("_ask_universo") > 0) & (c("n_universo") >= MIN_GROUP), UNIVERSE, F.lit("")),
-    ]
-    groups = ["metrica", "nivel", "chave", "fonte", RUN]
-    everyone = _long(rows, levels, metrics, ids)
-    return _percentiles(ranked(everyone, groups, "valor", c("pergunta"), ranges), ids)
-
-
-def _percentiles(answers: DataFrame, ids: list[str]) -> DataFrame:
-    c = F.col
-    return answers.select(
-        *ids,
-        "metrica",
-        "n_valores",
-        ((c("abaixo") + F.lit(0.5) * c("iguais")) / c("n_valores")).alias("percentil"),
-    )
+    answers = ranked(peer_values(rows, metrics, ids), RANK_KEYS, "valor", F.col("pergunta"), ranges)
+    return answers.select(*ids, "metrica", "n_valores", percentile().alias("percentil"))

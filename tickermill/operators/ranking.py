@@ -1,9 +1,11 @@
-"""Exact ranks inside groups of any size, with one plan for all of them.
+"""Exact ranks inside groups of any size, with one plan for all of them and no join back.
 
-Rows are reduced to distinct values with counts, so ties cost one row. The values are dealt into ranges
-of even size by (group, value), whatever the groups are: a small group lies in one range, a huge
-one in many. Values are ranked inside their range, and a small table of range totals per group shifts
-them by the exact number of rows in the ranges below. Asking rows then join their value's answer.
+Rows are dealt once into ranges of even size by (group, value, hash of the rest): a small group lies in one
+range, a huge one in many, and a value that many rows share is cut like any other. The rows travel with all
+their columns, are ranked inside their part of the group, and keep the answer. Only groups that
+run across a border of ranges need more; of them there are at most two parts for each range. A small table
+with the totals and the two outer values of those parts shifts the ranks by what lies below,
+and adds up the ties that run across borders.
 """
 
 from __future__ import annotations
@@ -28,28 +30,87 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str)
 
 
 def value_ranges(rows: DataFrame, groups: list[str], value: str, ranges: int | None) -> DataFrame:
-    """Distinct values per group with `_same` rows each, and the range `_piece` they lie in.
+    """The rows with the range `_piece` they lie in, in the order of (group, value)."""
+    rest = [name for name in rows.columns if name not in (*groups, value)]
+    order = [*groups, value, F.xxhash64(*rest) if rest else F.lit(0)]
+    dealt = rows.repartitionByRange(*([ranges] if ranges else []), *order)
+    return dealt.withColumn("_piece", F.spark_partition_id())
 
-    The table is written, so that the borders of the ranges are the same for all its readers.
-    """
-    keys = [*groups, value]
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("_same"))
-    dealt = counts.repartitionByRange(*([ranges] if ranges else []), *keys)
-    return stored(dealt.withColumn("_piece", F.spark_partition_id()), "ranges")
+
+def _ranked_in_piece(pieces: DataFrame, groups: list[str], value: str) -> DataFrame:
+    """Ranks among the rows of the group in the same range; a written table, as it is read twice."""
+    part = W.partitionBy(*groups, "_piece")
+    place = part.orderBy(value)
+    return stored(
+        pieces.withColumns(
+            {
+                "_below": (F.rank().over(place) - 1).cast("long"),
+                "_kind": F.dense_rank().over(place).cast("long"),
+                "_same": F.count("*").over(place.rangeBetween(W.currentRow, W.currentRow)),
+                "_size": F.count("*").over(part),
+            }
+        ),
+        "ranked",
+    )
 
 
-def _offsets(pieces: DataFrame, groups: list[str]) -> DataFrame:
-    """Rows and distinct values of each group below each of its ranges; a row per group and range."""
-    lower = W.partitionBy(*groups).orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
-    totals = pieces.groupBy(*groups, "_piece").agg(
-        F.sum("_same").alias("_size"), F.count("*").alias("_kinds")
+def _crossing(placed: DataFrame, groups: list[str], value: str) -> DataFrame:
+    """A row for each part of a group that lies in several ranges: what is below it, and its outer values' ties."""
+    c = F.col
+    # The rows with the part's smallest and largest value tell all that is needed.
+    outermost = placed.where("_below = 0 OR _below + _same = _size")
+    parts = outermost.groupBy(*groups, "_piece").agg(
+        F.first("_size").alias("_rows"),
+        F.max("_kind").alias("_kinds"),
+        F.min(value).alias("_lo"),
+        F.max(value).alias("_hi"),
+        F.min_by("_same", "_kind").alias("_lo_n"),
+        F.max_by("_same", "_kind").alias("_hi_n"),
     )
-    return totals.select(
+    group, ordered = W.partitionBy(*groups), W.partitionBy(*groups).orderBy("_piece")
+    lower = ordered.rowsBetween(W.unboundedPreceding, -1)
+    # A value on both sides of a border is one kind.
+    repeated = F.when(F.lag("_hi").over(ordered) == c("_lo"), 1).otherwise(0)
+    crossing = (
+        parts.withColumns({"_parts": F.count("*").over(group), "_again": repeated})
+        .where("_parts > 1")
+        .withColumns(
+            {
+                "_lower": F.coalesce(F.sum("_rows").over(lower), F.lit(0)),
+                "_total": F.sum("_rows").over(group),
+                "_lower_kinds": F.coalesce(F.sum("_kinds").over(lower), F.lit(0))
+                - F.sum("_again").over(ordered.rowsBetween(W.unboundedPreceding, 0)),
+            }
+        )
+    )
+    # The ties of a value over all parts that have it; inner values lie in one part only.
+    outer = crossing.select(
         *groups,
         "_piece",
-        F.coalesce(F.sum("_size").over(lower), F.lit(0)).alias("_lower"),
-        F.coalesce(F.sum("_kinds").over(lower), F.lit(0)).alias("_lower_kinds"),
-        F.sum("_size").over(W.partitionBy(*groups)).alias("_total"),
+        "_lower",
+        "_total",
+        "_lower_kinds",
+        F.expr(
+            "inline(filter(array(struct(_lo AS _value, _lo_n AS _ties, true AS _first),"
+            " struct(_hi AS _value, _hi_n AS _ties, false AS _first)), x -> x._first OR _lo <> _hi))"
+        ),
+    )
+    tied = W.partitionBy(*groups, "_value")
+    before = tied.orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
+    counted = outer.withColumns(
+        {
+            "_ties_before": F.coalesce(F.sum("_ties").over(before), F.lit(0)),
+            "_ties_all": F.sum("_ties").over(tied),
+        }
+    )
+    first = lambda name: F.max(F.when(c("_first"), c(name)))
+    last = lambda name: F.max(F.when(~c("_first"), c(name)))
+    return counted.groupBy(*groups, "_piece", "_lower", "_total", "_lower_kinds").agg(
+        first("_value").alias("_lo"),
+        first("_ties_before").alias("_lo_before"),
+        first("_ties_all").alias("_lo_all"),
+        last("_value").alias("_hi"),
+        last("_ties_all").alias("_hi_all"),
     )
 
 
@@ -67,23 +128,18 @@ def ranked(
     (rows in the group) and `posicao_densa`. `ranges` sets the number of value ranges; by default it
     is the number of shuffle partitions.
     """
-    pieces = value_ranges(rows, groups, value, ranges)
-    piece = W.partitionBy(*groups, "_piece").orderBy(value)
-    placed = pieces.withColumns(
-        {
-            "_before": F.coalesce(
-                F.sum("_same").over(piece.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
-            ),
-            "_place": F.row_number().over(piece),
-        }
-    )
-    answers = join_null_safe(placed, _offsets(pieces, groups), [*groups, "_piece"], "inner").select(
-        *groups,
-        value,
-        (F.col("_lower") + F.col("_before")).alias("abaixo"),
-        F.col("_same").alias("iguais"),
-        F.col("_total").alias("n_valores"),
-        (F.col("_lower_kinds") + F.col("_place")).cast("long").alias("posicao_densa"),
+    c = F.col
+    placed = _ranked_in_piece(value_ranges(rows, groups, value, ranges), groups, value)
+    # At most two rows for each range, whatever the number of groups and rows.
+    crossing = F.broadcast(_crossing(placed, groups, value))
+    asked = placed if asking is None else placed.where(asking)
+    joined = join_null_safe(asked, crossing, [*groups, "_piece"], "left")
+    at_first, at_last = c(value) == c("_lo"), c(value) == c("_hi")
+    lower = F.coalesce(c("_lower"), F.lit(0))
+    return joined.select(
+        *rows.columns,
+        (lower + c("_below") - F.when(at_first, c("_lo_before")).otherwise(0)).alias("abaixo"),
+        F.when(at_first, c("_lo_all")).when(at_last, c("_hi_all")).otherwise(c("_same")).alias("iguais"),
+        F.coalesce(c("_total"), c("_size")).alias("n_valores"),
+        (F.coalesce(c("_lower_kinds"), F.lit(0)) + c("_kind")).alias("posicao_densa"),
     )
-    asked = rows if asking is None else rows.where(asking)
-    return join_null_safe(asked, answers, [*groups, value], "inner")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickermill.operators import magic, peers
-from tickermill.operators.ranking import join_null_safe
+from tickermill.operators.ranking import ranked
 
 # Fixed values: (bad -> 0, good -> 100) reference points per metric.
 BANDS = {
@@ -74,6 +74,8 @@ STRONG, NEUTRAL, WEAK, NO_SIGNAL = "FORTE", "NEUTRO", "FRACO", "SEM_DADOS"
 SIGNALS = (STRONG, NEUTRAL, WEAK, NO_SIGNAL)
 
 ROW_ID = ["data_coleta", "fonte", "ticker"]
+# The same for rows that have peers: the number of their run and source, and the ticker.
+_PEER_ID = ["_in_universo", "ticker"]
 DIRECTIONS = {name: (1 if good > bad else -1) for name, (bad, good) in BANDS.items()}
 
 
@@ -206,29 +208,25 @@ def technical_signal() -> Column:
 
 
 def _peer_values(rows: DataFrame, ranges: int | None) -> DataFrame:
-    """Per row id: `_p_<metric>` percentiles and the Magic Formula rank.
+    """Per row: `_p_<metric>` percentiles and the Magic Formula rank.
 
-    The narrow answers are brought together by row id before they are spread to columns, so one
-    shuffle of (id, metric, answer) rows does it; aggregating first would shuffle wider rows.
+    Both kinds of ranks are found in one pass. The narrow answers are brought together by row before
+    they are spread to columns, so one shuffle of (id, metric, answer) rows does it.
     """
-    first_magic = len(BANDS)
-    answers = peers.midranks(rows, DIRECTIONS, ROW_ID, ranges).select(
-        *ROW_ID,
-        "metrica",
-        F.when(F.col("n_valores") >= peers.MIN_GROUP, F.col("percentil")).alias("resposta"),
+    values = peers.peer_values(rows, DIRECTIONS, _PEER_ID).unionByName(magic.candidates(rows, _PEER_ID))
+    magical = F.col("nivel") == magic.LEVEL
+    answer = F.when(magical & (F.col("n_valores") >= magic.MIN_CANDIDATES), F.col("posicao_densa").cast("double")).when(
+        ~magical & (F.col("n_valores") >= peers.MIN_GROUP), peers.percentile()
     )
-    positions = magic.dense_positions(rows, ROW_ID, ranges).select(
-        *ROW_ID,
-        (F.col("metrica") + first_magic).cast("byte").alias("metrica"),
-        F.col("posicao_densa").cast("double").alias("resposta"),
+    code = F.when(magical, F.col("metrica") + len(BANDS)).otherwise(F.col("metrica")).cast("byte")
+    answers = ranked(values, peers.RANK_KEYS, "valor", F.col("pergunta"), ranges).select(
+        *_PEER_ID, code.alias("metrica"), answer.alias("resposta")
     )
-
     columns = [f"_p_{name}" for name in BANDS]
-    magic_ranks = [f"max(IF(metrica = {first_magic + i}, resposta, NULL))" for i in (0, 1)]
+    magic_ranks = [f"max(IF(metrica = {len(BANDS) + i}, resposta, NULL))" for i in (0, 1)]
     return (
-        answers.unionByName(positions)
-        .repartition(*[F.col(name) for name in ROW_ID])
-        .groupBy(*ROW_ID)
+        answers.repartition(*_PEER_ID)
+        .groupBy(*_PEER_ID)
         .agg(
             *[
                 F.expr(f"max(IF(metrica = {i}, resposta, NULL)) AS {column}")
@@ -248,7 +246,7 @@ def score_universe(df: DataFrame, ranges: int | None = None) -> DataFrame:
     than once: pass a stored table.
     """
     rows = peers.with_groups(df)
-    with_peers = join_null_safe(rows, _peer_values(rows, ranges), ROW_ID, "left")
+    with_peers = rows.join(_peer_values(rows, ranges), _PEER_ID, "left")
     bands = with_peers.selectExpr(
         "*",
         *[f"{metric_band_sql(name)} AS _b_{name}" for name in BANDS],
