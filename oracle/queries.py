@@ -191,12 +191,14 @@ ORACLE: dict[str, str] = {
     ),
     "landing_replay": over(BRONZE_SUMMARY, "asset"),
     "tick_stream": over(
-        "SELECT data_pregao, COUNT(*) AS qtd_eventos, CAST(SUM(volume) AS BIGINT) AS volume_total, "
+        "SELECT data_pregao, COUNT(*) AS qtd_eventos, "
+        "CAST(SUM(volume) FILTER (WHERE event_id % 14 <> 0) AS BIGINT) AS volume_total, "
         "MAX(fechamento) AS maior_fechamento, COUNT(DISTINCT ticker) AS tickers "
         "FROM tick GROUP BY data_pregao",
         "tick",
     ),
     "envelope_stream": over(BRONZE_SUMMARY, "asset"),
+    "envelope_state": over(BRONZE_SUMMARY, "asset"),
     "partition_rewrite": over(CENSUS, "gold"),
     "series_upsert": over(
         f"SELECT {_columns(schemas.SERIES)} FROM ({_NEWEST_SESSION}) WHERE rn = 1", "price_row"

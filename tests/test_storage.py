@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickermill import schemas
 from tickermill.plans import medallion, reports
-from tickermill.sources import catalog, landing, tables
+from tickermill.sources import catalog, deltas, landing, tables
 from tickermill.streaming import feeds
 
 ENVELOPE_DDL = schemas.ddl(schemas.BRONZE)
@@ -218,14 +218,71 @@ def test_envelope_stream_merges_batches(spark, tmp_path):
     feeds.ingest_envelopes(spark, str(inbox), root, offsets, 1).awaitTermination()
     write_lines(inbox, "2.json", [message("A3", "old", "t1"), "oops"])
     write_lines(inbox, "3.json", [message("B3", "b2", "t2"), message("C3", "c", None)])
-    for _ in range(2):
+    for step in range(2):
         feeds.ingest_envelopes(spark, str(inbox), root, offsets, 1).awaitTermination()
-        stored = tables.read_table(spark, schemas.BRONZE, root)
+        if step:
+            assert len(deltas.pending(spark, schemas.BRONZE, root)) == 3
+            assert feeds.compact_envelopes(spark, root) == 3 and feeds.compact_envelopes(spark, root) == 0
+            assert deltas.pending(spark, schemas.BRONZE, root) == []
+        stored = feeds.current_envelopes(spark, root)
         assert rows_of(stored, "ticker", "payload_json", "http_status") == [
             ("A3", "new", 200), ("B3", "b2", 200), ("C3", "c", 200),
         ]
 
 
+def folder_bytes(path):
+    return sum(f.stat().st_size for f in path.rglob("*.parquet"))
+
+
+def test_a_batch_writes_only_what_it_brings(spark, tmp_path):
+    root = str(tmp_path)
+    day = envelopes(spark, [(f"T{k}", "p" * 500 + str(k * k), "t1", "2026-10-01") for k in range(3000)])
+    tables.write_table(day, schemas.BRONZE, root)
+    one = envelopes(spark, [("T5", "newer", "t2", "2026-10-01"), ("T6", "older", "t0", "2026-10-01")])
+    for _ in range(2):  # a repeated batch replaces itself
+        deltas.append_delta(one, schemas.BRONZE, root, "a-1")
+    written = folder_bytes(tmp_path / "bronze_fundamentos_delta")
+    assert 0 < written < folder_bytes(tmp_path / "bronze_fundamentos") / 5
+    for read in (feeds.current_envelopes, lambda s, r: (feeds.compact_envelopes(s, r), tables.read_table(s, schemas.BRONZE, r))[1]):
+        now = read(spark, root)
+        assert now.count() == 3000
+        assert rows_of(now.where("ticker in ('T5', 'T6')"), "ticker", "coletado_em") == [("T5", "t2"), ("T6", "t1")]
+
+
+def test_newest_envelopes_in_the_state_store(spark, tmp_path):
+    inbox, root, offsets = tmp_path / "in", str(tmp_path / "lake"), str(tmp_path / "offsets")
+
+    def message(ticker, text, at, day="2026-10-01"):
+        return {"ticker": ticker, "payload_json": text, "http_status": 200, "coletado_em": at, "data_coleta": day}
+
+    def take(name, *lines):
+        write_lines(inbox, name, list(lines))
+        feeds.ingest_newest_envelopes(spark, str(inbox), root, offsets, "2 days").awaitTermination()
+        return rows_of(feeds.current_envelopes(spark, root), "ticker", "payload_json", "data_coleta")
+
+    first = take("1.json", message("A3", "new", "t2"), message("A3", "old", "t1"), message("B3", None, None), "{broken")
+    assert first == [("A3", "new", "2026-10-01"), ("B3", None, "2026-10-01")]
+    size = folder_bytes(tmp_path / "lake")
+    # Restarted: repeated and older collections change nothing; a newer one wins.
+    assert take("2.json", message("A3", "new", "t2"), message("A3", "older", "t0"), message("B3", "b", "t1")) == [
+        ("A3", "new", "2026-10-01"), ("B3", "b", "2026-10-01"),
+    ]
+    assert folder_bytes(tmp_path / "lake") > size
+    take("3.json", message("C3", "c", "t", "2026-10-09"))
+    # The first day's state is gone: what comes for it now is too late.
+    last = take("4.json", message("A3", "too late", "t9"), message("C3", "c2", "t2", "2026-10-09"))
+    assert last == [("A3", "new", "2026-10-01"), ("B3", "b", "2026-10-01"), ("C3", "c2", "2026-10-09")]
+
+
+def test_number_text_in_integer_columns(spark, tmp_path):
+    volumes = [5, 31859600.0, "7", " 8 ", "1.5", "abc", 1.9, -1.9, True, None, [1], 9007199254740993]
+    write_lines(tmp_path / "in", "1.json", [tick(f"T{k:02d}", v) for k, v in enumerate(volumes)])
+    path = str(tmp_path / "out")
+    feeds.append_ticks(spark, str(tmp_path / "in"), path, str(tmp_path / "c")).awaitTermination()
+    got = [v for _, v in rows_of(tables.read_table(spark, schemas.PRICES, "", path), "ticker", "volume")]
+    assert got == [5, 31859600, 7, 8, None, None, 1, -1, 1, None, None, 9007199254740993]
+
+
 def test_malformed_lines_are_kept_apart(spark, tmp_path):
     write_lines(tmp_path / "in", "1.json", [tick("A3", 5), "{broken"])
     stream = feeds._json_stream(spark, str(tmp_path / "in"), schemas.PRICES, 10)

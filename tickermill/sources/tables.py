@@ -22,6 +22,12 @@ def read_table(spark: SparkSession, name: str, warehouse: str, path: str | None
     )
 
 
+def exists(spark: SparkSession, name: str, warehouse: str) -> bool:
+    """Whether the table's folder is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(schemas.location(name, warehouse))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def read_partition(spark: SparkSession, name: str, column: str, value: str, warehouse: str) -> DataFrame:
     """One partition, read from the base path so that its column is kept; other folders are pruned."""
     return read_table(spark, name, warehouse).where(F.col(column) == value)

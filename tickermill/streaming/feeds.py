@@ -6,6 +6,8 @@ the last committed batch ended.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,14 +18,24 @@ from tickermill.functions.coercion import conform
 from tickermill.operators.dedup import newest_envelope_first
 from tickermill.plans.medallion import bronze_rows
 from tickermill.session import stored
-from tickermill.sources.landing import CORRUPT, REPLAY, STREAM, read_landing
-from tickermill.sources.tables import upsert_table, write_table
+from tickermill.sources.deltas import append_delta, compact, read_current
+from tickermill.sources.landing import CORRUPT, REPLAY, STREAM, read_landing, rejected_lines
+from tickermill.sources.tables import write_table
+
+def _whole_columns(table: str) -> list[str]:
+    return [n for n, kind in schemas.logical_types(table).items() if kind in ("inteiro", "longo")]
+
 
 def _json_stream(spark: SparkSession, folder: str, table: str, files_per_batch: int) -> DataFrame:
-    """Messages with text leaves (coerced later); malformed lines are kept apart, not fatal."""
-    text = T.StructType([T.StructField(c, T.StringType()) for c in schemas.columns(table)])
+    """Messages with text leaves (coerced later); malformed lines are kept apart, not fatal.
+
+    Leaves of integer columns stay variants, which still tell a number from its text.
+    """
+    whole = _whole_columns(table)
+    leaf = lambda name: T.VariantType() if name in whole else T.StringType()
+    layout = T.StructType([T.StructField(c, leaf(c)) for c in schemas.columns(table)])
     return (
-        spark.readStream.schema(text.add(CORRUPT, T.StringType()))
+        spark.readStream.schema(layout.add(CORRUPT, T.StringType()))
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("maxFilesPerTrigger", files_per_batch)
         .json(folder)
@@ -31,14 +43,14 @@ def _json_stream(spark: SparkSession, folder: str, table: str, files_per_batch:
 
 
 def _whole_numbers(messages: DataFrame, table: str) -> DataFrame:
-    """Integer columns from number text, also when it is written like 31859600.0."""
-    whole = [n for n, kind in schemas.logical_types(table).items() if kind in ("inteiro", "longo")]
+    """Integer columns: numbers are cut to whole ones, text counts only if it is a whole number."""
     return messages.withColumns(
         {
-            n: F.coalesce(
-                F.col(n).try_cast("long"), F.col(n).try_cast("double").try_cast("long")
+            n: F.expr(
+                f"CASE schema_of_variant({n}) WHEN 'STRING' THEN try_cast(try_variant_get({n}, '$', 'string') AS BIGINT)"
+                f" ELSE coalesce(try_variant_get({n}, '$', 'bigint'), try_cast(try_variant_get({n}, '$', 'double') AS BIGINT)) END"
             )
-            for n in whole
+            for n in _whole_columns(table)
         }
     )
 
@@ -89,6 +101,12 @@ def quarantine(
     )
 
 
+def _keep(batch: DataFrame, batch_id: int, warehouse: str, checkpoint: str) -> None:
+    """Rows of a micro-batch beside bronze, under the name of its checkpoint and number."""
+    name = f"{hashlib.sha256(checkpoint.encode()).hexdigest()[:12]}-{batch_id:09d}"
+    append_delta(batch, schemas.BRONZE, warehouse, name)
+
+
 def ingest_envelopes(
     spark: SparkSession,
     folder: str,
@@ -97,31 +115,76 @@ def ingest_envelopes(
     files_per_batch: int = 1000,
     rejects: str | None = None,
 ) -> StreamingQuery:
-    """Merge pending envelopes into bronze and stop; a batch is acknowledged after its write.
+    """Take in pending envelopes and stop; a batch is acknowledged after its write.
 
-    With `rejects`, the malformed lines of each batch are written there, in a folder per batch
+    Each batch is written beside bronze, so its cost follows the batch; `current_envelopes` reads both
+    and `compact_envelopes` merges them once a run. A batch that is run again after a failure replaces
+    itself. With `rejects`, the malformed lines of each batch are written there, in a folder per batch
     that a repeated batch replaces.
-
-    A batch that is run again after a failure merges to the same rows. The merge keeps the
-    newest collection per key over all batches of a date.
     """
     messages = _json_stream(spark, folder, schemas.BRONZE, files_per_batch)
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
+    def take(batch: DataFrame, batch_id: int) -> None:
         if rejects:
             batch = stored(batch, "batch")
             malformed(batch).select("linha").write.mode("overwrite").json(f"{rejects}/batch={batch_id}")
-        rows = _whole_numbers(well_formed(batch), schemas.BRONZE)
-        upsert_table(rows, schemas.BRONZE, warehouse, newest=newest_envelope_first())
+        _keep(_whole_numbers(well_formed(batch), schemas.BRONZE), batch_id, warehouse, checkpoint)
 
     return (
-        messages.writeStream.foreachBatch(merge)
+        messages.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def ingest_newest_envelopes(
+    spark: SparkSession,
+    folder: str,
+    warehouse: str,
+    checkpoint: str,
+    delay: str = "30 days",
+    files_per_batch: int = 1000,
+) -> StreamingQuery:
+    """Like `ingest_envelopes`, but the newest envelope per (ticker, run date) is held in the state store.
+
+    A batch writes only keys whose newest envelope it has changed; repeated and older collections leave
+    no trace, without a look at stored rows. State of a run date is dropped, and envelopes of that
+    date ignored, once a run date that is later by more than `delay` has been seen. Envelopes without
+    a run date belong to the day they arrive on.
+    """
+    messages = _whole_numbers(well_formed(_json_stream(spark, folder, schemas.BRONZE, files_per_batch)), schemas.BRONZE)
+    # The order of `newest_envelope_first`: NULL is the smallest member of a struct.
+    newest = F.struct(
+        F.coalesce("coletado_em", F.lit("")), "http_status", "payload_json", "fonte", "coletado_em", "modulos_solicitados"
+    )
+    day = F.coalesce(F.col("data_coleta").try_cast("timestamp"), F.current_timestamp())
+    held = (
+        messages.withColumn("_day", day)
+        .withWatermark("_day", delay)
+        .groupBy("ticker", "data_coleta", F.window("_day", "1 day"))
+        .agg(F.max(newest).alias("_newest"))
+        .select("ticker", "data_coleta", "_newest.*")
+    )
+    return (
+        held.writeStream.outputMode("update")
+        .foreachBatch(lambda batch, batch_id: _keep(batch, batch_id, warehouse, checkpoint))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def current_envelopes(spark: SparkSession, warehouse: str) -> DataFrame:
+    """Bronze with the batches that have come in since it was last compacted; the newest collection wins."""
+    return read_current(spark, schemas.BRONZE, warehouse, newest_envelope_first())
+
+
+def compact_envelopes(spark: SparkSession, warehouse: str) -> int:
+    """Merge the batches taken in into bronze: once a run, over the days they touch. Rows written."""
+    return compact(spark, schemas.BRONZE, warehouse, newest_envelope_first())
+
+
 def load_bronze(
     spark: SparkSession,
     source: str,
@@ -129,13 +192,19 @@ def load_bronze(
     warehouse: str,
     run_date: str | None = None,
     checkpoint: str | None = None,
+    rejects: str | None = None,
 ) -> None:
-    """Fill bronze from the live feed (`stream`) or from the stored landing files (`replay`)."""
+    """Fill bronze from the live feed (`stream`) or from the stored landing files (`replay`).
+
+    With `rejects`, lines that are no JSON are stored there.
+    """
     mode = source.strip().lower()
     if mode == STREAM:
-        query = ingest_envelopes(spark, folder, warehouse, checkpoint)
-        query.awaitTermination()
+        ingest_envelopes(spark, folder, warehouse, checkpoint, rejects=rejects).awaitTermination()
+        compact_envelopes(spark, warehouse)
     elif mode == REPLAY:
         write_table(bronze_rows(read_landing(spark, folder, run_date)), schemas.BRONZE, warehouse)
+        if rejects:
+            rejected_lines(spark, folder, run_date).select("linha").write.mode("overwrite").json(rejects)
     else:
         raise ValueError(f"unknown input {source!r}; use {STREAM} or {REPLAY}")
