@@ -338,3 +338,80 @@ def test_catalog_and_view(spark, tmp_path, universe):
     assert rows_of(latest.select("data_coleta").distinct(), "data_coleta") == [("2026-10-15",)]
     check = reports.idempotency_check(tables.read_table(spark, schemas.SILVER, root)).collect()
     assert [(r.linhas, r.tickers) for r in check] == [(3, 2), (2, 2), (1, 1)]
+
+
+def test_partitions_are_replaced_at_once(spark, tmp_path, monkeypatch):
+    root, name = str(tmp_path / "lake"), schemas.BRONZE
+    spark.sql(f"CREATE DATABASE swapped LOCATION '{tmp_path / 'db'}'")
+    days = ["2026-10-01", "2026-10-02", "2026-10-03 it's"]
+    tables.write_table(envelopes(spark, [("A3", "old", "t", day) for day in days]), name, root)
+    catalog.register_table(spark, name, root, "swapped")
+    table = lambda: rows_of(spark.table(schemas.qualified(name, "swapped")), "payload_json", "data_coleta")
+    old = [("old", day) for day in days]
+    assert table() == old
+    new = envelopes(spark, [("A3", "new", "t", day) for day in days[1:]])
+
+    # The job fails when one partition is written and the other is not: the old rows are read.
+    broken = new.withColumn("payload_json", F.expr("IF(data_coleta LIKE '%03%', raise_error('disk gone'), payload_json)"))
+    with pytest.raises(Exception, match="disk gone"):
+        catalog.replace_partitions(broken.coalesce(1), name, root, "swapped")
+    assert table() == old
+
+    # It stops when all files are written, but the catalog has been told of none, or of one, of the partitions.
+    point, told = catalog._point, []
+
+    def stops(limit):
+        def run(*arguments):
+            if len(told) == limit:
+                raise RuntimeError("driver gone")
+            told.append(1)
+            point(*arguments)
+
+        return run
+
+    for limit, seen in ((0, old), (1, [("new", days[1]), ("old", days[0]), ("old", days[2])])):
+        monkeypatch.setattr(catalog, "_point", stops(limit))
+        with pytest.raises(RuntimeError, match="driver gone"):
+            catalog.replace_partitions(new, name, root, "swapped")
+        spark.catalog.refreshTable(schemas.qualified(name, "swapped"))
+        assert table() == seen
+
+    monkeypatch.setattr(catalog, "_point", point)
+    assert catalog.replace_partitions(new, name, root, "swapped") == 2
+    assert catalog.replace_partitions(new.limit(0), name, root, "swapped") == 0
+    done = [("new", days[1]), ("new", days[2]), ("old", days[0])]
+    assert table() == done
+    # A new day, and cleaning up, which keeps what the catalog points to.
+    catalog.replace_partitions(envelopes(spark, [("A3", "more", "t", "2026-10-09")]), name, root, "swapped")
+    assert catalog.drop_versions(spark, name, root, "swapped") > 2
+    assert catalog.drop_versions(spark, name, root, "swapped") == 0
+    assert table() == sorted([*done, ("more", "2026-10-09")])
+
+
+def test_only_touched_partitions_are_registered(spark, tmp_path):
+    root, name = str(tmp_path / "lake"), schemas.BRONZE
+    spark.sql(f"CREATE DATABASE touched LOCATION '{tmp_path / 'db'}'")
+    tables.write_table(envelopes(spark, [("A3", "x", "t", f"2026-10-0{k}") for k in range(1, 4)]), name, root)
+    catalog.register_table(spark, name, root, "touched", touched=["2026-10-02"])
+    assert catalog.registered_values(spark, name, "touched") == ["2026-10-02"]
+    assert spark.table(schemas.qualified(name, "touched")).count() == 1
+    catalog.register_table(spark, name, root, "touched", touched=[])
+    catalog.register_table(spark, name, root, "touched")
+    assert len(catalog.registered_values(spark, name, "touched")) == 3
+
+
+def test_the_view_reads_one_partition(spark, tmp_path, universe):
+    from conftest import asset
+
+    root = str(tmp_path / "lake")
+    spark.sql(f"CREATE DATABASE viewed LOCATION '{tmp_path / 'db'}'")
+    silver = universe([asset("A3", data_coleta=f"2026-10-0{k}") for k in range(1, 6)])
+    tables.write_table(silver, schemas.SILVER, root)
+    tables.write_table(medallion.gold_rows(silver), schemas.GOLD, root)
+    for name in (schemas.SILVER, schemas.GOLD):
+        catalog.register_table(spark, name, root, "viewed")
+    catalog.create_screener_view(spark, "viewed")
+    view = spark.table(f"viewed.{schemas.SCREENER_VIEW}")
+    assert view.count() == 1
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(data_coleta") == 1 and "2026-10-05" in plan and "max(" not in plan

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -335,13 +336,16 @@ def envelope_state(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def partition_rewrite(spark: SparkSession, folder: str) -> DataFrame:
-    """Gold written again for its two newest runs: same rows, older runs untouched."""
-    root = scratch_path(spark, "rewritten")
+    """Gold written again for its two newest runs, as new versions that the catalog points to: same rows,
+    older runs untouched."""
+    root, database = scratch_path(spark, "rewritten"), f"rewritten_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'database')}'")
     gold = GOLD(spark, folder)
     tables.write_table(gold, schemas.GOLD, root)
-    dates = tables.partition_values(spark, schemas.GOLD, root)
-    tables.write_table(gold.where(F.col("data_referencia").isin(dates[-2:])), schemas.GOLD, root)
-    return reports.run_census(tables.read_table(spark, schemas.GOLD, root))
+    catalog.register_table(spark, schemas.GOLD, root, database)
+    dates = catalog.registered_values(spark, schemas.GOLD, database)
+    catalog.replace_partitions(gold.where(F.col("data_referencia").isin(dates[-2:])), schemas.GOLD, root, database)
+    return reports.run_census(spark.table(schemas.qualified(schemas.GOLD, database)))
 
 
 def series_upsert(spark: SparkSession, folder: str) -> DataFrame:

@@ -33,21 +33,25 @@ def read_partition(spark: SparkSession, name: str, column: str, value: str, ware
     return read_table(spark, name, warehouse).where(F.col(column) == value)
 
 
+def partition_folders(spark: SparkSession, name: str, path: str) -> list[tuple[str, str]]:
+    """(value, folder) of the partitions below `path`, from the folder listing; no data file is opened."""
+    (column,) = schemas.partition_columns(name)
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return []
+    folders = [status.getPath() for status in files.listStatus(root)]
+    prefix = f"{column}="
+    return sorted((unquote(f.getName()[len(prefix) :]), f.toString()) for f in folders if f.getName().startswith(prefix))
+
+
 def partition_values(spark: SparkSession, name: str, warehouse: str) -> list[str]:
-    """Partition values from the folder listing, in order; no data file is opened.
+    """Partition values from the folder listing, in order.
 
     The folder of rows without a value is left out, and escaped characters are restored.
     """
-    (column,) = schemas.partition_columns(name)
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(schemas.location(name, warehouse))
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(path):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(path)]
-    prefix = f"{column}="
-    values = [unquote(entry[len(prefix) :]) for entry in names if entry.startswith(prefix)]
-    return sorted(value for value in values if value != NO_VALUE)
+    folders = partition_folders(spark, name, schemas.location(name, warehouse))
+    return [value for value, _ in folders if value != NO_VALUE]
 
 
 def latest_partition(spark: SparkSession, name: str, warehouse: str) -> DataFrame:
