@@ -180,7 +180,7 @@ SELECT *, CAST(motivo_inelegibilidade IS NULL AS BOOLEAN) AS elegivel_score FROM
 
 PRICE_ROW = """
 SELECT l.raw_ticker AS ticker, b.abertura, b.maxima, b.minima, b.fechamento, b.fechamento_ajustado,
-       b.volume, l.data_coleta, b.data_pregao
+       b.volume, l.data_coleta, l.fonte, b.data_pregao
 FROM leaf l JOIN bar b ON b.k = l.k WHERE l.ok
 """
 

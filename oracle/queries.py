@@ -21,9 +21,10 @@ def _columns(name: str, alias: str = "") -> str:
 _BY_TICKER = "SELECT *, ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY {order}) AS rn FROM tick"
 _TIES = "evento_ts DESC, event_id DESC, data_pregao DESC"
 
-# Every session with the values of the newest run that has it.
+# Every session with the values of the newest run that has it, real sources before made-up ones.
 _NEWEST_SESSION = (
-    "SELECT *, ROW_NUMBER() OVER (PARTITION BY ticker, data_pregao ORDER BY data_coleta DESC) AS rn "
+    "SELECT *, ROW_NUMBER() OVER (PARTITION BY ticker, data_pregao "
+    "ORDER BY fonte = 'sintetico', data_coleta DESC) AS rn "
     "FROM price_row"
 )
 
@@ -274,6 +275,12 @@ ORACLE: dict[str, str] = {
         "FROM silver GROUP BY data_coleta",
         "silver",
     ),
+    "run_day": over(
+        CENSUS.rstrip().replace(
+            "FROM gold", "FROM gold WHERE data_referencia IN (SELECT DISTINCT data_referencia FROM gold ORDER BY 1 DESC LIMIT 2)"
+        ),
+        "gold",
+    ),
     "silver_summary": over(
         """SELECT s.data_coleta, s.linhas, s.elegiveis, COALESCE(p.n, 0) AS pregoes FROM (
           SELECT data_coleta, COUNT(*) AS linhas, COUNT(*) FILTER (WHERE elegivel_score) AS elegiveis
@@ -284,15 +291,12 @@ ORACLE: dict[str, str] = {
         "price_row",
     ),
     "series_coverage": over(
-        """SELECT 'brapi (real)' AS origem, s.ticker, COUNT(*) AS pregoes, MIN(b.data_pregao) AS de,
-          MAX(b.data_pregao) AS ate
-        FROM (""" + _NEWEST_SESSION + """) b JOIN silver s ON s.ticker = upper(trim(b.ticker, E' \\t\\n'))
-          AND s.data_coleta = b.data_coleta
-        WHERE b.rn = 1 AND s.fonte = 'brapi' GROUP BY s.ticker
+        """SELECT 'brapi (real)' AS origem, upper(trim(b.ticker, E' \\t\\n')) AS ticker, COUNT(*) AS pregoes,
+          MIN(b.data_pregao) AS de, MAX(b.data_pregao) AS ate
+        FROM (""" + _NEWEST_SESSION + """) b WHERE b.rn = 1 AND b.fonte = 'brapi' GROUP BY 2
         UNION ALL
         SELECT 'producer (sintetico)' AS origem, ticker, COUNT(DISTINCT data_pregao) AS pregoes,
           MIN(data_pregao) AS de, MAX(data_pregao) AS ate FROM tick GROUP BY ticker""",
-        "silver",
         "price_row",
         "tick",
     ),

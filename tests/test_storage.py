@@ -21,7 +21,7 @@ def envelopes(spark, rows):
 
 def prices(spark, rows):
     return spark.createDataFrame(
-        [(t, float(v), float(v), float(v), float(v), None, 1, "2026-10-01", d) for t, v, d in rows],
+        [(t, float(v), float(v), float(v), float(v), None, 1, "2026-10-01", "brapi", d) for t, v, d in rows],
         schemas.ddl(schemas.SERIES),
     )
 
@@ -45,7 +45,7 @@ def test_registry_invariants(name):
 
 def test_registry_sizes_and_errors():
     sizes = {name: len(schemas.columns(name)) for name in schemas.TABLES}
-    assert list(sizes.values()) == [8, 7, 59, 9, 37]
+    assert list(sizes.values()) == [8, 7, 59, 10, 37]
     with pytest.raises(KeyError, match="not registered"):
         schemas.ddl("missing")
     with pytest.raises(ValueError, match="logical type"):
@@ -415,3 +415,65 @@ def test_the_view_reads_one_partition(spark, tmp_path, universe):
     assert view.count() == 1
     plan = view._jdf.queryExecution().executedPlan().toString()
     assert plan.count("PartitionFilters: [isnotnull(data_coleta") == 1 and "2026-10-05" in plan and "max(" not in plan
+
+
+# --- runs ---------------------------------------------------------------------------------
+
+def quote_text(quote, **changes):
+    from conftest import daily_points
+
+    return json.dumps({**quote, "historicalDataPrice": daily_points(30), **changes})
+
+
+def test_one_call_makes_a_run(spark, tmp_path, quote):
+    from tickermill.plans import runs
+
+    root = str(tmp_path / "lake")
+    spark.sql(f"CREATE DATABASE daily LOCATION '{tmp_path / 'db'}'")
+    text = quote_text(quote)
+    rows = [("PETR4", text, "t1", "2026-10-01"), ("PETR4 ", "{}", "t0", "2026-10-01"), ("B3SA3", None, "t1", None),
+            ("VALE3", text, "t1", "2026-10-02")]
+    made = envelopes(spark, rows)
+    first = runs.run_day(spark, made, root, "2026-10-01", "daily")
+    assert (first.envelopes, first.rows, first.eligible, first.sessions) == (3, 2, 1, 30)
+    assert first.scored == sum(n for grade, n in first.grades.items() if grade != "SD") == 1
+    assert list(first.grades) == ["A", "B", "C", "D", "E", "SD"] and first.grades["SD"] == 1
+    table = lambda name: spark.table(schemas.qualified(name, "daily"))
+    assert rows_of(table(schemas.GOLD), "ticker") == [("B3SA3",), ("PETR4",)]
+    assert table(schemas.SERIES).count() == 30
+    # The same again, and the next day: earlier runs stay, the view shows the newest.
+    assert runs.run_day(spark, made, root, "2026-10-01", "daily") == first
+    runs.run_day(spark, made, root, "2026-10-02", "daily")
+    assert rows_of(table(schemas.SILVER), "ticker", "data_coleta") == [
+        ("B3SA3", "2026-10-01"), ("B3SA3", "2026-10-02"), ("PETR4", "2026-10-01"), ("VALE3", "2026-10-02"),
+    ]
+    assert rows_of(spark.table(f"daily.{schemas.SCREENER_VIEW}"), "Papel") == [("B3SA3",), ("VALE3",)]
+    assert runs.run_day(spark, made, root, "2026-11-01").rows == 1  # only the dateless envelope
+    assert runs.run_day(spark, made.where("ticker = 'none'"), root, "2026-12-01") == runs.RunSummary("2026-12-01")
+
+
+def test_both_outputs_come_from_one_parse(spark, quote):
+    rows = [("PETR4", quote_text(quote), "t1", "2026-10-01"), (" petr4", "{}", "t2", "2026-10-01"), ("X3", "oops", "t", None)]
+    bronze = envelopes(spark, rows)
+    parsed, sessions = medallion.parsed(bronze, "2026-10-05")
+    assert sessions == 30
+    for made, plain in (
+        (medallion.silver_of(parsed), medallion.silver_rows(bronze, "2026-10-05")),
+        (medallion.series_of(parsed), medallion.series_rows(bronze, "2026-10-05")),
+    ):
+        assert sorted(map(str, made.collect())) == sorted(map(str, plain.collect()))
+        assert "from_json" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_made_up_prices_never_replace_real_ones(spark, tmp_path):
+    root, day = str(tmp_path), "2026-10-01"
+
+    def run(source, run_date, price):
+        rows = prices(spark, [("A3", price, day)]).withColumns({"fonte": F.lit(source), "data_coleta": F.lit(run_date)})
+        tables.upsert_table(rows, schemas.SERIES, root, newest=medallion.newest_run_first())
+        return rows_of(tables.read_table(spark, schemas.SERIES, root), "fonte", "fechamento")
+
+    assert run("sintetico", "2026-10-02", 1) == [("sintetico", 1.0)]
+    assert run("brapi", "2026-10-01", 2) == [("brapi", 2.0)]  # real, though older
+    assert run("sintetico", "2026-10-09", 3) == [("brapi", 2.0)]
+    assert run("brapi", "2026-10-03", 4) == [("brapi", 4.0)]

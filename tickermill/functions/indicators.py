@@ -109,15 +109,20 @@ def _zero(column):
     return F.coalesce(column, F.lit(0.0))
 
 
-def indicators(bronze: DataFrame, run_date: str = "") -> DataFrame:
-    """One `silver_indicadores_fundamentalistas` row per envelope, failed fetches included."""
+def parsed_envelopes(bronze: DataFrame, run_date: str = "") -> DataFrame:
+    """All that the layers need of a payload, as typed columns: numbers, names and the series' points.
+
+    `ticker` is the envelope's, `_ticker` the normalised one. Written once, it saves the second parse of
+    the texts when both indicators and series are made.
+    """
     c = F.col
     raw = parse_payload(bronze, run_date).select(
+        "ticker",
         F.upper(
             strip(
                 F.coalesce(blank_to_null(c("ticker")), blank_to_null(c("_payload.symbol")), F.lit(""))
             )
-        ).alias("ticker"),
+        ).alias("_ticker"),
         F.coalesce(
             blank_to_null(c("_payload.longName")), blank_to_null(c("_payload.shortName"))
         ).alias("nome_longo"),
@@ -130,13 +135,23 @@ def indicators(bronze: DataFrame, run_date: str = "") -> DataFrame:
         *[F.expr(f"{parse_number_sql(path)} AS {name}") for name, path in _LEAVES.items()],
     )
     # A step of its own, so that each text is parsed once.
-    guarded = raw.selectExpr(
+    return raw.selectExpr(
         *[name for name in raw.columns if name not in _LEAVES],
         *[f"{finite_sql(name)} AS {name}" for name in _LEAVES],
     )
 
-    inputs = guarded.withColumns(
+
+def indicators(bronze: DataFrame, run_date: str = "") -> DataFrame:
+    """One `silver_indicadores_fundamentalistas` row per envelope, failed fetches included."""
+    return indicators_of(parsed_envelopes(bronze, run_date))
+
+
+def indicators_of(parsed: DataFrame) -> DataFrame:
+    """`indicators` from `parsed_envelopes`."""
+    c = F.col
+    inputs = parsed.withColumns(
         {
+            "ticker": c("_ticker"),
             "cotacao": first_valid(c("r_regularMarketPrice"), c("f_currentPrice")),
             "lpa": first_valid(
                 c("r_earningsPerShare"), c("k_earningsPerShare"), c("k_trailingEps")
@@ -258,12 +273,4 @@ def with_eligibility(df: DataFrame) -> DataFrame:
 
 def price_series(bronze: DataFrame, run_date: str = "") -> DataFrame:
     """Daily price rows of every payload; parses only the series part of the JSON."""
-    parsed = parse_payload(bronze, run_date)
-    return series.price_rows(
-        parsed.select(
-            "ticker",
-            "data_coleta",
-            "_points",
-        ),
-        "_points",
-    )
+    return series.price_rows(parse_payload(bronze, run_date), "_points")

@@ -108,7 +108,7 @@ def epoch_to_date(epoch_seconds: Column) -> Column:
 
 def price_rows(df: DataFrame, points: str) -> DataFrame:
     """One `silver_precos_brapi` row per point that has a date."""
-    exploded = df.select("ticker", "data_coleta", F.explode(points).alias("p"))
+    exploded = df.select("ticker", "data_coleta", "fonte", F.explode(points).alias("p"))
     return conform(
         exploded.where(F.col("p.date").isNotNull()).select(
             "ticker",
@@ -119,6 +119,7 @@ def price_rows(df: DataFrame, points: str) -> DataFrame:
             F.col("p.adjustedClose").alias("fechamento_ajustado"),
             F.col("p.volume").alias("volume"),
             "data_coleta",
+            "fonte",
             epoch_to_date(F.col("p.date")).alias("data_pregao"),
         ),
         schemas.SERIES,

@@ -44,6 +44,7 @@ named AS (
 SELECT k, y, fetched, symbol, CAST(y AS STRING) || '-12-31' AS data_coleta,
   CASE WHEN k % 61 = 0 THEN lower(symbol) || ' ' ELSE symbol END AS ticker,
   CASE WHEN k % 500 = 7 THEN 'rare4' WHEN k % 100 = 13 THEN 'rare20'
+       WHEN k % 21 = 0 AND y % 2 = 1 THEN 'brapi'
        WHEN k % 3 = 0 THEN 'sintetico' WHEN k % 71 = 0 THEN NULL WHEN k % 71 = 1 THEN ''
        ELSE 'brapi' END AS fonte,
   CASE WHEN k % 23 = 0 THEN NULL WHEN k % 23 = 1 THEN '' ELSE p_name END AS "longName",

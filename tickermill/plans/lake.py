@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tickermill import schemas
 from tickermill.plans import derive, medallion
@@ -12,6 +12,7 @@ from tickermill.session import shared_dir
 from tickermill.sources import tables
 
 _built: dict[tuple[str, str], str] = {}
+_parsed: dict[tuple[str, str], DataFrame] = {}
 
 
 def scratch(spark: SparkSession, folder: str, purpose: str) -> str:
@@ -31,16 +32,17 @@ def warehouse(spark: SparkSession, folder: str) -> str:
         root = scratch(spark, folder, "warehouse")
         bronze = medallion.bronze_rows(derive.envelopes(spark, folder))
         tables.write_table(bronze, schemas.BRONZE, root)
-        stored = tables.read_table(spark, schemas.BRONZE, root)
-        tables.write_table(medallion.silver_rows(stored), schemas.SILVER, root)
-        write_series(spark, root)
+        _parsed[key], _ = medallion.parsed(tables.read_table(spark, schemas.BRONZE, root))
+        tables.write_table(medallion.silver_of(_parsed[key]), schemas.SILVER, root)
+        rows = medallion.series_of(_parsed[key])
+        tables.upsert_table(rows, schemas.SERIES, root, newest=medallion.newest_run_first())
         silver = tables.read_table(spark, schemas.SILVER, root)
         tables.write_table(medallion.gold_rows(silver), schemas.GOLD, root)
         _built[key] = root
     return _built[key]
 
 
-def write_series(spark: SparkSession, root: str) -> int:
-    """Series of all runs, merged by (ticker, data_pregao); the newest run of a session counts."""
-    rows = medallion.series_rows(tables.read_table(spark, schemas.BRONZE, root))
-    return tables.upsert_table(rows, schemas.SERIES, root, newest=medallion.newest_run_first())
+def parsed(spark: SparkSession, folder: str) -> DataFrame:
+    """The envelopes of the warehouse's bronze with their payload parsed, as they were when silver was made."""
+    warehouse(spark, folder)
+    return _parsed[(spark.sparkContext.applicationId, folder)]

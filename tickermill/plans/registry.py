@@ -13,7 +13,7 @@ from tickermill.functions import categories, formatting, guards
 from tickermill.functions.coercion import conform
 from tickermill.operators import magic, peers, scoring
 from tickermill.operators.dedup import not_yet_ingested
-from tickermill.plans import derive, lake, medallion, price_reports, reports
+from tickermill.plans import derive, lake, medallion, price_reports, reports, runs
 from tickermill.session import scratch_path, stored
 from tickermill.sources import catalog, landing, tables
 from tickermill.streaming import feeds
@@ -194,6 +194,22 @@ def silver_prices(spark: SparkSession, folder: str) -> DataFrame:
     return medallion.series_rows(_stored(schemas.BRONZE)(spark, folder))
 
 
+def parsed_series(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows from the parsed payloads."""
+    return medallion.series_of(lake.parsed(spark, folder))
+
+
+def run_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The second newest run made anew by one call, after a later one, and read through its catalog tables."""
+    root, database = scratch_path(spark, "runs"), f"runs_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'database')}'")
+    dates = tables.partition_values(spark, schemas.BRONZE, lake.warehouse(spark, folder))
+    envelopes = stored(derive.envelopes(spark, folder).where(F.col("data_coleta").isin(dates[-2:])), "collected")
+    for date in (dates[-1], dates[-2]):
+        runs.run_day(spark, envelopes, root, date, database)
+    return reports.run_census(spark.table(schemas.qualified(schemas.GOLD, database)))
+
+
 # --- peers and scores ---------------------------------------------------------------------
 
 def peer_groups(spark: SparkSession, folder: str) -> DataFrame:
@@ -412,14 +428,10 @@ def dashboard_extract(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def series_coverage(spark: SparkSession, folder: str) -> DataFrame:
-    """Only real sources count as real: a stored session has the source of the run it came from."""
-    source = SILVER(spark, folder).where(F.col("fonte") == "brapi").select("ticker", "data_coleta")
-    real = _stored(schemas.SERIES)(spark, folder).withColumn(
-        "ticker", F.upper(guards.strip(F.col("ticker")))
-    )
-    return reports.series_coverage(
-        real.join(source, ["ticker", "data_coleta"], "left_semi"), derive.ticks(spark, folder)
-    )
+    """Only sessions that the real source has delivered count as real."""
+    real = _stored(schemas.SERIES)(spark, folder).where(F.col("fonte") == "brapi")
+    real = real.withColumn("ticker", F.upper(guards.strip(F.col("ticker"))))
+    return reports.series_coverage(real, derive.ticks(spark, folder))
 
 
 QUERIES: dict[str, Query] = {
@@ -438,6 +450,7 @@ QUERIES: dict[str, Query] = {
     "bronze_latest": bronze_latest,
     "silver_indicators": silver_indicators,
     "silver_prices": silver_prices,
+    "run_day": run_day,
     "peer_groups": peer_groups,
     "peer_midranks": _midranks(),
     "peer_midranks_split": _midranks(**SPLIT),
@@ -469,7 +482,7 @@ QUERIES: dict[str, Query] = {
     "flag_screen": _on(reports.flag_screen, GOLD_RUN),
     "score_evolution": _on(reports.score_evolution, GOLD),
     "idempotency_check": _on(reports.idempotency_check, SILVER),
-    "silver_summary": _on(reports.silver_summary, SILVER, silver_prices),
+    "silver_summary": _on(reports.silver_summary, SILVER, parsed_series),
     "series_coverage": series_coverage,
     "dashboard_extract": dashboard_extract,
     "dashboard_kpis": _on(reports.dashboard_kpis, dashboard_extract),

@@ -144,6 +144,7 @@ _DECLARED = (
             ("fechamento_ajustado", "decimal"),
             ("volume", "longo"),
             ("data_coleta", "texto"),
+            ("fonte", "texto"),
         ],
         "data_pregao",
         ("ticker", "data_pregao"),

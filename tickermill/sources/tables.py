@@ -71,14 +71,28 @@ def write_table(
     rebalance hint makes files of even size: a partition with most of the rows is split over
     tasks and small ones are merged.
     """
+    return write_observed(df, name, warehouse, {}, mode, path)["n"]
+
+
+def write_observed(
+    df: DataFrame,
+    name: str,
+    warehouse: str,
+    observed: dict[str, Column],
+    mode: str = "overwrite",
+    path: str | None = None,
+) -> dict[str, int]:
+    """`write_table` that returns the named aggregates of the rows, taken while they are written, and `n`."""
     partition = schemas.partition_columns(name)
     counted = Observation()
-    rows = conform(df, name).hint("rebalance", *partition).observe(counted, F.count("*").alias("n"))
+    rows = conform(df, name).hint("rebalance", *partition).observe(
+        counted, F.count("*").alias("n"), *[value.alias(key) for key, value in observed.items()]
+    )
     writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition:
         writer = writer.partitionBy(*partition)
     writer.parquet(path or schemas.location(name, warehouse))
-    return counted.get["n"]
+    return counted.get
 
 
 def upsert_table(
