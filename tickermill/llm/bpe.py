@@ -15,6 +15,7 @@ import hashlib
 import json
 import re
 import unicodedata
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -25,8 +26,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickermill.llm import words
+
 SLICE = 256
-WORDS_KEPT, PAIRS_KEPT = 1 << 18, 1 << 19  # remembered by each worker; bounds of its memory
+WORDS_KEPT = 1 << 18  # words of at most 64 letters whose ids each worker remembers
+PAIRS_KEPT = 1 << 19  # slots of 8 bytes for tests of token pairs
+SYMBOLS = 1 << 10  # more than a file's base symbols
 
 # Fixed values of the file format: the printable character that stands for each byte, the mark of a
 # word's end, and the pattern that cuts lower-cased text into words.
@@ -67,8 +72,10 @@ class PrefixEncoder:
             pair = ids[left], ids[right]
             self.rank[pair] = rank
             self.parts[ids[left + right]] = (*pair, rank)
-        self.compatible: dict[tuple[int, int], bool] = {}
+        self.pairs = array("q", [-1]) * PAIRS_KEPT
         self._build(ids)
+        self.names = np.full(max(self.text) + 1, "", object)
+        self.names[list(self.text)] = list(self.text.values())
 
     def symbols(self, token: str) -> list[str]:
         """Base symbols of a token: its characters, the last one joined with a word's end mark."""
@@ -109,7 +116,15 @@ class PrefixEncoder:
         for state in sorted(range(1, len(length)), key=length.__getitem__):
             up = link[state]
             above[state] = up if token[up] >= 0 else above[up]
-        self.length, self.link, self.step, self.token, self.above = length, link, step, token, above
+        # Flat arrays, and one table of all steps: a state's number and a symbol's code give the next state.
+        self.code: dict[str, int] = {}
+        self.go: dict[int, int] = {}
+        for state, steps in enumerate(step):
+            for symbol, after in steps.items():
+                self.go[state * SYMBOLS + self.code.setdefault(symbol, len(self.code))] = after
+        if len(self.code) >= SYMBOLS:
+            raise ValueError("too many base symbols")
+        self.length, self.link, self.token, self.above = (array("i", x) for x in (length, link, token, above))
 
     @staticmethod
     def _clone(length, link, step, token, at, symbol) -> int:
@@ -131,12 +146,6 @@ class PrefixEncoder:
         It does not if a merge joins a piece that ends the left token with a piece that starts the
         right one before either piece is used up by its own token's merges (left first on a tie).
         """
-        if len(self.compatible) >= PAIRS_KEPT:
-            self.compatible.clear()
-        known = self.compatible[left, right] = self._can_follow(left, right)
-        return known
-
-    def _can_follow(self, left: int, right: int) -> bool:
         never = len(self.rank)
         starts, used = [], never
         piece = right
@@ -161,16 +170,17 @@ class PrefixEncoder:
         whole = self.vocabulary.get(chars + self.end)
         if whole is not None:  # a token always encodes to itself
             return [whole]
-        length, link, step, token, above = self.length, self.link, self.step, self.token, self.above
-        compatible = self.compatible
+        length, link, go, token, above = self.length, self.link, self.go, self.token, self.above
+        pairs, code = self.pairs, self.code
         last, size = [-1], [0]
         state = matched = 0
         for symbol in [*chars[:-1], chars[-1] + self.end]:
-            up = step[state].get(symbol)
+            symbol = code.get(symbol, SYMBOLS - 1)  # the last code stands for unknown ones
+            up = go.get(state * SYMBOLS + symbol)
             while up is None and state:
                 state = link[state]
                 matched = length[state]
-                up = step[state].get(symbol)
+                up = go.get(state * SYMBOLS + symbol)
             if up is None:  # not in the vocabulary at all: dropped, as the model has no unknown token
                 last.append(last[-1])
                 size.append(0)
@@ -182,10 +192,11 @@ class PrefixEncoder:
                 before = last[-length[at]]
                 if before < 0:
                     break
-                fits = compatible.get((before, token[at]))
-                if fits is None:
-                    fits = self.can_follow(before, token[at])
-                if fits:
+                pair = before << 32 | token[at]
+                slot = (before * 40503 + token[at]) % PAIRS_KEPT
+                if pairs[slot] >> 1 != pair:
+                    pairs[slot] = pair << 1 | self.can_follow(before, token[at])
+                if pairs[slot] & 1:
                     break
                 at = above[at]
             last.append(token[at])
@@ -229,7 +240,7 @@ def encoder(path: str) -> PrefixEncoder:
 
 
 class _Memory(dict):
-    """Encoded words of one worker as (id bytes, decoded text); of the older half only used words stay."""
+    """Ids of the words that one worker has met, as bytes; of the older half only used words stay."""
 
     def __init__(self, own: PrefixEncoder):
         super().__init__()
@@ -238,8 +249,7 @@ class _Memory(dict):
     def __missing__(self, word: str):
         out = self.older.get(word)
         if out is None:
-            ids = self.own.encode_word(word)
-            out = np.array(ids, "<u4").tobytes(), self.own.decode(ids)
+            out = np.array(self.own.encode_word(word), "<u4").tobytes()
         if len(self) >= WORDS_KEPT // 2:
             self.older = dict(self)
             self.clear()
@@ -253,19 +263,16 @@ def _memory(path: str) -> _Memory:
     return _Memory(encoder(path))
 
 
-def _encoded(text: str | None, path: str) -> tuple[bytes, str]:
+def _encoded(text: str | None, path: str) -> np.ndarray:
+    """Ids of a text; null counts as empty."""
     own, memory = encoder(path), _memory(path)
-    ids, texts = [], []
+    ids = []
     for part in own.special.split(text or ""):
         if part in own.specials:
             ids.append(np.array([own.specials[part]], "<u4").tobytes())
-            texts.append(part)
         else:
-            for code, decoded in map(memory.__getitem__, own.pieces(part)):
-                if code:
-                    ids.append(code)
-                    texts.append(decoded)
-    return b"".join(ids), " ".join(texts)
+            ids.extend(map(memory.__getitem__, own.pieces(part)))
+    return np.frombuffer(b"".join(ids), "<u4")
 
 
 def encode(text: Column, tokenizer: str) -> Column:
@@ -273,7 +280,7 @@ def encode(text: Column, tokenizer: str) -> Column:
 
     @F.pandas_udf("array<int>")
     def ids(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.frombuffer(_encoded(t, tokenizer)[0], "<u4").astype(np.int32) for t in texts])
+        return pd.Series([_encoded(t, tokenizer).astype(np.int32) for t in texts])
 
     return ids(text)
 
@@ -298,6 +305,7 @@ def tokenise(docs: DataFrame, tokenizer: str, text_column: str = "text") -> Data
     rest = [c for c in docs.columns if c not in (text_column, *added)]
 
     def encoded(batches):
+        words.release_memory()
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE):
                 part = batch.slice(start, SLICE)
@@ -315,8 +323,11 @@ def tokenise(docs: DataFrame, tokenizer: str, text_column: str = "text") -> Data
 
 
 def _digest(text: str | None, path: str) -> tuple[bytes, int, str, str]:
-    ids, decoded = _encoded(text, path)
-    return ids, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+    ids = _encoded(text, path)
+    # As `decode` gives it: every id is a token here.
+    decoded = " ".join(encoder(path).names[ids].tolist())
+    code = ids.tobytes()
+    return code, len(ids), hashlib.sha256(code).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
 
 def digests(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -49,20 +49,18 @@ def _anchors(hashed: np.ndarray, width: int) -> np.ndarray:
 
 
 def _read(batches, width: int):
-    """Words, digest of all words, whole-text hash and distinct anchors of every document."""
+    """Words, digest of all words and distinct anchors of every document."""
     for batch in batches:
         rows = []
         for key, data in zip(zip(*(c.to_pylist() for c in batch.columns[:2])), words.as_bytes(batch.column(2))):
             data = np.zeros(0, np.uint8) if data is None else data
             starts, ends = words.spans(data)
             hashed = words.hashes(data, starts, ends)
-            again = words.hashes(data, starts, ends, seed=1)
-            whole = [int(words.signed(words.rolling(h, len(h), k))[0]) if len(h) else 0 for k, h in enumerate((hashed, again))]
             anchors = words.signed(np.unique(_anchors(hashed, width)))
-            rows.append((*key, len(starts), _kept_sha(data, starts, ends), *whole, anchors))
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-        columns = zip(*rows) if rows else [[]] * 7
-        names = ["doc_id", "body", "n_words", "all_sha256", "whole_a", "whole_b", "anchors"]
+            rows.append((*key, len(starts), _kept_sha(data, starts, ends), anchors))
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64())]
+        columns = zip(*rows) if rows else [[]] * len(types)
+        names = ["doc_id", "body", "n_words", "all_sha256", "anchors"]
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names)
 
 
@@ -106,11 +104,11 @@ def repeated_windows(
     found = stored(
         keyed.mapInArrow(
             lambda b: _read(b, width),
-            "doc_id long, body long, n_words long, all_sha256 string, whole_a long, whole_b long, anchors array<long>",
+            "doc_id long, body long, n_words long, all_sha256 string, anchors array<long>",
         ),
         "read",
     )
-    whole = ["n_words", "whole_a", "whole_b"]
+    whole = ["all_sha256"]  # words hold no spaces, so equal digests are equal words
     first = stored(
         found.where(f"n_words >= {width} and doc_id is not null").groupBy(*whole).agg(F.min("doc_id").alias("first_id")),
         "first",

@@ -6,6 +6,10 @@ occur inside a longer UTF-8 sequence, so bytes and characters give the same word
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
@@ -14,6 +18,9 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+LONG = 256  # bytes of a word beyond which it is hashed by a digest
+_KEYS = np.array([0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # masks of the first k bytes
 _BASE = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 _TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -55,9 +62,25 @@ def spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
-    """One 64-bit hash per word; equal words have equal hashes wherever they stand."""
-    total, inverse = _sums(data.astype(np.uint64) + np.uint64(1), seed)
-    return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    """One 64-bit hash per word; equal words have equal hashes wherever they stand.
+
+    Eight bytes at a time are mixed into a state that starts from the length and the seed's key. Mixing is no
+    polynomial, so words built to have equal sums have different hashes, and those of two seeds are independent.
+    """
+    length = ends - starts
+    out = mix(length.astype(np.uint64) + _KEYS[seed])
+    loads = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(9, np.uint8)]), strides=(1,))
+    live = np.flatnonzero(length <= LONG)
+    at, left = starts[live], length[live]
+    while len(live):
+        chunk = loads[at] & _KEEP[np.minimum(left, 8)]
+        out[live] = mix((out[live] ^ chunk) * np.uint64(0x9FB21C651E98DF25) + _KEYS[seed])
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    for k in np.flatnonzero(length > LONG):
+        digest = hashlib.blake2b(data[starts[k] : ends[k]].tobytes(), digest_size=8, salt=bytes([seed])).digest()
+        out[k] = np.frombuffer(digest, "<u8")[0]
+    return out
 
 
 def rolling(values: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
@@ -87,3 +110,13 @@ def as_bytes(column: pa.Array) -> list[np.ndarray | None]:
 
 def signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
+
+
+def release_memory() -> None:
+    """Give memory that earlier tasks of this worker have freed back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
