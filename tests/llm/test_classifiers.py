@@ -1,10 +1,12 @@
 """Quality, language and toxicity: held-out accuracy, folds and odd rows."""
 
+import math
 import zlib
 
+import numpy as np
 import pytest
 
-from tickermill.llm import language, quality, toxicity
+from tickermill.llm import language, quality, toxicity, training
 
 SF = "/root/testdata/sf0.01"
 
@@ -81,3 +83,80 @@ def test_features_see_hidden_and_addressed_insults():
     assert at["fixed_any"] == 1 and at["learned_count"] == 2 and at["second_person_near"] > 0
     assert at["hidden_words"] > 0 and at["stretched_letters"] > 0 and at["capital_runs"] > 0
     assert toxicity.features(None, lexicon) == [0.0] * len(toxicity.FEATURES) == toxicity.features("12 ..", lexicon)
+
+
+def test_a_language_left_out_of_learning_is_rejected(tables):
+    docs, _ = tables
+    known = docs.where("lang != 'fr'")
+    rows = language.identify(docs, language.fit(known)).where("length(text) > 400").collect()
+    left_out = [r.rejected for r in rows if r.lang == "fr"]
+    assert sum(left_out) / len(left_out) > 0.8
+    own = [r.rejected for r in rows if r.lang != "fr"]
+    assert sum(own) / len(own) < 0.005
+
+
+def test_samples_hold_the_smallest_hashes_and_one_row_of_an_id(spark):
+    size = 1500
+    rows = spark.range(60_000).selectExpr("if(id < 20000, 7, id) AS doc_id", "if(id < 50000, 'a', 'b') AS label", "id AS extra")
+    chosen = training.sample(rows, "label", size)
+    found = [(r.label, r.doc_id) for r in chosen.collect()]
+    want = rows.select("label", "doc_id").distinct().selectExpr("*", "xxhash64(doc_id) AS h").collect()
+    for label in "ab":
+        least = sorted((r.h, r.doc_id) for r in want if r.label == label)[:size]
+        assert sorted(i for y, i in found if y == label) == sorted(i for _, i in least)
+    assert training.sample(rows.where("false"), "label", size).collect() == []
+    assert {r.doc_id for r in training.sample(rows.where("id > 59990"), "label", size).collect()} == set(range(59_991, 60_000))
+    texts = spark.createDataFrame([(1, None), (1, "b"), (1, "a"), (2, None)], "doc_id long, text string")
+    kept = {r.doc_id: r.text for r in training.one_text(texts, ["doc_id"]).collect()}
+    assert kept[1] in {"a", "b"} and kept[2] is None and len(kept) == 2
+
+
+def test_repeated_ids_do_not_crowd_the_driver(spark):
+    rows = [(1 + k % 4, f"text {k}" if k else None, "en" if k % 2 else "de") for k in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 5)], "doc_id long, quality int")
+    assert len(quality.scores(docs, labels).collect()) == len(rows)
+    assert len(language.predictions(docs).collect()) == len(rows)
+
+
+def plain_descent(rows, prior, seed=1):
+    """The same descent without numpy's shortcuts: one weight matrix row per feature, in plain loops."""
+    rng = np.random.default_rng(seed)
+    size, width = 1 << quality.BUCKET_BITS, quality.DIMENSIONS
+    vectors = rng.uniform(-1 / width, 1 / width, (size, width)).astype(np.float32).astype(float)
+    output, bias = [[0.0, 0.0] for _ in range(width)], [0.0, 0.0]
+    epochs = min(quality.MAX_EPOCHS, -(-quality.STEPS // len(rows)))
+    steps, done = epochs * len(rows), 0
+    for _ in range(epochs):
+        for k in rng.permutation(len(rows)):
+            at, count, label = rows[k]
+            rate = quality.RATE * (1 - done / steps)
+            done += 1
+            total = float(sum(count))
+            mean = [sum(c / total * vectors[b][d] for b, c in zip(at, count)) for d in range(width)]
+            logits = [sum(mean[d] * output[d][y] for d in range(width)) + bias[y] for y in (0, 1)]
+            odds = [math.exp(z - max(logits)) for z in logits]
+            error = [o / sum(odds) - (y == label) for y, o in enumerate(odds)]
+            back = [output[d][0] * error[0] + output[d][1] * error[1] for d in range(width)]
+            for d in range(width):
+                for y in (0, 1):
+                    output[d][y] -= rate * mean[d] * error[y]
+            bias = [bias[y] - rate * error[y] for y in (0, 1)]
+            for b, c in zip(at, count):
+                vectors[b] -= [rate * c / total * x for x in back]
+    share = sum(label for *_, label in rows) / len(rows)
+    shift = math.log(prior / (1 - prior)) - math.log(share / (1 - share))
+    return vectors, output, bias[1] - bias[0] + shift
+
+
+def test_descent_against_plain_loops(monkeypatch):
+    monkeypatch.setattr(quality, "STEPS", 60)
+    texts = [("good words here", 1), ("bad bad text", 0), ("fine words", 1), ("awful", 0), ("more good", 1)]
+    rows = [(*np.unique(quality.buckets(t), return_counts=True), y) for t, y in texts]
+    model = quality.train(rows, 0.3)
+    vectors, output, bias = plain_descent(rows, 0.3)
+    for text in ("good words", "bad text", "something else", ""):
+        found = quality.buckets(text)
+        mean = vectors[found].mean(axis=0) if len(found) else np.zeros(quality.DIMENSIONS)
+        logit = bias + sum(mean[d] * (output[d][1] - output[d][0]) for d in range(quality.DIMENSIONS))
+        assert model.score(text) == pytest.approx(1 / (1 + math.exp(-logit)), abs=1e-4)

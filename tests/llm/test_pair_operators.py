@@ -1,6 +1,7 @@
 """MinHash, embedding and component operators against brute force."""
 
 import random
+import tracemalloc
 import re
 from itertools import combinations
 
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 from .llm_brute import smallest_reachable
 
-from tickermill.llm import decontamination, embeddings, minhash
+from tickermill.llm import decontamination, embeddings, minhash, words
 from tickermill.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -186,3 +187,53 @@ def test_tiles_are_greedy_and_disjoint():
             for j in range(23):
                 free = not used_doc[i : i + 3].any() and not used_item[j : j + 3].any()
                 assert not (free and (doc[i : i + 3] == item[j : j + 3]).all())
+
+
+def plain_tiles(doc, item, least):
+    """Greedy string tiling word by word: always the longest free match, ties by place."""
+    used, taken, tiles = set(), set(), []
+
+    def length(i, j):
+        n = 0
+        while i + n < len(doc) and j + n < len(item) and doc[i + n] == item[j + n] and i + n not in used and j + n not in taken:
+            n += 1
+        return n
+
+    while True:
+        size, i, j = max(((length(i, j), i, j) for i in range(len(doc)) for j in range(len(item))), default=(0, 0, 0), key=lambda m: (m[0], -m[1], -m[2]))
+        if size < least:
+            return tiles
+        tiles.append((size, i, j))
+        used |= set(range(i, i + size))
+        taken |= set(range(j, j + size))
+
+
+def test_tiles_against_a_plain_tiler():
+    draw = random.Random(11)
+    for _ in range(300):
+        letters, least = draw.choice([1, 2, 3, 6]), draw.choice([2, 3, 5])
+        doc, item = ([draw.randint(1, letters) for _ in range(draw.randint(0, most))] for most in (40, 25))
+        found = decontamination.tile(np.array(doc, np.uint64), np.array(item, np.uint64), least)
+        assert found == plain_tiles(doc, item, least)
+
+
+def test_repetitive_texts_take_linear_memory():
+    word = words.mix(np.arange(8, dtype=np.uint64))
+    doc, item = word[np.arange(20_000) % 8], word[np.arange(1000) % 8]
+    one, same = np.repeat(word[:1], 20_000), np.repeat(word[:1], 1000)
+    cut = one.copy()
+    cut[::7] = word[1]
+    tracemalloc.start()
+    assert decontamination.tile(doc, item) == [(1000, 0, 0)] and decontamination.tile(one, same) == [(1000, 0, 0)]
+    assert sum(t[0] for t in decontamination.tile(cut, same)) == 996 + 0
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+
+
+def test_vectors_of_any_scale_link(spark):
+    rows = [(1, [1e200, 2e200]), (2, [1e-200, 2e-200]), (3, [1.0, 2.0]), (4, [5e-324, 1e-323]), (5, [-1.0, 2.0]), (6, [1e308, 1e308])]
+    out = {r.vec_id: r for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert [out[i].component_id for i in (1, 2, 3, 4)] == [1] * 4 and out[5].n_links == 0
+    # (1, 1) and (1, 2) have a cosine of 0.9487
+    assert out[6].n_links == 0 and [out[i].n_links for i in (1, 2, 3, 4)] == [3] * 4

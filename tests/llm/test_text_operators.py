@@ -144,6 +144,41 @@ def test_weak_parts_need_each_other(frame):
     assert found == {1: {"identifier", "opaque", "endpoint"}, 2: set(), 3: set(), 4: set(), 5: set()}
 
 
+PARTS = {
+    "identifier": ("user=bob", "identifier"), "opaque": ("Zx9" + "aB3" * 12, "secret"), "endpoint": ("https://a.b/c", "endpoint"),
+    "assign": ("token=abcdef", "secret"), "access": ("AKIA" + "B" * 16, "identifier"),
+}
+
+
+def test_linked_parts_against_all_pairs(frame):
+    """Parts at random distances: each weak one is reported if what it needs is within the scope."""
+    draw, rows, want = random.Random(8), [], {}
+    for doc_id in range(400):
+        text, placed = "", []
+        for _ in range(draw.randint(1, 7)):
+            text += "é " * draw.choice([1, 20, 70, 119, 120, 121, 150])
+            kind = draw.choice(list(PARTS))
+            placed.append((kind, len(text), len(text) + len(PARTS[kind][0])))
+            text += PARTS[kind][0] + " "
+        near = lambda a, b: b[1] - a[2] <= secrets.SCOPE and a[1] - b[2] <= secrets.SCOPE
+        spans = []
+        for a in placed:
+            roles = {PARTS[b[0]][1] for b in placed if near(a, b)}
+            needs = {"identifier": {"secret"}, "secret": {"identifier"}, "endpoint": {"identifier", "secret"}}[PARTS[a[0]][1]]
+            if a[0] in secrets.BASE or needs <= roles:
+                spans.append(f"{a[0]}:{a[1]}:{a[2]}")
+        rows.append((doc_id if doc_id % 5 else None, text, None))  # every fifth row has no id
+        want.setdefault(rows[-1][0], []).append(",".join(spans))
+    found = {}
+    for r in secrets.digests(frame(rows)).collect():
+        found.setdefault(r.doc_id, []).append(r.spans)
+    assert {i: sorted(v) for i, v in found.items()} == {i: sorted(v) for i, v in want.items()}
+    added = [s for v in found.values() for spans in v for s in spans.split(",") if s and s.split(":")[0] not in secrets.BASE]
+    assert len(added) > 300
+    masked = secrets.redact(frame(rows)).collect()
+    assert sum(r.text.count(secrets.MASK) for r in masked) == sum(len(s.split(",")) for v in want.values() for s in v if s)
+
+
 def test_redaction(frame, odd, empty):
     rows = [(1, "é password=abcdef1 end", "en"), (2, "clean", "en"), (3, "token=deadbeefdeadbeefdeadbeef1", "en")]
     out = {r.doc_id: r.text for r in secrets.redact(frame(rows)).collect()}

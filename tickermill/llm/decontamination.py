@@ -46,43 +46,73 @@ def _free(used: np.ndarray, size: int) -> np.ndarray:
     return np.flatnonzero(total[size:] == total[:-size])
 
 
-def _matches(doc, item, used_doc, used_item, size):
-    """Maximal matches of at least `size` free words as (length, start in doc, start in item)."""
+def _shared(doc, item, used_doc, used_item, size):
+    """Free runs of `size` words that both have: (hashes in doc, starts in doc, hashes in item, starts in item)."""
     at_doc, at_item = _free(used_doc, size), _free(used_item, size)
-    if not len(at_doc) or not len(at_item):
-        return []
     key_doc, key_item = words.rolling(doc, size)[at_doc], words.rolling(item, size)[at_item]
-    order = np.argsort(key_item, kind="stable")
-    low, high = (np.searchsorted(key_item[order], key_doc, side) for side in ("left", "right"))
-    hits = {(int(at_doc[k]), int(at_item[j])) for k in np.flatnonzero(high > low) for j in order[low[k] : high[k]]}
-    found = []
-    for i, j in hits:
-        if (i - 1, j - 1) in hits:
-            continue
-        length = size
-        while (i + length - size + 1, j + length - size + 1) in hits:
-            length += 1
-        found.append((length, i, j))
-    return found
+    in_doc, in_item = np.isin(key_doc, key_item), np.isin(key_item, key_doc)
+    return key_doc[in_doc], at_doc[in_doc], key_item[in_item], at_item[in_item]
+
+
+def _around(doc: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the words in the runs of `size` that begin at `starts`, and where a new stretch begins among them."""
+    inside = np.zeros(len(doc) + 1, np.int64)
+    np.add.at(inside, starts, 1)
+    np.add.at(inside, starts + size, -1)
+    places = np.flatnonzero(np.cumsum(inside[:-1]))
+    return places, np.flatnonzero(np.diff(places) > 1) + 1
 
 
 def tile(doc: np.ndarray, item: np.ndarray, least: int = SEED) -> list[tuple[int, int, int]]:
     """Greedy tiles (length, start in doc, start in item), the longest first, ties by position.
 
-    The search length starts at the whole item and is halved when no match of it is left.
+    The longest match of free words is found by halving: wherever a match of some length is, there is one of
+    every smaller length, so runs of one length at a time are hashed and compared. All of that length are
+    marked, then the next shorter one is looked for. Memory is linear in both texts, however often they
+    repeat themselves.
     """
     used_doc, used_item = np.zeros(len(doc), bool), np.zeros(len(item), bool)
-    tiles, size = [], min(len(item), len(doc))
-    while size >= least:
-        found = _matches(doc, item, used_doc, used_item, size)
-        for length, i, j in sorted(found, key=lambda m: (-m[0], m[1], m[2])):
-            if not used_doc[i : i + length].any() and not used_item[j : j + length].any():
-                used_doc[i : i + length] = used_item[j : j + length] = True
-                tiles.append((length, i, j))
-        if not found:  # else what the new tiles cut in part is looked for again
-            if size == least:
+    _, starts, _, _ = _shared(doc, item, used_doc, used_item, least)
+    # Only the stretches of the document that share a seed matter; a used word stands between them.
+    places, cuts = _around(doc, starts, least)
+    places = np.insert(places, cuts, -1)
+    used, short = places < 0, doc[places]
+    tiles, most = [], min(len(item), len(doc))
+    while most >= least:
+        low, high = least - 1, most  # a match of `low` exists (or none of `least`), none above `high`
+        while low < high:
+            size = (low + high + 1) // 2
+            if len(_shared(short, item, used, used_item, size)[0]):
+                low = size
+            else:
+                high = size - 1
+        if low < least:
+            break
+        tiles += _mark(short, item, used, used_item, low)
+        most = low - 1
+    return [(size, int(places[i]), j) for size, i, j in tiles]
+
+
+def _mark(doc, item, used_doc, used_item, size) -> list[tuple[int, int, int]]:
+    """Mark the matches of `size` free words in order of their places; equal hashes are confirmed on the words."""
+    key_doc, at_doc, key_item, at_item = _shared(doc, item, used_doc, used_item, size)
+    order = np.argsort(key_item, kind="stable")
+    first, after = (np.searchsorted(key_item[order], key_doc, side) for side in ("left", "right"))
+    passed: dict[int, int] = {}  # by first place of a hash: places in the item that are used up
+    tiles, free_from = [], 0
+    for i, low, high in zip(at_doc.tolist(), first.tolist(), after.tolist()):
+        if i < free_from:
+            continue
+        k = passed.get(low, low)
+        while k < high and used_item[at_item[order[k]] : at_item[order[k]] + size].any():
+            k += 1
+        passed[low] = k
+        for j in at_item[order[k:high]].tolist():
+            if not used_item[j : j + size].any() and np.array_equal(doc[i : i + size], item[j : j + size]):
+                used_doc[i : i + size] = used_item[j : j + size] = True
+                tiles.append((size, i, j))
+                free_from = i + size
                 break
-            size = max(least, size // 2)
     return tiles
 
 

@@ -50,6 +50,8 @@ def _tile(threshold: float):
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         ids, times = rows.rep.to_numpy(), rows.copies.to_numpy()
         raw = np.stack([np.asarray(v, np.float64) for v in rows.vector])
+        # By a power of two, which leaves every cosine as it is and keeps squares in the range of doubles.
+        raw = np.ldexp(raw, -np.frexp(np.abs(raw).max(axis=1))[1][:, None])
         unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
         own, i, j = (rows[c].to_numpy() for c in ("own", "i", "j"))
         left, right = np.flatnonzero(own == i[0]), np.flatnonzero(own == j[0])
@@ -86,7 +88,7 @@ def near_duplicates(
     n_links counts the other rows with a cosine of at least `threshold` (double precision);
     component_id is the smallest vec_id that links reach. Vectors that are null, empty, zero or hold
     null or non-finite components link with nothing, nor do vectors of different lengths link with
-    each other; null ids link with nothing. Repeated rows are vectors of their own with one id. Other
+    each other; null ids link with nothing. Huge and tiny components are scaled before they are squared. Repeated rows are vectors of their own with one id. Other
     columns are ignored. An empty table gives an empty result.
     """
     own = vectors.select(

@@ -102,7 +102,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_column: str = "quality", folds
     """The model learned from labelled documents outside the held-out fold."""
     known = training.one_label(labels, label_column).where(training.fold(F.col("doc_id"), folds) != held_out)
     total = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    chosen = training.sample(known, "label", SAMPLE, F.xxhash64("doc_id"))
+    chosen = training.sample(known, "label", SAMPLE)
 
     @F.pandas_udf("at array<int>, count array<int>")
     def features(texts: pd.Series) -> pd.DataFrame:
@@ -110,8 +110,10 @@ def fit(docs: DataFrame, labels: DataFrame, label_column: str = "quality", folds
         return pd.DataFrame({"at": [p[0] for p in pairs], "count": [p[1] for p in pairs]})
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # The chosen ids are 2 * SAMPLE at most, so they go to the documents and not the other way round.
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", features("text").alias("f")).toPandas()
+    # The chosen ids are 2 * SAMPLE at most, so they go to the documents and not the other way round;
+    # of repeated ids one text is learned from.
+    sampled = training.one_text(texts.join(F.broadcast(chosen), "doc_id"), ["doc_id", "label"])
+    rows = sampled.select("doc_id", "label", features("text").alias("f")).toPandas()
     rows = rows.sort_values("doc_id", kind="stable")
     trained = [(np.asarray(f["at"]), np.asarray(f["count"]), label) for f, label in zip(rows.f, rows.label)]
     count = sum(total.values())

@@ -10,7 +10,7 @@ document and compared within a cell only, so a pair of parts meets where it is c
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickermill.llm.spans import joined, sha256, with_matches
@@ -66,17 +66,23 @@ def _roles(spans: str, role: str) -> str:
     return f"exists({spans}, x -> x.kind in ({kinds}))"
 
 
+def _key(id_column: str, text: str) -> Column:
+    """What tells rows apart: id (it may be null) and text."""
+    return F.sha2(F.concat_ws(":", F.coalesce(F.col(id_column).cast("long").cast("string"), F.lit("")), F.col(text).cast("string")), 256)
+
+
 def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Per row of `docs`: doc_id, body (hash of the text), base and all_spans, arrays of (s, rank, kind, e).
+    """Per row of `docs`: doc_id, key (digest of id and text), base and all_spans, arrays of (s, rank, kind, e).
 
     Spans are in code points, ordered by start and kind. Null and empty texts have none; rows that
-    repeat an id are told apart by their text. Other columns are ignored.
+    repeat an id, or have none, are told apart by their text. Texts of any length are searched whole:
+    parts are compared within cells of their document. Other columns are ignored.
     """
     own = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     matched = with_matches(own, "text", PATTERNS)
     found = matched.select(
         "doc_id",
-        F.xxhash64("text").alias("body"),
+        _key("doc_id", "text").alias("key"),
         F.array_sort(F.concat(*[F.expr(_spans(k)) for k in BASE])).alias("base"),
         F.concat(*[F.expr(_spans(k)) for k in WEAK]).alias("weak"),
     )
@@ -88,8 +94,8 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
         found.where("size(weak) > 0")
         .withColumn("parts", F.concat("base", "weak"))
         .where(complete)
-        .select("doc_id", "body", F.explode("parts").alias("p"))
-        .select("doc_id", "body", "p.*")
+        .select("key", F.explode("parts").alias("p"))
+        .select("key", "p.*")
         .distinct()
     )
     role = F.element_at(F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair]), F.col("kind"))
@@ -98,8 +104,7 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
         "cell", F.explode(F.array_distinct(F.array(F.expr(f"s div {SCOPE}"), F.expr(f"e div {SCOPE}"))))
     )
     other = parts.where("role != 'endpoint'").select(
-        "doc_id",
-        "body",
+        "key",
         F.col("s").alias("s2"),
         F.col("e").alias("e2"),
         F.col("role").alias("role2"),
@@ -107,17 +112,17 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     )
     close = f"s2 - e <= {SCOPE} and s - e2 <= {SCOPE} and role != role2"
     linked = (
-        asking.join(other, ["doc_id", "body", "cell"])
+        asking.join(other, ["key", "cell"])
         .where(close)
-        .groupBy("doc_id", "body", "s", "rank", "kind", "e", "role")
+        .groupBy("key", "s", "rank", "kind", "e", "role")
         .agg(F.count_distinct("role2").alias("roles"))
         .where("roles = if(role = 'endpoint', 2, 1)")
     )
-    added = linked.groupBy("doc_id", "body").agg(F.collect_list(F.struct("s", "rank", "kind", "e")).alias("added"))
+    added = linked.groupBy("key").agg(F.collect_list(F.struct("s", "rank", "kind", "e")).alias("added"))
     nothing = F.expr("cast(array() as array<struct<s: bigint, rank: int, kind: string, e: bigint>>)")
-    out = found.join(stored(added, "added"), ["doc_id", "body"], "left")
+    out = found.join(stored(added, "added"), "key", "left")
     every = F.array_sort(F.concat("base", F.coalesce("added", nothing)))
-    return out.select("doc_id", "body", "base", every.alias("all_spans"))
+    return out.select("doc_id", "key", "base", every.alias("all_spans"))
 
 
 def digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -128,15 +133,15 @@ def digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
 
 
 def redact(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """`docs` with every reported span of the text replaced by a mask; other columns stay."""
+    """`docs` with every reported span of the text replaced by a mask; other columns stay.
+
+    Null and empty texts stay as they are; rows that repeat an id, or have none, are masked each by its
+    own text, and repeated rows alike. Texts of any length are masked whole.
+    """
     spans = scan(docs, id_column, text_column).where("size(all_spans) > 0")
-    spans = spans.select(F.col("doc_id").alias("__id"), F.col("body").alias("__body"), F.col("all_spans").alias("__spans"))
+    spans = spans.select(F.col("key").alias("__key"), F.col("all_spans").alias("__spans")).dropDuplicates(["__key"])
     text = F.col(text_column).cast("string")
-    joined_docs = docs.join(
-        spans.dropDuplicates(["__id", "__body"]),
-        F.col(id_column).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__body")),
-        "left",
-    )
+    joined_docs = docs.join(spans, _key(id_column, text_column) == F.col("__key"), "left")
     masked = F.expr(
         "aggregate(__spans, named_struct('at', 1L, 'out', ''), (a, x) -> if(x.e < a.at, a, named_struct('at', x.e + 1, 'out',"
         f" if(x.s + 1 < a.at, a.out, concat(a.out, substring(`{text_column}`, int(a.at), int(x.s + 1 - a.at)), '{MASK}')))),"

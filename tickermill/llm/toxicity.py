@@ -128,7 +128,7 @@ def learn_lexicon(docs: DataFrame, known: DataFrame) -> frozenset[str]:
     Documents with equal texts count once, and a term has to be in 2 % of the toxic ones, so a passage
     that a few copies share does not become part of the lexicon.
     """
-    ids = training.sample(known, "label", SAMPLE, F.xxhash64("doc_id"))
+    ids = training.sample(known, "label", SAMPLE)
 
     @F.pandas_udf("array<string>")
     def terms(texts: pd.Series) -> pd.Series:
