@@ -153,7 +153,7 @@ PARTS = {
 def test_linked_parts_against_all_pairs(frame):
     """Parts at random distances: each weak one is reported if what it needs is within the scope."""
     draw, rows, want = random.Random(8), [], {}
-    for doc_id in range(400):
+    for doc_id in range(600):
         text, placed = "", []
         for _ in range(draw.randint(1, 7)):
             text += "é " * draw.choice([1, 20, 70, 119, 120, 121, 150])
