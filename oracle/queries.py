@@ -270,6 +270,13 @@ ORACLE: dict[str, str] = {
           FROM gold WHERE score_final IS NOT NULL)""",
         "gold",
     ),
+    "score_changes": over(
+        f"""SELECT ticker, data_referencia, {r("score_final", 1)} AS score, nota,
+          {r("score_final - antes", 1)} AS variacao FROM (
+          SELECT *, LAG(score_final) OVER (PARTITION BY ticker ORDER BY data_referencia) AS antes
+          FROM gold WHERE score_final IS NOT NULL)""",
+        "gold",
+    ),
     "idempotency_check": over(
         "SELECT data_coleta, COUNT(*) AS linhas, COUNT(DISTINCT ticker) AS tickers "
         "FROM silver GROUP BY data_coleta",

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickermill import schemas
-from tickermill.plans import medallion, reports
+from tickermill.plans import evolution, medallion, reports
 from tickermill.sources import catalog, deltas, landing, tables
 from tickermill.streaming import feeds
 
@@ -477,3 +477,35 @@ def test_made_up_prices_never_replace_real_ones(spark, tmp_path):
     assert run("brapi", "2026-10-01", 2) == [("brapi", 2.0)]  # real, though older
     assert run("sintetico", "2026-10-09", 3) == [("brapi", 2.0)]
     assert run("brapi", "2026-10-03", 4) == [("brapi", 4.0)]
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2, 3, 1), (3, 0, 2, 1), (2, 3, 1, 0)])
+def test_score_changes_equal_the_full_window_for_every_order_of_runs(spark, tmp_path, order):
+    dates = [f"2026-10-0{k}" for k in range(1, 5)]
+    scores = {
+        "A3": (50.04, 61.0, 61.0, 40.0), "B3": (None, 20.0, None, 70.5), "C3": (10.0, None, None, None), "D3": (None, None, 5.0, 9.0),
+    }
+    rows = [(t, s, "B", d) for t, own in scores.items() for s, d in zip(own, dates)]
+    gold = spark.createDataFrame(rows, "ticker string, score_final double, nota string, data_referencia string")
+    root = str(tmp_path)
+    assert evolution.score_evolution(spark, root).collect() == [] and evolution.runs(spark, root) == []
+    for done, k in enumerate(order, 1):
+        evolution.merge_run(gold.where(F.col("data_referencia") == dates[k]), root, dates[k])
+        merged = [dates[j] for j in order[:done]]
+        assert evolution.runs(spark, root) == sorted(set(merged))
+    assert evolution.score_evolution(spark, root).collect() == reports.score_evolution(gold).collect()
+
+
+def test_score_changes_forget_what_a_repeated_run_no_longer_has(spark, tmp_path):
+    schema, root = "ticker string, score_final double, nota string", str(tmp_path)
+    merge = lambda rows, date: evolution.merge_run(spark.createDataFrame(rows, schema), root, date)
+    found = lambda: [(r.ticker, r.data_referencia, r.variacao) for r in evolution.score_evolution(spark, root).collect()]
+    merge([("A3", 10.0, "C"), (None, 1.0, "C")], "2026-10-01")
+    merge([("A3", 20.0, "C")], "2026-10-02")
+    merge([("A3", 50.0, "C"), (None, 4.0, "C")], "2026-10-03")
+    assert found() == [(None, "2026-10-03", 3.0), (None, "2026-10-01", None), ("A3", "2026-10-03", 30.0),
+                       ("A3", "2026-10-02", 10.0), ("A3", "2026-10-01", None)]
+    merge([], "2026-10-02")
+    assert ("A3", "2026-10-03", 40.0) in found() and len(found()) == 4
+    plan = evolution.score_evolution(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan

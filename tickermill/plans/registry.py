@@ -13,7 +13,7 @@ from tickermill.functions import categories, formatting, guards
 from tickermill.functions.coercion import conform
 from tickermill.operators import magic, peers, scoring
 from tickermill.operators.dedup import not_yet_ingested
-from tickermill.plans import derive, lake, medallion, price_reports, reports, runs
+from tickermill.plans import derive, evolution, lake, medallion, price_reports, reports, runs
 from tickermill.session import scratch_path, stored
 from tickermill.sources import catalog, landing, tables
 from tickermill.streaming import feeds
@@ -434,6 +434,15 @@ def series_coverage(spark: SparkSession, folder: str) -> DataFrame:
     return reports.series_coverage(real, derive.ticks(spark, folder))
 
 
+def score_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """All runs of gold merged one by one; the first comes last, so those after it are brought up to date."""
+    gold, root = GOLD(spark, folder), scratch_path(spark, "evolution")
+    dates = tables.partition_values(spark, schemas.GOLD, lake.warehouse(spark, folder))
+    for date in [*dates[1:], *dates[:1]]:
+        evolution.merge_run(gold.where(F.col("data_referencia") == date), root, date)
+    return evolution.score_evolution(spark, root)
+
+
 QUERIES: dict[str, Query] = {
     "price_sample": price_sample,
     "events_per_day": _prices(price_reports.events_per_day),
@@ -481,6 +490,7 @@ QUERIES: dict[str, Query] = {
     "magic_formula_best": _on(reports.magic_formula_best, GOLD_RUN, SILVER_RUN),
     "flag_screen": _on(reports.flag_screen, GOLD_RUN),
     "score_evolution": _on(reports.score_evolution, GOLD),
+    "score_changes": score_changes,
     "idempotency_check": _on(reports.idempotency_check, SILVER),
     "silver_summary": _on(reports.silver_summary, SILVER, parsed_series),
     "series_coverage": series_coverage,

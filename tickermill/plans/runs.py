@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tickermill import schemas
 from tickermill.functions.guards import blank_to_null
 from tickermill.operators import scoring
-from tickermill.plans import medallion
+from tickermill.plans import evolution, medallion
 from tickermill.sources import catalog, tables
 
 
@@ -33,7 +33,7 @@ GRADES = [letter for _, letter in scoring.GRADES] + [scoring.LOWEST_GRADE, scori
 def run_day(
     spark: SparkSession, envelopes: DataFrame, warehouse: str, run_date: str, database: str | None = None
 ) -> RunSummary:
-    """Bronze, silver, series and gold of one run date, and with `database` their registration and the view.
+    """Bronze, silver, series, gold and score changes of one run date, and with `database` registration and the view.
 
     Of `envelopes`, those of `run_date` and those without a date are taken. A payload is parsed once. All
     writes can be repeated: the same envelopes give the same tables. No envelopes, no change.
@@ -56,6 +56,8 @@ def run_day(
         warehouse,
         {"scored": F.count("score_final"), **{f"nota_{g}": F.count_if(F.col("nota") == g) for g in GRADES}},
     )
+    gold = tables.read_partition(spark, schemas.GOLD, "data_referencia", run_date, warehouse)
+    evolution.merge_run(gold, warehouse, run_date)
     if database is not None:
         touched = {schemas.BRONZE: [run_date], schemas.SILVER: [run_date], schemas.SERIES: dates, schemas.GOLD: [run_date]}
         for name, values in touched.items():
