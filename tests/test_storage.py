@@ -1,5 +1,6 @@
 """Schemas, tables, landing, catalog and streams on temporary folders."""
 
+import hashlib
 import json
 
 import pytest
@@ -153,6 +154,58 @@ def test_top_per_key_limits_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan[partial:] and "Partial" in plan[partial:]
 
 
+def test_stored_envelopes_are_chosen_without_their_payloads(spark, tmp_path, monkeypatch):
+    import random
+
+    from tickermill.operators import dedup
+
+    rng = random.Random(5)
+    some = lambda *values: rng.choice(values)
+    rows = [
+        (some("A3", "B3", "C3", None), some("p1", "p2", None, ""), some(200, 401, None), some("m", None),
+         some("brapi", "x", None), some("t1", "t2", "", None), some("d1", "d2", None))
+        for _ in range(300)
+    ] + [("D3", "same", 200, "m", "brapi", "t", "d1")] * 50
+    df = spark.createDataFrame(rows, ENVELOPE_DDL)
+    path = str(tmp_path / "files")
+    df.repartition(5).write.parquet(path)
+    plans = []
+
+    def watched(frame, purpose):
+        plans.append((purpose, frame._jdf.queryExecution().executedPlan().toString()))
+        return session_stored(frame, purpose)
+
+    session_stored = dedup.stored
+    monkeypatch.setattr(dedup, "stored", watched)
+    files = spark.read.schema(schemas.struct(schemas.BRONZE)).parquet(path)
+    found = medallion.stored_bronze_rows(files).collect()
+    # One row per key, equal to a plain choice over whole rows; ties end in rows that are equal.
+    order = lambda v: (v is not None, v if v is not None else "")
+    digest = lambda t: None if t is None else hashlib.sha256(t.encode()).hexdigest()
+    best = {}
+    for r in rows:
+        value = (r[5] or "", (r[2] is not None, r[2] or 0), *map(order, (digest(r[1]), r[4], r[3], r[5])))
+        if (r[0], r[6]) not in best or value > best[r[0], r[6]][0]:
+            best[r[0], r[6]] = (value, r)
+    assert sorted(map(repr, map(tuple, found))) == sorted(repr(r) for _, r in best.values())
+    assert sorted(map(repr, map(tuple, medallion.bronze_rows(df).select(*schemas.columns(schemas.BRONZE)).collect()))) == sorted(
+        repr(r) for _, r in best.values()
+    )
+    # What decides without payloads reads none; where rows tie, digests are made before anything is shuffled.
+    assert [purpose for purpose, _ in plans] == ["double", "tied", "equal", "superseded"]
+    assert not any("payload_json" in plan for purpose, plan in plans if purpose in ("double", "tied"))
+    for _, plan in plans:
+        assert not any("payload_json" in line for line in plan.splitlines() if "Exchange" in line)
+
+
+def test_envelopes_without_rivals_are_not_compared(spark, tmp_path):
+    path = str(tmp_path / "files")
+    envelopes(spark, [("A3", "x", "t1", "d"), ("B3", "y", "t1", "d"), ("B3", "z", "t2", "d")]).write.parquet(path)
+    files = spark.read.schema(schemas.struct(schemas.BRONZE)).parquet(path)
+    assert rows_of(medallion.stored_bronze_rows(files), "ticker", "payload_json") == [("A3", "x"), ("B3", "z")]
+    assert medallion.stored_bronze_rows(files.where("ticker = 'none'")).count() == 0
+
+
 # --- landing ------------------------------------------------------------------------------
 
 def test_landing_round_trip_and_source_switch(spark, tmp_path):
@@ -417,6 +470,42 @@ def test_the_view_reads_one_partition(spark, tmp_path, universe):
     assert plan.count("PartitionFilters: [isnotnull(data_coleta") == 1 and "2026-10-05" in plan and "max(" not in plan
 
 
+def test_runs_stored_by_ticker_are_joined_without_a_shuffle(spark, tmp_path, universe):
+    from conftest import asset
+
+    root = str(tmp_path / "lake")
+    spark.sql(f"CREATE DATABASE by_ticker LOCATION '{tmp_path / 'db'}'")
+    days = ("2026-10-01", "2026-10-08")
+    silver = universe([asset(f"T{k}", data_coleta=day, roe=0.01 * k) for day in days for k in range(1, 30)])
+    tables.write_table(silver, schemas.SILVER, root)
+    silver = tables.read_table(spark, schemas.SILVER, root)
+    tables.write_table(medallion.gold_rows(silver), schemas.GOLD, root)
+    gold = tables.read_table(spark, schemas.GOLD, root)
+    for day in (*days, days[1]):  # a run stored again replaces itself
+        catalog.store_bucketed_run(silver, schemas.SILVER, root, day, 4, "by_ticker")
+        catalog.store_bucketed_run(gold, schemas.GOLD, root, day, 4, "by_ticker")
+    assert spark.table(schemas.bucketed(schemas.SILVER, "by_ticker")).count() == 58
+    run = {name: catalog.read_bucketed_run(spark, name, days[1], "by_ticker") for name in (schemas.SILVER, schemas.GOLD)}
+    plain = {name: tables.latest_partition(spark, name, root) for name in run}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for runs too large to be broadcast
+    try:
+        for report in (
+            lambda i, g: reports.dashboard_extract(g, i),
+            lambda i, g: reports.magic_formula_best(g, i),
+            lambda i, g: reports.screener_listing(catalog.screener(i, g)),
+        ):
+            joined = report(run[schemas.SILVER], run[schemas.GOLD])
+            assert joined.collect() == report(plain[schemas.SILVER], plain[schemas.GOLD]).collect()
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+            assert "Exchange hashpartitioning" not in plan and "SelectedBucketsCount: 4 out of 4" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    with pytest.raises(ValueError, match="positive"):
+        schemas.create_bucketed_sql(schemas.GOLD, root, 0)
+
+
 # --- runs ---------------------------------------------------------------------------------
 
 def quote_text(quote, **changes):
@@ -434,13 +523,14 @@ def test_one_call_makes_a_run(spark, tmp_path, quote):
     rows = [("PETR4", text, "t1", "2026-10-01"), ("PETR4 ", "{}", "t0", "2026-10-01"), ("B3SA3", None, "t1", None),
             ("VALE3", text, "t1", "2026-10-02")]
     made = envelopes(spark, rows)
-    first = runs.run_day(spark, made, root, "2026-10-01", "daily")
+    first = runs.run_day(spark, made, root, "2026-10-01", "daily", buckets=2)
     assert (first.envelopes, first.rows, first.eligible, first.sessions) == (3, 2, 1, 30)
     assert first.scored == sum(n for grade, n in first.grades.items() if grade != "SD") == 1
     assert list(first.grades) == ["A", "B", "C", "D", "E", "SD"] and first.grades["SD"] == 1
     table = lambda name: spark.table(schemas.qualified(name, "daily"))
     assert rows_of(table(schemas.GOLD), "ticker") == [("B3SA3",), ("PETR4",)]
     assert table(schemas.SERIES).count() == 30
+    assert catalog.read_bucketed_run(spark, schemas.GOLD, "2026-10-01", "daily").count() == 2
     # The same again, and the next day: earlier runs stay, the view shows the newest.
     assert runs.run_day(spark, made, root, "2026-10-01", "daily") == first
     runs.run_day(spark, made, root, "2026-10-02", "daily")

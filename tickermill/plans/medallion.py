@@ -9,7 +9,7 @@ from tickermill import schemas
 from tickermill.functions import indicators, series
 from tickermill.functions.categories import with_categories
 from tickermill.functions.coercion import conform
-from tickermill.operators.dedup import latest_envelopes, top_per_key
+from tickermill.operators.dedup import latest_envelopes, latest_stored_envelopes, top_per_key, with_places
 from tickermill.operators.scoring import score_universe
 from tickermill.session import stored
 
@@ -22,6 +22,11 @@ def bronze_rows(envelopes: DataFrame) -> DataFrame:
     return latest_envelopes(conform(envelopes, schemas.BRONZE))
 
 
+def stored_bronze_rows(envelopes: DataFrame) -> DataFrame:
+    """`bronze_rows` of envelopes that are read from Parquet files, where the payloads stay in place."""
+    return latest_stored_envelopes(with_places(envelopes)).select(*schemas.columns(schemas.BRONZE))
+
+
 def silver_rows(bronze: DataFrame, run_date: str = "") -> DataFrame:
     """Typed indicators, one row per run and normalised ticker: the newest collection wins."""
     return _newest_of(indicators.indicators(bronze, run_date))

@@ -23,6 +23,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The `_split` queries deal small tables into so many value ranges that most groups are cut, as large
 # groups are in large tables.
 SPLIT = {"ranges": 64}
+# Files of a run that is stored by ticker.
+BUCKETS = 8
 
 
 def _stored(name: str) -> Query:
@@ -147,7 +149,8 @@ def display_labels(spark: SparkSession, folder: str) -> DataFrame:
 # --- bronze and silver --------------------------------------------------------------------
 
 def bronze_latest(spark: SparkSession, folder: str) -> DataFrame:
-    bronze = medallion.bronze_rows(derive.envelopes(spark, folder))
+    """Newest collections of stored envelopes, chosen without their payloads."""
+    bronze = medallion.stored_bronze_rows(stored(derive.envelopes(spark, folder), "collected"))
     return bronze.select(
         "ticker",
         "http_status",
@@ -379,9 +382,7 @@ def series_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_table(spark, schemas.SERIES, root)
 
 
-def _registered(spark: SparkSession, folder: str) -> str:
-    """Database with the stored layers registered as external tables."""
-    root = lake.warehouse(spark, folder)
+def _database(spark: SparkSession, folder: str) -> str:
     # One database per application and folder: a shared catalog may know older locations.
     *_, app, digest = lake.scratch(spark, folder, "").rstrip("/").split("/")
     database = f"lake_{digest}_{app}".replace("-", "_")
@@ -389,11 +390,34 @@ def _registered(spark: SparkSession, folder: str) -> str:
         f"CREATE DATABASE IF NOT EXISTS {database} "
         f"LOCATION '{lake.scratch(spark, folder, 'database')}'"
     )
+    return database
+
+
+def _registered(spark: SparkSession, folder: str) -> str:
+    """Database with the stored layers registered as external tables."""
+    root, database = lake.warehouse(spark, folder), _database(spark, folder)
     for name in (schemas.SILVER, schemas.GOLD):
         catalog.register_table(spark, name, root, database)
     return database
 
 
+def _by_ticker(name: str) -> Query:
+    """The newest run of a layer, stored by ticker when it is first asked for."""
+
+    def read(spark: SparkSession, folder: str) -> DataFrame:
+        root, database = lake.warehouse(spark, folder), _database(spark, folder)
+        run = tables.partition_values(spark, name, root)[-1]
+        if not spark.catalog.tableExists(schemas.bucketed(name, database)):
+            newest = tables.latest_partition(spark, name, root)
+            catalog.store_bucketed_run(newest, name, root, run, BUCKETS, database)
+        return catalog.read_bucketed_run(spark, name, run, database)
+
+    return read
+
+
+SILVER_BY_TICKER, GOLD_BY_TICKER = _by_ticker(schemas.SILVER), _by_ticker(schemas.GOLD)
+
+
 def catalog_census(spark: SparkSession, folder: str) -> DataFrame:
     """The run census as SQL text over the registered table."""
     gold = schemas.qualified(schemas.GOLD, _registered(spark, folder))
@@ -416,14 +440,14 @@ def _settled_screener(df: DataFrame) -> DataFrame:
 
 
 def screener_listing(spark: SparkSession, folder: str) -> DataFrame:
-    rows = catalog.screener(SILVER_RUN(spark, folder), GOLD_RUN(spark, folder))
+    rows = catalog.screener(SILVER_BY_TICKER(spark, folder), GOLD_BY_TICKER(spark, folder))
     return reports.screener_listing(_settled_screener(rows))
 
 
 # --- reports ------------------------------------------------------------------------------
 
 def dashboard_extract(spark: SparkSession, folder: str) -> DataFrame:
-    rows = reports.dashboard_extract(GOLD_RUN(spark, folder), SILVER_RUN(spark, folder))
+    rows = reports.dashboard_extract(GOLD_BY_TICKER(spark, folder), SILVER_BY_TICKER(spark, folder))
     return rows.withColumn("liquidez_2meses", F.round("liquidez_2meses", 2))
 
 
@@ -487,7 +511,7 @@ QUERIES: dict[str, Query] = {
     "provenance": _on(reports.provenance, SILVER_RUN),
     "below_graham": _on(reports.below_graham, GOLD_RUN),
     "below_bazin": _on(reports.below_bazin, GOLD_RUN),
-    "magic_formula_best": _on(reports.magic_formula_best, GOLD_RUN, SILVER_RUN),
+    "magic_formula_best": _on(reports.magic_formula_best, GOLD_BY_TICKER, SILVER_BY_TICKER),
     "flag_screen": _on(reports.flag_screen, GOLD_RUN),
     "score_evolution": _on(reports.score_evolution, GOLD),
     "score_changes": score_changes,

@@ -31,10 +31,17 @@ GRADES = [letter for _, letter in scoring.GRADES] + [scoring.LOWEST_GRADE, scori
 
 
 def run_day(
-    spark: SparkSession, envelopes: DataFrame, warehouse: str, run_date: str, database: str | None = None
+    spark: SparkSession,
+    envelopes: DataFrame,
+    warehouse: str,
+    run_date: str,
+    database: str | None = None,
+    buckets: int | None = None,
 ) -> RunSummary:
     """Bronze, silver, series, gold and score changes of one run date, and with `database` registration and the view.
 
+    With `buckets` as well, the run's silver and gold are also stored by ticker (`catalog.store_bucketed_run`).
+
     Of `envelopes`, those of `run_date` and those without a date are taken. A payload is parsed once. All
     writes can be repeated: the same envelopes give the same tables. No envelopes, no change.
     """
@@ -63,6 +70,9 @@ def run_day(
         for name, values in touched.items():
             catalog.register_table(spark, name, warehouse, database, values)
         catalog.create_screener_view(spark, database)
+        if buckets is not None:
+            for name, layer in ((schemas.SILVER, silver), (schemas.GOLD, gold)):
+                catalog.store_bucketed_run(layer, name, warehouse, run_date, buckets, database)
     grades = {g: graded[f"nota_{g}"] for g in GRADES}
     return RunSummary(run_date, collected, rows["n"], rows["eligible"], sessions, graded["scored"], grades)
 

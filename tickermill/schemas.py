@@ -264,3 +264,25 @@ def create_table_sql(
         f"CREATE TABLE IF NOT EXISTS {qualified(name, database)} ({ddl(name)})\n"
         f"USING parquet\n{partitioned}LOCATION '{location(name, warehouse)}'"
     )
+
+
+# Tables of one row per run and ticker that are joined with each other run by run.
+BUCKET_COLUMN = "ticker"
+
+
+def bucketed(name: str, database: str = DEFAULT_DATABASE) -> str:
+    """Name of the table's bucketed copy."""
+    return f"{qualified(name, database)}_por_{BUCKET_COLUMN}"
+
+
+def create_bucketed_sql(name: str, warehouse: str, buckets: int, database: str = DEFAULT_DATABASE) -> str:
+    """External Parquet table in which each run lies in `buckets` files by ticker."""
+    if buckets < 1:
+        raise ValueError(f"buckets must be positive, not {buckets}")
+    folder = f"{location(name, warehouse).rstrip('/')}_por_{BUCKET_COLUMN}/"
+    return (
+        f"CREATE TABLE IF NOT EXISTS {bucketed(name, database)} ({ddl(name)})\n"
+        f"USING parquet\nPARTITIONED BY ({', '.join(partition_columns(name))})\n"
+        f"CLUSTERED BY ({BUCKET_COLUMN}) SORTED BY ({BUCKET_COLUMN}) INTO {buckets} BUCKETS\n"
+        f"LOCATION '{folder}'"
+    )

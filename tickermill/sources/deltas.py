@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from tickermill import schemas
 from tickermill.functions.coercion import conform
-from tickermill.operators.dedup import top_per_key
-from tickermill.sources.tables import exists, read_table, upsert_table
+from tickermill.operators.dedup import first_in_place, with_places
+from tickermill.session import stored
+from tickermill.sources.tables import exists, read_table, touched_rows, write_table
 
 
 def _folder(name: str, warehouse: str) -> str:
@@ -41,18 +42,28 @@ def _changes(spark: SparkSession, name: str, folders: list[str]) -> DataFrame:
     return spark.read.schema(schemas.struct(name)).parquet(*folders)
 
 
-def read_current(spark: SparkSession, name: str, warehouse: str, newest: list[Column]) -> DataFrame:
-    """The table with its pending changes: the first row per key in the order `newest`."""
+def _merged(
+    changes: DataFrame, kept: DataFrame | None, name: str, values: list[Column], ties: list[Column]
+) -> DataFrame:
+    """The first row per key of both, chosen where the rows lie."""
+    placed = with_places(changes)
+    if kept is not None:
+        placed = placed.unionByName(with_places(kept))
+    return first_in_place(placed, schemas.key_columns(name), values, ties)
+
+
+def read_current(
+    spark: SparkSession, name: str, warehouse: str, values: list[Column], ties: list[Column]
+) -> DataFrame:
+    """The table with its pending changes: per key the row with the largest `values`, then `ties`."""
     folders = pending(spark, name, warehouse)
     if not folders:
         return read_table(spark, name, warehouse)
-    both = _changes(spark, name, folders)
-    if exists(spark, name, warehouse):
-        both = both.unionByName(read_table(spark, name, warehouse))
-    return top_per_key(both, schemas.key_columns(name), newest).drop("posicao")
+    kept = read_table(spark, name, warehouse) if exists(spark, name, warehouse) else None
+    return _merged(_changes(spark, name, folders), kept, name, values, ties)
 
 
-def compact(spark: SparkSession, name: str, warehouse: str, newest: list[Column]) -> int:
+def compact(spark: SparkSession, name: str, warehouse: str, values: list[Column], ties: list[Column]) -> int:
     """Fold the pending changes into the partitions they touch, remove them, return the rows written.
 
     Batches that arrive meanwhile stay for the next time. If it stops between the two steps, the next
@@ -61,7 +72,10 @@ def compact(spark: SparkSession, name: str, warehouse: str, newest: list[Column]
     folders = pending(spark, name, warehouse)
     if not folders:
         return 0
-    written = upsert_table(_changes(spark, name, folders), name, warehouse, newest)
+    changes = _changes(spark, name, folders)
+    kept = touched_rows(changes, name, warehouse) if exists(spark, name, warehouse) else None
+    # Staged, as a scan of the table cannot be written over it; a write that fails can be repeated from there.
+    written = write_table(stored(_merged(changes, kept, name, values, ties), "staged"), name, warehouse)
     for folder in folders:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickermill import schemas
 from tickermill.functions.coercion import conform
-from tickermill.operators.dedup import newest_envelope_first
+from tickermill.operators.dedup import newest_envelope_ties, newest_envelope_values
 from tickermill.plans.medallion import bronze_rows
 from tickermill.session import stored
 from tickermill.sources.deltas import append_delta, compact, read_current
@@ -155,8 +155,10 @@ def ingest_newest_envelopes(
     """
     messages = _whole_numbers(well_formed(_json_stream(spark, folder, schemas.BRONZE, files_per_batch)), schemas.BRONZE)
     # The order of `newest_envelope_first`: NULL is the smallest member of a struct.
+    values = {f"_v{i}": v for i, v in enumerate([*newest_envelope_values(), *newest_envelope_ties()])}
     newest = F.struct(
-        F.coalesce("coletado_em", F.lit("")), "http_status", "payload_json", "fonte", "coletado_em", "modulos_solicitados"
+        *[value.alias(name) for name, value in values.items()],
+        "http_status", "payload_json", "fonte", "coletado_em", "modulos_solicitados",
     )
     day = F.coalesce(F.col("data_coleta").try_cast("timestamp"), F.current_timestamp())
     held = (
@@ -165,6 +167,7 @@ def ingest_newest_envelopes(
         .groupBy("ticker", "data_coleta", F.window("_day", "1 day"))
         .agg(F.max(newest).alias("_newest"))
         .select("ticker", "data_coleta", "_newest.*")
+        .drop(*values)
     )
     return (
         held.writeStream.outputMode("update")
@@ -177,12 +180,12 @@ def ingest_newest_envelopes(
 
 def current_envelopes(spark: SparkSession, warehouse: str) -> DataFrame:
     """Bronze with the batches that have come in since it was last compacted; the newest collection wins."""
-    return read_current(spark, schemas.BRONZE, warehouse, newest_envelope_first())
+    return read_current(spark, schemas.BRONZE, warehouse, newest_envelope_values(), newest_envelope_ties())
 
 
 def compact_envelopes(spark: SparkSession, warehouse: str) -> int:
     """Merge the batches taken in into bronze: once a run, over the days they touch. Rows written."""
-    return compact(spark, schemas.BRONZE, warehouse, newest_envelope_first())
+    return compact(spark, schemas.BRONZE, warehouse, newest_envelope_values(), newest_envelope_ties())
 
 
 def load_bronze(
