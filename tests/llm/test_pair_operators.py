@@ -140,6 +140,41 @@ def test_quantisation_bound_holds():
     assert (np.abs(near - unit @ unit.T) <= bound + 1e-12).all()
 
 
+@pytest.mark.parametrize("threshold", [0.95, 0.3, 0.001, -0.5])
+def test_open_pairs_are_those_whose_bound_reaches_the_threshold(monkeypatch, threshold):
+    monkeypatch.setattr(embeddings, "STRIP", 16)
+    draw = np.random.default_rng(9)
+    unit = draw.normal(size=(200, 32)) * np.exp(draw.choice([0.1, 2.5], (200, 1)) * draw.normal(size=(200, 32)))
+    unit[150:] = unit[:50] + 0.02 * draw.normal(size=(50, 32))
+    unit[0] = np.eye(32)[3]
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    q, s, e = embeddings.quantise(unit)
+    near = (q.astype(float) @ q.astype(float).T) * s[:, None] * s[None, :]
+    bound = near + e[:, None] + (1 + e)[:, None] * e[None, :] + embeddings.ROUNDING
+    found = set(zip(*(v.tolist() for v in embeddings.open_pairs((q, s, e), (q, s, e), threshold))))
+    assert found == set(zip(*(v.tolist() for v in np.nonzero(bound >= threshold))))
+    assert found >= set(zip(*(v.tolist() for v in np.nonzero(unit @ unit.T >= threshold))))
+
+
+def test_tiles_get_codes_and_only_open_vectors_in_full(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "BLOCK", 25)
+    tables, written = {}, embeddings.stored
+    monkeypatch.setattr(embeddings, "stored", lambda df, name: tables.setdefault(name, written(df, name)))
+    draw = np.random.default_rng(4)
+    vectors = draw.normal(size=(200, 48))
+    vectors[100] = vectors[7] + 0.01 * draw.normal(size=48)
+    rows = [(k, [float(x) for x in v]) for k, v in enumerate(vectors)]
+    rows.append((7, [float(x) for x in vectors[50]]))  # an id with another vector, and a copy of vector 50
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = [r for r in embeddings.near_duplicates(df).collect() if r.n_links]
+    assert sorted((r.vec_id, r.n_links) for r in out) == [(7, 1), (7, 1), (50, 1), (100, 1)]
+    codes = tables["codes"]
+    assert [f.dataType.simpleString() for f in codes.schema] == ["int", "bigint", "bigint", "bigint", "binary", "double", "double"]
+    assert {len(r.code) for r in codes.collect()} == {48}
+    opened = tables["open"].join(tables["classes"], "cls").collect()
+    assert {(r.rep, r.copies) for r in opened} == {(7, 1), (100, 1)}
+
+
 # --- op7 ----------------------------------------------------------------------------------
 
 

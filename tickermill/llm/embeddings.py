@@ -1,14 +1,15 @@
 """Near-duplicate embeddings: int8 tile products with error bounds, exact recomputation of what they leave open.
 
-Every vector becomes a unit vector u, quantised as u = s q + e with q in int8 and a known error |e|. For
+Every vector becomes a unit vector u, quantised once as u = s q + e with q in int8 and a known error |e|. For
 two vectors, u.v differs from s_u s_v q_u.q_v by at most |e_u| |v| + |s_u q_u| |e_v|, so a pair whose
-approximate product plus this bound stays below the threshold cannot link. Only the other pairs are
-computed in double precision, inside the same tile.
+approximate product plus this bound stays below the threshold cannot link.
 
 Equal vectors are one class. The classes are dealt into blocks of about BLOCK; a task multiplies two
-blocks in strips and returns, for every class, the number of links it has there and the smallest id that
-the tile's links reach: rows grow with the vectors of a tile, never with its pairs. The work is
-quadratic in the number of different vectors, as every pair has to be bounded.
+blocks in strips. Codes, scales and errors alone travel to all tiles, a byte a component; what
+comes back are the vectors of a tile that have an open pair there. Only these are sent to the tile once
+more in double precision, where their open pairs are computed exactly. That gives, for every class, the number of
+links it has there and the smallest id that the tile's links reach: rows grow with the vectors of a tile, never
+with its pairs. The work is quadratic in the number of different vectors, as every pair has to be bounded.
 """
 
 from __future__ import annotations
@@ -36,22 +37,68 @@ def quantise(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def open_pairs(a: tuple, b: tuple, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of two quantised blocks whose product may reach the threshold."""
+    """Rows of two quantised blocks whose product may reach the threshold.
+
+    Columns of like scale are taken together: one comparison with a limit for each row, made of the strip's
+    largest scale and error, leaves few pairs, and those are held against their own bound.
+    """
     (qa, sa, ea), (qb, sb, eb) = a, b
     # Sums of int8 products are whole numbers below 2^24 here, so single precision holds them exactly.
     wide = np.float32 if qa.shape[1] <= 1024 else np.float64
-    near = (qa.astype(wide) @ qb.astype(wide).T).astype(np.float64, copy=False) * sa[:, None]
-    near *= sb[None, :]
-    bound = ea[:, None] + (1 + ea)[:, None] * eb[None, :] + ROUNDING
-    return np.nonzero(near + bound >= threshold)
+    left, columns = qa.astype(wide), np.argsort(sb, kind="stable")
+    found = [np.zeros((2, 0), np.int64)]
+    for start in range(0, len(columns), STRIP):
+        strip = columns[start : start + STRIP]
+        product = left @ qb[strip].astype(wide).T
+        need = threshold - ea - (1 + ea) * eb[strip].max() - ROUNDING
+        # One less, so that rounding hides no open pair; without a positive limit all pairs stay.
+        limit = np.where(need > 0, need / (sa * sb[strip].max()) - 1, -np.inf)
+        x, y = np.nonzero(product >= limit.astype(wide)[:, None])
+        near = product[x, y].astype(np.float64) * sa[x] * sb[strip[y]]
+        keep = near + ea[x] + (1 + ea[x]) * eb[strip[y]] + ROUNDING >= threshold
+        found.append(np.stack([x[keep], strip[y[keep]]]))
+    return tuple(np.concatenate(found, axis=1))
+
+
+def _scaled(vectors) -> np.ndarray:
+    """Vectors by a power of two, which leaves every cosine as it is and keeps squares in the range of doubles."""
+    raw = np.stack([np.asarray(v, np.float64) for v in vectors])
+    return np.ldexp(raw, -np.frexp(np.abs(raw).max(axis=1))[1][:, None])
+
+
+def _code(batches):
+    """Codes of each class, quantised where it lies."""
+    for rows in batches:
+        for _, part in rows.groupby("width"):
+            raw = _scaled(part.vector)
+            q, s, e = quantise(raw / np.linalg.norm(raw, axis=1, keepdims=True))
+            codes = {"code": [row.tobytes() for row in q], "scale": s, "error": e}
+            yield part[["width", "n", "own", "cls"]].assign(**codes)
+
+
+def _open(threshold: float):
+    """Of a tile of codes, the vectors that have an open pair in it."""
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        q = np.frombuffer(b"".join(rows.code), np.int8).reshape(len(rows), -1)
+        s, e, own = (rows[c].to_numpy() for c in ("scale", "error", "own"))
+        i, j = rows.i.iat[0], rows.j.iat[0]
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        found = np.zeros(len(rows), bool)
+        for start in range(0, len(left), STRIP):
+            strip = left[start : start + STRIP]
+            x, y = open_pairs((q[strip], s[strip], e[strip]), (q[right], s[right], e[right]), threshold)
+            x, y = strip[x], right[y]
+            found[x[x != y]] = found[y[x != y]] = True
+        return pd.DataFrame({"width": rows.width.iat[0], "i": i, "j": j, "cls": rows.cls.to_numpy()[found]})
+
+    return compare
 
 
 def _tile(threshold: float):
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         ids, times = rows.rep.to_numpy(), rows.copies.to_numpy()
-        raw = np.stack([np.asarray(v, np.float64) for v in rows.vector])
-        # By a power of two, which leaves every cosine as it is and keeps squares in the range of doubles.
-        raw = np.ldexp(raw, -np.frexp(np.abs(raw).max(axis=1))[1][:, None])
+        raw = _scaled(rows.vector)
         unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
         own, i, j = (rows[c].to_numpy() for c in ("own", "i", "j"))
         left, right = np.flatnonzero(own == i[0]), np.flatnonzero(own == j[0])
@@ -75,7 +122,8 @@ def _tile(threshold: float):
         tree = trees(np.concatenate(joined))
         least = dict(zip(tree[:, 1], tree[:, 0]))
         has = np.flatnonzero(links)
-        return pd.DataFrame({"rep": ids[has], "links": links[has], "least": [least.get(k, k) for k in ids[has]]})
+        out = {"cls": rows.cls.to_numpy()[has], "rep": ids[has], "links": links[has]}
+        return pd.DataFrame({**out, "least": [least.get(k, k) for k in ids[has]]})
 
     return compare
 
@@ -108,27 +156,38 @@ def near_duplicates(
     classes = stored(
         keyed.where("vector is not null")
         .groupBy("key")
-        .agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("vector").alias("vector")),
+        .agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("vector").alias("vector"))
+        # Written once, so the numbers stay; an id that is repeated with another vector stands for two classes.
+        .withColumn("cls", F.monotonically_increasing_id()),
         "classes",
     )
     lengths = classes.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("n"))
     sized = classes.withColumn("width", F.size("vector")).join(stored(lengths, "widths"), "width")
     blocks = F.ceil(F.col("n") / BLOCK)
-    dealt = (
-        sized.withColumn("own", F.pmod(F.xxhash64("key"), blocks))
+    sized = sized.withColumn("own", F.pmod(F.xxhash64("key"), blocks))
+    coded = sized.select("width", "n", "own", "cls", "vector").mapInPandas(
+        _code, "width int, n long, own long, cls long, code binary, scale double, error double"
+    )
+    tiles = (
+        stored(coded, "codes")
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
         .withColumn("i", F.least("own", "other"))
         .withColumn("j", F.greatest("own", "other"))
-        .select("width", "i", "j", "own", "rep", "copies", "vector")
+        .drop("n", "other")
     )
     order = ["width", "i", "j"]
+    opened = tiles.repartition(*order).sortWithinPartitions(*order).mapInPandas(
+        by_run(order, _open(threshold), pd.concat), "width int, i long, j long, cls long"
+    )
+    chosen = sized.select("cls", "own", "rep", "copies", "vector")
+    dealt = stored(opened, "open").join(chosen, "cls").select(*order, "own", "cls", "rep", "copies", "vector")
     found = dealt.repartition(*order).sortWithinPartitions(*order).mapInPandas(
-        by_run(order, _tile(threshold), pd.concat), "rep long, links long, least long"
+        by_run(order, _tile(threshold), pd.concat), "cls long, rep long, links long, least long"
     )
     found = stored(found, "tiles")
     grown = components(found.where("rep != least").select(F.col("least").alias("a"), F.col("rep").alias("b")))
-    counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    resolved = classes.select("key", "rep", "copies").join(counts, "rep", "left")
+    counts = found.groupBy("cls").agg(F.sum("links").alias("links"))
+    resolved = classes.select("key", "cls", "rep", "copies").join(counts, "cls", "left")
     resolved = resolved.join(grown, resolved.rep == grown.id, "left").select(
         "key",
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
