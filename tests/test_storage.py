@@ -109,6 +109,22 @@ def test_a_cluster_without_a_shared_folder_is_refused():
         shared_dir(cluster)
 
 
+def test_session_factory_sets_what_results_rest_on(spark):
+    from tickermill.session import RESULT_SETTINGS, create_session
+
+    before = {key: spark.conf.get(key) for key in (*RESULT_SETTINGS, "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        made = create_session("factory", **{"spark.sql.shuffle.partitions": "7"})
+        assert made.sparkContext.applicationId == spark.sparkContext.applicationId
+        for key, value in {**RESULT_SETTINGS, "spark.sql.adaptive.enabled": "true", "spark.sql.shuffle.partitions": "7"}.items():
+            assert made.conf.get(key) == value
+        assert made.sql("SELECT CAST(TIMESTAMP_SECONDS(0) AS STRING)").first()[0] == "1970-01-01 00:00:00"
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_stored_tables_are_cleared_with_the_application_only(spark, tmp_path, monkeypatch):
     from tickermill import session
 
