@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickermill import schemas
 from tickermill.plans import derive, medallion
-from tickermill.session import shared_dir
+from tickermill.session import shared_dir, stored
 from tickermill.sources import tables
 
 _built: dict[tuple[str, str], str] = {}
 _parsed: dict[tuple[str, str], DataFrame] = {}
+_collected: dict[tuple[str, str], DataFrame] = {}
 
 
 def scratch(spark: SparkSession, folder: str, purpose: str) -> str:
@@ -21,6 +22,14 @@ def scratch(spark: SparkSession, folder: str, purpose: str) -> str:
     return f"{shared_dir(spark)}/tickermill/{spark.sparkContext.applicationId}/{digest}/{purpose}"
 
 
+def collected(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw envelopes as they were collected, repeated collections included, stored once."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _collected:
+        _collected[key] = stored(derive.envelopes(spark, folder), "collected")
+    return _collected[key]
+
+
 def warehouse(spark: SparkSession, folder: str) -> str:
     """Warehouse with bronze, silver, series and gold derived from the tables in `folder`.
 
@@ -30,7 +39,7 @@ def warehouse(spark: SparkSession, folder: str) -> str:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _built:
         root = scratch(spark, folder, "warehouse")
-        bronze = medallion.bronze_rows(derive.envelopes(spark, folder))
+        bronze = medallion.stored_bronze_rows(collected(spark, folder))
         tables.write_table(bronze, schemas.BRONZE, root)
         _parsed[key], _ = medallion.parsed(tables.read_table(spark, schemas.BRONZE, root))
         tables.write_table(medallion.silver_of(_parsed[key]), schemas.SILVER, root)

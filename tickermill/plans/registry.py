@@ -150,7 +150,7 @@ def display_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 def bronze_latest(spark: SparkSession, folder: str) -> DataFrame:
     """Newest collections of stored envelopes, chosen without their payloads."""
-    bronze = medallion.stored_bronze_rows(stored(derive.envelopes(spark, folder), "collected"))
+    bronze = medallion.stored_bronze_rows(lake.collected(spark, folder))
     return bronze.select(
         "ticker",
         "http_status",
@@ -207,7 +207,7 @@ def run_day(spark: SparkSession, folder: str) -> DataFrame:
     root, database = scratch_path(spark, "runs"), f"runs_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'database')}'")
     dates = tables.partition_values(spark, schemas.BRONZE, lake.warehouse(spark, folder))
-    envelopes = stored(derive.envelopes(spark, folder).where(F.col("data_coleta").isin(dates[-2:])), "collected")
+    envelopes = lake.collected(spark, folder).where(F.col("data_coleta").isin(dates[-2:]))
     for date in (dates[-1], dates[-2]):
         runs.run_day(spark, envelopes, root, date, database)
     return reports.run_census(spark.table(schemas.qualified(schemas.GOLD, database)))
@@ -265,7 +265,7 @@ def ingest_guard(spark: SparkSession, folder: str) -> DataFrame:
 def landing_replay(spark: SparkSession, folder: str) -> DataFrame:
     """Envelopes written as raw JSON, replayed into a bronze of their own, counted per run."""
     zone, root = scratch_path(spark, "landing"), scratch_path(spark, "replayed")
-    landing.write_landing(derive.envelopes(spark, folder), zone)
+    landing.write_landing(lake.collected(spark, folder), zone)
     feeds.load_bronze(spark, landing.REPLAY, zone, root)
     return _bronze_summary(tables.read_table(spark, schemas.BRONZE, root))
 
@@ -331,7 +331,7 @@ def latest_with_dateless(spark: SparkSession, folder: str) -> DataFrame:
 def envelope_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Envelopes as JSON files, taken in by several micro-batches and merged into bronze once."""
     inbox, root = scratch_path(spark, "envelope_inbox"), scratch_path(spark, "streamed")
-    batch = derive.envelopes(spark, folder)
+    batch = lake.collected(spark, folder)
     batch.repartition(3, "coletado_em", "ticker").write.mode("overwrite").json(inbox)
     feeds.ingest_envelopes(
         spark, inbox, root, scratch_path(spark, "envelope_offsets"), files_per_batch=2
@@ -345,7 +345,7 @@ def envelope_state(spark: SparkSession, folder: str) -> DataFrame:
     restart, read together with what is stored."""
     inbox, root = scratch_path(spark, "state_inbox"), scratch_path(spark, "state_bronze")
     offsets = scratch_path(spark, "state_offsets")
-    rows = stored(derive.envelopes(spark, folder), "collected")
+    rows = lake.collected(spark, folder)
     late = F.col("coletado_em").endswith("T18:00:00+00:00")
     for part in (rows.where(late & (F.length("ticker") % 2 == 0)), rows.where(~late), rows):
         part.write.mode("append").json(inbox)
