@@ -104,10 +104,11 @@ def fit(docs: DataFrame, labels: DataFrame, label_column: str = "quality", folds
     total = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     chosen = training.sample(known, "label", SAMPLE)
 
-    @F.pandas_udf("at array<int>, count array<int>")
+    # As bytes, which reach the driver as they are and not as lists of objects.
+    @F.pandas_udf("at binary, count binary")
     def features(texts: pd.Series) -> pd.DataFrame:
         pairs = [np.unique(buckets(t), return_counts=True) for t in texts]
-        return pd.DataFrame({"at": [p[0] for p in pairs], "count": [p[1] for p in pairs]})
+        return pd.DataFrame({name: [p[k].astype("<i4").tobytes() for p in pairs] for k, name in enumerate(("at", "count"))})
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # The chosen ids are 2 * SAMPLE at most, so they go to the documents and not the other way round;
@@ -115,7 +116,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_column: str = "quality", folds
     sampled = training.one_text(texts.join(F.broadcast(chosen), "doc_id"), ["doc_id", "label"])
     rows = sampled.select("doc_id", "label", features("text").alias("f")).toPandas()
     rows = rows.sort_values("doc_id", kind="stable")
-    trained = [(np.asarray(f["at"]), np.asarray(f["count"]), label) for f, label in zip(rows.f, rows.label)]
+    trained = [
+        (np.frombuffer(f["at"], "<i4"), np.frombuffer(f["count"], "<i4"), label) for f, label in zip(rows.f, rows.label)
+    ]
     count = sum(total.values())
     return train(trained, total.get(1, 0) / count if count else 0.5)
 
