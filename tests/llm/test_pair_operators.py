@@ -6,7 +6,9 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 from .llm_brute import smallest_reachable
 
 from tickermill.llm import decontamination, embeddings, minhash, words
@@ -92,6 +94,56 @@ def test_a_crowd_that_shares_a_band_is_compared_in_tiles(frame, monkeypatch):
     assert out == label
 
 
+def passage_crowd(n, seed=11):
+    """Texts that share a long passage, so that they meet in many bands, but link with nothing; and two that link."""
+    draw = random.Random(seed)
+    passage = [f"p{k}" for k in range(60)]
+    rows = [" ".join(passage + [f"u{draw.random()}" for _ in range(14)]) for _ in range(n)]
+    return [(i, text, None) for i, text in enumerate([*rows, rows[n // 2] + " last"])]
+
+
+def test_a_crowd_that_meets_in_many_bands_is_listed_once(frame, monkeypatch):
+    tiles, listed = minhash._tiles, []
+
+    def counted(members, *rest):
+        listed.append(members.count())
+        return tiles(members, *rest)
+
+    monkeypatch.setattr(minhash, "_tiles", counted)
+    monkeypatch.setattr(minhash, "TILE", 50)
+    rows = passage_crowd(200)
+    out = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame(rows)).collect()}
+    assert out == {i: min(i, 100) if i == 200 else i for i in range(201)}
+    assert listed[0] <= 2 * len(rows)
+
+
+@pytest.mark.parametrize("crowd,tile", [(2, 8), (8, 16), (30, 1024)])
+def test_crowds_and_bands_of_their_own_lose_no_link(frame, monkeypatch, crowd, tile):
+    monkeypatch.setattr(minhash, "CROWD", crowd)
+    monkeypatch.setattr(minhash, "TILE", tile)
+    rows = near_copies(13, groups=6, members=40)
+    rows += [(len(rows) + i, text, lang) for i, text, lang in passage_crowd(60)]
+    _, label = brute_groups({r[0]: r[1] for r in rows})
+    out = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame(rows)).collect()}
+    assert out == label
+
+
+def test_only_the_smaller_components_of_a_group_meet_all_blocks(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "TILE", 8)
+    parts = [0] * 60 + [100, 101, 102]
+    members = spark.createDataFrame([(1, k, p) for k, p in enumerate(parts)], "grp long, rep long, component long")
+    values = members.select("rep", F.col("rep").alias("value"))
+
+    def compare(rows):
+        left, right, apart = minhash._sides(rows)
+        return np.array([[-1 - len(rows), int(apart.sum())]])
+
+    monkeypatch.setattr(minhash, "_merged", lambda found: pd.DataFrame(np.concatenate(found), columns=["a", "b"]))
+    out = minhash._tiles(members, values, compare).collect()
+    assert sum(-1 - r.a for r in out) == 60 + 3 * 8 + 3  # the smaller ones' tile with each of 8 blocks, and their own
+    assert sum(r.b for r in out) == 60 * 3 + 3 * 2
+
+
 def test_components(spark):
     draw = random.Random(5)
     links = [(draw.randrange(200), draw.randrange(200)) for _ in range(120)] + [(k, k + 1) for k in range(300, 340)]

@@ -39,7 +39,7 @@ BUCKETS = 1 << BUCKET_BITS
 VALUE_BITS = 64 - BUCKET_BITS - PASS_BITS
 MANTISSA_BITS = 10
 BAND = 6
-TILE, CHUNK = 1024, 4096
+TILE, CHUNK, CROWD = 1024, 4096, 64
 STAR_REGISTERS = 128
 BROADCAST_IDS = 1 << 20
 WORDS, THRESHOLD = 5, 75
@@ -171,24 +171,55 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, threshold:
     return stored(attach(kept, own).where(linked("text_a", "text_b")).select("a", "b").distinct(), "linked")
 
 
+def _groups(apart: DataFrame, mixed: DataFrame) -> DataFrame:
+    """Members (grp, rep, component) that are to be compared, for bands (key, a, rep, component, n).
+
+    Bands of more than CROWD members that share members form a crowd. If comparing a crowd as a whole takes
+    fewer pairs than comparing its bands one by one, its members are listed once, and bands that lie within
+    it are left out; all other bands are groups of their own.
+    """
+    crowded = apart.where(F.col("n") > CROWD).select("a", "rep", "component")
+    crowds = components(crowded.select("a", F.col("rep").alias("b")))
+    named = crowded.select("rep", "component").distinct().join(crowds, F.col("rep") == F.col("id"), "left")
+    named = stored(named.select("rep", "component", F.coalesce("component_id", "rep").alias("crowd")), "named")
+    bands = mixed.where(F.col("n") > CROWD).join(crowds, F.col("a") == F.col("id"), "left")
+    bands = bands.groupBy(F.coalesce("component_id", "a").alias("crowd")).agg(F.sum(F.col("n") * F.col("n")).alias("cost"))
+    cheaper = named.groupBy("crowd").agg(F.count("*").alias("n")).join(bands, "crowd").where("n * n <= cost")
+    whole = stored(named.join(cheaper.select("crowd"), "crowd"), "crowds")
+
+    placed = apart.join(whole.select("rep", "crowd").distinct(), "rep", "left").groupBy("key", "n")
+    placed = placed.agg(F.count("crowd").alias("inside"), F.min("crowd").alias("least"), F.max("crowd").alias("most"))
+    covered = stored(placed.where("inside = n and least = most").select("key"), "covered")
+    rest = apart.join(covered, "key", "left_anti").select(F.col("key").alias("grp"), "rep", "component")
+    return whole.select(F.xxhash64(F.lit(-1), "crowd").alias("grp"), "rep", "component").union(rest)
+
+
 def _tiles(members: DataFrame, values: DataFrame, compare) -> DataFrame:
-    """Links found by `compare` among the members (grp, rep, ...) of every group, with their values.
+    """Links across components found by `compare` among the members (grp, rep, component) of every group.
 
-    A group of any size is cut into blocks of about TILE members; a task holds two blocks at a time,
-    and only links that join its members into trees leave it.
+    A group of any size is cut into blocks of about TILE members; a task holds two blocks at a time with their
+    values, and only links that join its members into trees leave it. The largest component of a group has
+    blocks of its own, which meet the blocks of the others but not each other.
     """
     members = stored(members, "members")
-    sizes = members.groupBy("grp").agg(F.ceil(F.count("*") / TILE).alias("blocks"), F.count("*").alias("n"))
-    sizes = stored(sizes.where("n > 1").drop("n"), "sizes")
-    own = F.expr("pmod(xxhash64(rep), blocks)")
+    sizes = members.groupBy("grp", "component").agg(F.count("*").alias("n")).groupBy("grp")
+    sizes = sizes.agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"))
+    first = F.when(F.col("n") <= TILE, F.lit(0).cast("long")).otherwise(F.ceil(F.col("top.n") / TILE))
+    others = F.when(F.col("n") <= TILE, F.lit(1).cast("long")).otherwise(F.ceil((F.col("n") - F.col("top.n")) / TILE))
+    sizes = sizes.where("parts > 1").select(
+        "grp", F.col("top.component").alias("major"), first.alias("first"), (first + others).alias("blocks")
+    )
+    own = F.expr(
+        "if(first > 0 and component = major, pmod(xxhash64(rep), greatest(first, 1L)),"
+        " first + pmod(xxhash64(rep), blocks - first))"
+    )
+    chosen = stored(members.join(stored(sizes, "sizes"), "grp").withColumn("own", own).drop("major"), "chosen")
     dealt = (
-        members.join(sizes, "grp")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+        chosen.withColumn("other", F.explode(F.expr("sequence(if(own < first, first, 0L), blocks - 1)")))
         .withColumn("i", F.least("own", "other"))
         .withColumn("j", F.greatest("own", "other"))
-        .drop("other", "blocks")
-        .join(_having(values, members.join(sizes, "grp").select("rep")), "rep")
+        .drop("other", "first", "blocks")
+        .join(_having(values, chosen.select("rep")), "rep")
     )
     order = ["grp", "i", "j"]
     return dealt.repartition(*order).sortWithinPartitions(*order).mapInPandas(by_run(order, compare, _merged), "a long, b long")
@@ -198,48 +229,52 @@ def _merged(found: list[np.ndarray]) -> pd.DataFrame:
     return pd.DataFrame(trees(np.concatenate(found)), columns=["a", "b"])
 
 
-def _pairs(rows: pd.DataFrame, linked: np.ndarray) -> np.ndarray:
-    ids = rows.rep.to_numpy()
-    return trees(ids[np.argwhere(linked)])
+def _sides(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of the tile's two blocks, and which pairs of them stand in different components."""
+    own, i, j, part = (rows[c].to_numpy() for c in ("own", "i", "j", "component"))
+    left, right = np.flatnonzero(own == i[0]), np.flatnonzero(own == j[0])
+    return left, right, part[left][:, None] != part[right][None, :]
 
 
-def _crossing(rows: pd.DataFrame) -> np.ndarray:
-    """Pairs of the tile that stand in its two blocks."""
-    own, i, j = (rows[c].to_numpy() for c in ("own", "i", "j"))
-    return (own[:, None] == i[0]) & (own[None, :] == j[0])
+def _joined(rows: pd.DataFrame, left: np.ndarray, right: np.ndarray, linked: np.ndarray) -> np.ndarray:
+    ids, (x, y) = rows.rep.to_numpy(), np.nonzero(linked)
+    return trees(np.stack([ids[left[x]], ids[right[y]]], axis=1))
 
 
 def _likely_links(threshold: int):
     least = threshold / 100 - _slack(threshold, BUCKETS)
 
     def compare(rows: pd.DataFrame) -> np.ndarray:
-        size, part = rows.n_shingles.to_numpy(), rows.component.to_numpy()
-        maybe = _crossing(rows) & (part[:, None] != part[None, :])
-        maybe &= np.minimum.outer(size, size) * 100 >= np.maximum.outer(size, size) * threshold
+        left, right, maybe = _sides(rows)
+        size = rows.n_shingles.to_numpy()
+        a, b = size[left], size[right]
+        maybe &= np.minimum.outer(a, b) * 100 >= np.maximum.outer(a, b) * threshold
         regs = np.frombuffer(b"".join(rows.registers), np.uint16).reshape(-1, BUCKETS)
+        facing = regs[right]
         for k in np.flatnonzero(maybe.any(axis=1)):
-            maybe[k] &= estimate(regs[k], regs) >= least
-        return _pairs(rows, maybe)
+            maybe[k] &= estimate(regs[left[k]], facing) >= least
+        return _joined(rows, left, right, maybe)
 
     return compare
 
 
 def _exact_links(threshold: int):
     def compare(rows: pd.DataFrame) -> np.ndarray:
+        left, right, apart = _sides(rows)
         sets = [shingles(np.frombuffer(t.encode(), np.uint8)) for t in rows.text]
         size = np.array([len(s) for s in sets])
         owner = np.repeat(np.arange(len(sets)), size)
         values, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
         shared = times[column] > 1
         owner, column = owner[shared], (np.cumsum(times > 1) - 1)[column[shared]]
-        both = np.zeros((len(sets), len(sets)), np.float32)
+        both = np.zeros((len(left), len(right)), np.float32)
         for start in range(0, int((times > 1).sum()), CHUNK):
             here = (column >= start) & (column < start + CHUNK)
             has = np.zeros((len(sets), CHUNK), np.float32)
             has[owner[here], column[here] - start] = 1
-            both += has @ has.T
-        union = size[:, None] + size[None, :] - both
-        return _pairs(rows, _crossing(rows) & (100 * both >= threshold * union) & (size[:, None] > 0))
+            both += has[left] @ has[right].T
+        union = size[left][:, None] + size[right][None, :] - both
+        return _joined(rows, left, right, apart & (100 * both >= threshold * union) & (size[left][:, None] > 0))
 
     return compare
 
@@ -274,19 +309,22 @@ def near_duplicates(
     stars = shared.where("rep != a").select("a", F.col("rep").alias("b")).distinct()
     links = _verified(stars, classes, texts, threshold)
 
-    # What the stars left apart: bands with several components, compared across components.
+    # What the stars left apart: bands with several components, compared across components. The centre
+    # of a star was held against its whole band, so a band counts without it.
     found = components(links)
-    placed = shared.join(found, shared.rep == found.id, "left").select(
-        "key", "rep", "a", F.coalesce("component_id", "rep").alias("component")
+    own = F.coalesce("component_id", "rep").alias("component")
+    others = shared.where("rep != a").join(found, F.col("rep") == F.col("id"), "left").select("key", "a", "rep", own)
+    others = stored(others, "others")
+    mixed = others.groupBy("key", "a").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("n")
     )
-    placed = stored(placed, "placed")
-    mixed = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    mixed = stored(mixed.where("least != most").select("key"), "mixed")
-    apart = placed.where("rep != a").join(mixed, "key").select(F.col("key").alias("grp"), "rep", "component")
+    mixed = stored(mixed.where("least != most").select("key", "a", "n"), "mixed")
+    apart = stored(others.join(mixed.select("key", "n"), "key"), "apart")
     sketched = classes.select("rep", "n_shingles", "registers")
-    likely = stored(_tiles(apart, sketched, _likely_links(threshold)), "likely")
+    likely = stored(_tiles(_groups(apart, mixed), sketched, _likely_links(threshold)), "likely")
     clusters = components(likely).select(F.col("id").alias("rep"), F.col("component_id").alias("grp"))
     clusters = clusters.union(clusters.select("grp", "grp")).distinct()
+    clusters = clusters.join(found, F.col("rep") == F.col("id"), "left").select("grp", "rep", own)
     links = links.union(_tiles(clusters, texts, _exact_links(threshold)))
 
     found = components(links)
