@@ -12,8 +12,9 @@ being maximal runs without space or 0x09-0x0D, A-Z lower-cased. Two documents li
 3. Bands of 6 registers: two sets with J = 0.75 share none of the 85 bands with probability
    (1 - 0.75^6)^85 = 6e-8, and less for higher J. Members of a band are first compared with the band's
    smallest id only; then only members of bands that still hold several components are compared,
-   and only across components, in tiles of two blocks of members that emit trees of links. So neither
-   copies nor crowded bands are ever expanded into rows of pairs.
+   and only across components, in tiles of two blocks of members that emit trees of links. Crowded
+   bands that share members are compared once as a crowd. So neither copies nor crowded bands are
+   ever expanded into rows of pairs.
 4. The share of equal registers, corrected for chance agreement of mantissas, has to reach the
    threshold less 6.5 standard deviations (4e-11 of true links stay below).
 5. Surviving pairs are confirmed on the full sets of both texts.
@@ -109,6 +110,7 @@ def sketches(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
             types = [pa.int64()] * 4 + [pa.binary()]
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "set_a", "set_b", "registers"])
+        words.release_memory()
 
     narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     return narrow.mapInArrow(sketch, _SKETCH)
