@@ -45,6 +45,17 @@ def test_stages_take_odd_rows(spark, odd, empty):
         assert docs.count() <= df.count()
 
 
+def test_a_task_holds_one_python_worker(spark, documents):
+    """No stage asks twice for the same UDF, nor for the other set of workers that RDDs of Python rows need."""
+    docs = documents
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") + plan.count("MapInArrow") <= 1, name
+        assert "ExistingRDD" not in plan, name
+        docs = stored(out, name)
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_query_matches_sql(spark, name):
     diff, _, _, rows, _ = compare(spark, connect(SF), SF, name, registry.QUERIES[name], registry.ORACLE[name])

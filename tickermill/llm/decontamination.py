@@ -182,7 +182,9 @@ def leaks(
     count = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     blocks = ceil(count / BLOCK_WORDS)
     narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    found = spark.createDataFrame([], "doc_id long, item_id long, coverage double, n_tiles long")
+    # No rows, and no RDD of Python rows, for which every executor would start a second set of Python workers.
+    none = ["bigint(null) AS doc_id", "item_id", "double(null) AS coverage", "bigint(null) AS n_tiles"]
+    found = items.where("false").selectExpr(none)
     for block in range(blocks):
         rows = items.where(F.expr(f"pmod(xxhash64(item_id), {blocks}) = {block}")).toArrow()
         pairs = zip(rows.column(0).to_pylist(), words.as_bytes(rows.column(1).combine_chunks()))
