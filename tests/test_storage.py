@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -136,6 +137,36 @@ def test_stored_tables_are_cleared_with_the_application_only(spark, tmp_path, mo
     assert not list(tmp_path.glob("tickermill/*/*")) and (tmp_path / "other").exists()
 
 
+def shuffle_mb(spark):
+    """Size of the shuffle files that this session keeps, once what is being deleted is gone."""
+    import time
+
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    time.sleep(1)
+    files = [Path(f) for f in blocks.getAllFiles().mkString("\n").splitlines() if "/shuffle_" in f and f.endswith(".data")]
+    return sum(f.stat().st_size for f in files if f.exists()) / 1e6
+
+
+def test_a_write_keeps_neither_its_shuffle_files_nor_tables_between_steps(spark, tmp_path, monkeypatch):
+    from tickermill import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    before, codec = shuffle_mb(spark), spark.conf.get("spark.sql.parquet.compression.codec")
+    counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    with session.temporary_tables(spark):
+        table = session.stored(counts, "counts")
+        (folder,) = tmp_path.glob("tickermill/*/counts-*")
+        assert table.count() == 7 and list(folder.glob("*.zstd.parquet"))
+    assert not folder.exists() and spark.conf.get("spark.sql.parquet.compression.codec") == codec
+    many = spark.range(200_000).select(F.sha1(F.col("id").cast("string")).alias("ticker"), F.lit("d1").alias("data_coleta"))
+    assert tables.write_table(many, schemas.BRONZE, str(tmp_path)) == 200_000
+    assert shuffle_mb(spark) < before + 1  # 8 MB of digests went through the shuffle
+    with pytest.raises(ValueError), session.temporary_tables(spark):
+        kept = session.stored(counts, "kept")
+        raise ValueError  # what a failed step has stored stays
+    assert kept.count() == 7
+
+
 def test_writing_nothing_changes_nothing(spark, tmp_path):
     root = str(tmp_path)
     tables.write_table(envelopes(spark, [("A3", "{}", "t", "2026-10-01")]), schemas.BRONZE, root)
@@ -214,6 +245,28 @@ def test_stored_envelopes_are_chosen_without_their_payloads(spark, tmp_path, mon
         assert not any("payload_json" in line for line in plan.splitlines() if "Exchange" in line)
 
 
+def test_many_rows_that_lose_send_no_payload_through_a_shuffle(spark, tmp_path):
+    path = str(tmp_path / "files")
+    rows = spark.range(70_000).select(
+        F.concat(F.lit("T"), F.col("id") % 50_000).alias("ticker"), F.concat(F.lit("p"), "id").alias("payload_json"),
+        F.lit(200).alias("http_status"), F.lit("m").alias("modulos_solicitados"), F.lit("brapi").alias("fonte"),
+        F.lpad(F.col("id").cast("string"), 6, "0").alias("coletado_em"), F.lit("d").alias("data_coleta"),
+    )
+    rows.coalesce(1).write.parquet(path)
+    files = spark.read.schema(schemas.struct(schemas.BRONZE)).parquet(path)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        chosen = medallion.stored_bronze_rows(files)
+        plan = chosen._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+        found = chosen.select((F.substring("payload_json", 2, 9).cast("int")).alias("id"))
+        # Of 20,000 tickers that come twice the earlier row loses, beyond one bitmap of the file.
+        assert found.agg(F.count("*"), F.min("id"), F.sum("id")).first() == (50_000, 20_000, sum(range(20_000, 70_000)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_envelopes_without_rivals_are_not_compared(spark, tmp_path):
     path = str(tmp_path / "files")
     envelopes(spark, [("A3", "x", "t1", "d"), ("B3", "y", "t1", "d"), ("B3", "z", "t2", "d")]).write.parquet(path)
@@ -343,6 +396,18 @@ def test_newest_envelopes_in_the_state_store(spark, tmp_path):
     assert last == [("A3", "new", "2026-10-01"), ("B3", "b", "2026-10-01"), ("C3", "c2", "2026-10-09")]
 
 
+def test_an_inbox_is_written_densely_by_the_tasks_that_hold_the_rows(spark, tmp_path):
+    from tickermill.plans import registry
+
+    rows = envelopes(spark, [(f"T{k}", "p" * 200, "t1", "2026-10-01") for k in range(100)]).coalesce(1)
+    inbox = str(tmp_path / "in")
+    registry._write_inbox(rows, inbox, files=3)
+    files = list((tmp_path / "in").glob("*.json.gz"))
+    assert len(files) == 3 and sum(f.stat().st_size for f in files) < 100 * 200 / 5
+    stored = spark.read.schema(ENVELOPE_DDL).json(inbox)
+    assert rows_of(stored, *rows.columns) == rows_of(rows, *rows.columns)
+
+
 def test_number_text_in_integer_columns(spark, tmp_path):
     volumes = [5, 31859600.0, "7", " 8 ", "1.5", "abc", 1.9, -1.9, True, None, [1], 9007199254740993]
     write_lines(tmp_path / "in", "1.json", [tick(f"T{k:02d}", v) for k, v in enumerate(volumes)])

@@ -11,6 +11,7 @@ from tickermill import schemas
 from tickermill.functions.guards import blank_to_null
 from tickermill.operators import scoring
 from tickermill.plans import evolution, medallion
+from tickermill.session import temporary_tables
 from tickermill.sources import catalog, tables
 
 
@@ -51,18 +52,20 @@ def run_day(
     if not collected:
         return RunSummary(run_date)
     bronze = tables.read_partition(spark, schemas.BRONZE, "data_coleta", run_date, warehouse)
-    parsed, sessions = medallion.parsed(bronze, run_date)
-    rows = tables.write_observed(
-        medallion.silver_of(parsed), schemas.SILVER, warehouse, {"eligible": F.count_if("elegivel_score")}
-    )
-    dates = [row[0] for row in _merge_series(parsed, warehouse).collect()]
+    with temporary_tables(spark):
+        parsed, sessions = medallion.parsed(bronze, run_date)
+        rows = tables.write_observed(
+            medallion.silver_of(parsed), schemas.SILVER, warehouse, {"eligible": F.count_if("elegivel_score")}
+        )
+        dates = [row[0] for row in _merge_series(parsed, warehouse).collect()]
     silver = tables.read_partition(spark, schemas.SILVER, "data_coleta", run_date, warehouse)
-    graded = tables.write_observed(
-        medallion.gold_rows(silver),
-        schemas.GOLD,
-        warehouse,
-        {"scored": F.count("score_final"), **{f"nota_{g}": F.count_if(F.col("nota") == g) for g in GRADES}},
-    )
+    with temporary_tables(spark):
+        graded = tables.write_observed(
+            medallion.gold_rows(silver),
+            schemas.GOLD,
+            warehouse,
+            {"scored": F.count("score_final"), **{f"nota_{g}": F.count_if(F.col("nota") == g) for g in GRADES}},
+        )
     gold = tables.read_partition(spark, schemas.GOLD, "data_referencia", run_date, warehouse)
     evolution.merge_run(gold, warehouse, run_date)
     if database is not None:
