@@ -408,6 +408,25 @@ def test_an_inbox_is_written_densely_by_the_tasks_that_hold_the_rows(spark, tmp_
     assert rows_of(stored, *rows.columns) == rows_of(rows, *rows.columns)
 
 
+def test_state_is_held_densely_and_older_checkpoints_go_on(spark, tmp_path, monkeypatch):
+    inbox, root = tmp_path / "in", str(tmp_path / "lake")
+    lines = [{"ticker": f"T{k}", "payload_json": "p" * 100, "coletado_em": "t1", "data_coleta": "2026-10-01"} for k in range(50)]
+    write_lines(inbox, "1.json", lines)
+
+    def take(offsets, codec):
+        monkeypatch.setattr(feeds, "STATE_CODEC", codec)
+        feeds.ingest_newest_envelopes(spark, str(inbox), root, str(tmp_path / offsets)).awaitTermination()
+        return {f.read_bytes()[:4] == bytes.fromhex("28b52ffd") for f in (tmp_path / offsets / "state").rglob("*.delta")}
+
+    assert take("old", "lz4") == {False} and take("new", feeds.STATE_CODEC) == {False}
+    monkeypatch.undo()
+    assert take("dense", feeds.STATE_CODEC) == {True}
+    write_lines(inbox, "2.json", [lines[0] | {"payload_json": "later", "coletado_em": "t2"}])
+    assert take("old", feeds.STATE_CODEC) == {False}
+    now = feeds.current_envelopes(spark, root)
+    assert now.count() == 50 and rows_of(now.where("ticker = 'T0'"), "payload_json") == [("later",)]
+
+
 def test_number_text_in_integer_columns(spark, tmp_path):
     volumes = [5, 31859600.0, "7", " 8 ", "1.5", "abc", 1.9, -1.9, True, None, [1], 9007199254740993]
     write_lines(tmp_path / "in", "1.json", [tick(f"T{k:02d}", v) for k, v in enumerate(volumes)])
