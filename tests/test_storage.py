@@ -167,6 +167,17 @@ def test_a_write_keeps_neither_its_shuffle_files_nor_tables_between_steps(spark,
     assert kept.count() == 7
 
 
+def test_a_table_stored_alone_outlives_what_it_was_made_from(spark, tmp_path, monkeypatch):
+    from tickermill import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    left = lambda: sorted(f.name.split("-")[0] for f in tmp_path.glob("tickermill/*/*"))
+    with session.temporary_tables(spark):
+        table = session.stored_alone(spark, lambda: session.stored(spark.range(3), "source").where("id > 0"), "answers")
+        assert left() == ["answers"] and table.count() == 2
+    assert left() == []
+
+
 def test_writing_nothing_changes_nothing(spark, tmp_path):
     root = str(tmp_path)
     tables.write_table(envelopes(spark, [("A3", "{}", "t", "2026-10-01")]), schemas.BRONZE, root)
