@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tickermill.llm import language, quality, toxicity, training
 
@@ -95,6 +96,47 @@ def test_a_language_left_out_of_learning_is_rejected(tables):
     assert sum(own) / len(own) < 0.005
 
 
+def test_centroids_are_learned_from_all_documents(spark):
+    import random
+
+    rng = random.Random(3)
+    words = lambda letters: " ".join("".join(rng.choices(letters, k=rng.randint(2, 7))) for _ in range(30))
+    rows = spark.createDataFrame([(i, words("abcdefghij"), "xx") for i in range(1200)], "doc_id long, text string, lang string")
+    # Four documents of another script, none of them among those with the 300 smallest hashes.
+    learned = rows.where("crc32(string(doc_id)) % 3 != 1")
+    odd = [r.doc_id for r in learned.orderBy(F.xxhash64("doc_id").desc()).limit(4).collect()]
+    assert not {r.doc_id for r in training.sample(learned, "lang", 300).collect()} & set(odd)
+    greek = spark.createDataFrame([(i, words("αβγδε"), "xx") for i in odd], rows.schema)
+    docs = rows.where(~F.col("doc_id").isin(odd)).union(greek)
+    model = language.fit(docs)
+    assert model.predict(words("αβγδε"))[1] > 0.5
+    # Neither the order of the rows nor a repeated row changes what is learned.
+    again = language.fit(docs.repartition(7))
+    assert np.array_equal(model.centroids, again.centroids) and np.array_equal(model.limit, again.limit)
+    short = language.fit(spark.createDataFrame([(i, "ab c", "xx") for i in range(9)], rows.schema))
+    assert short.predict("ab c")[0] == "xx" and len(short.language) == 1
+    grams = language._one_per_id(language._gram_rows(docs.union(docs.limit(50)).union(spark.createDataFrame([(None, "x", "xx")], rows.schema))))
+    assert grams.where("doc_id is not null").count() == 1200
+
+
+def test_pieces_have_the_ngrams_of_each_text_alone():
+    texts = ["Der Hund, das ist!", "", "12 34", "Ωmega ΟΔΟΣ", "a", "İstanbul  x-y", "-", "日本 語"]
+    number, found = language.piece_buckets(texts)
+    for k, text in enumerate(texts):
+        alone = language.buckets(text)
+        assert sorted(found[number == k]) == (sorted(alone) if alone is not None else [])
+    assert all(len(x) == 0 for x in language.piece_buckets([]))
+    assert language.buckets("12 ..") is None and len(language.buckets("ab")) == 2 + 3 + 2
+
+
+def test_quantiles_of_counted_steps():
+    values = np.random.default_rng(4).uniform(-1, 1, 777)
+    steps = np.rint(values * language.STEPS).astype(int) + language.STEPS
+    counts = np.bincount(steps, minlength=2 * language.STEPS + 1)
+    for share in (0, 0.002, 0.3, 0.99, 1):
+        assert abs(language._quantile(counts, share) - np.quantile(values, share)) < 1 / language.STEPS
+
+
 def test_samples_hold_the_smallest_hashes_and_one_row_of_an_id(spark):
     size = 1500
     rows = spark.range(60_000).selectExpr("if(id < 20000, 7, id) AS doc_id", "if(id < 50000, 'a', 'b') AS label", "id AS extra")
